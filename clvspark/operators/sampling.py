@@ -20,6 +20,8 @@ subqueries over the bounded bucket table; nothing passes through the driver.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,9 +33,9 @@ def hash_order_key(key: Column, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
 
 
-def exact_hash_sample(keys: DataFrame, key: str, fraction: float, seed: int | str = 123,
-                      count: Column | None = None) -> DataFrame:
-    """The selected subset of the *distinct* keys in ``keys`` (one column ``key``).
+def hash_split_flags(keys: DataFrame, key: str, fraction: float, seed: int | str = 123,
+                     count: Column | None = None, flag: str = "selected") -> DataFrame:
+    """Every distinct key of ``keys`` with a boolean ``flag``: selected or not.
 
     ``count`` overrides the number to select (a scalar column); by default
     it is ``round_half_even(fraction * n)``.
@@ -51,17 +53,29 @@ def exact_hash_sample(keys: DataFrame, key: str, fraction: float, seed: int | st
               .withColumn("_upto", F.sum("_n").over(upto))
               .withColumn("_total", F.sum("_n").over(Window.partitionBy(F.lit(1)))))
     if count is None:
-        k = F.bround(F.col("_total").cast("double") * F.lit(float(fraction)), 0).cast("bigint")
+        # exact decimal product, rounded half to even
+        frac = F.lit(Decimal(repr(float(fraction)))).cast("decimal(20,18)")
+        k = F.bround(F.col("_total").cast("decimal(20,0)") * frac, 0).cast("bigint")
     else:
         k = count.cast("bigint")
     boundary = (totals.withColumn("_k", k)
-                .filter((F.col("_upto") >= F.col("_k")) & (F.col("_upto") - F.col("_n") < F.col("_k"))))
+                .filter((F.col("_upto") >= F.col("_k"))
+                        & (F.col("_upto") - F.col("_n") < F.col("_k"))))
     boundary_bucket = boundary.select("_b").scalar()
     take_in_bucket = boundary.select(F.col("_k") - (F.col("_upto") - F.col("_n"))).scalar()
 
-    below = hashed.filter(F.col("_b") < boundary_bucket).select(key)
-    in_bucket = hashed.filter(F.col("_b") == boundary_bucket)
-    ranked = in_bucket.withColumn(
-        "_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
-    edge = ranked.filter(F.col("_r") <= take_in_bucket).select(key)
-    return below.unionByName(edge)
+    # NULL boundary (nothing to select) leaves every flag false
+    outside = hashed.filter(boundary_bucket.isNull() | (F.col("_b") != boundary_bucket)).select(
+        key, F.coalesce(F.col("_b") < boundary_bucket, F.lit(False)).alias(flag))
+    ranked = (hashed.filter(F.col("_b") == boundary_bucket)
+              .withColumn("_r", F.row_number().over(
+                  Window.partitionBy("_b").orderBy("_h", key))))
+    edge = ranked.select(key, (F.col("_r") <= take_in_bucket).alias(flag))
+    return outside.unionByName(edge)
+
+
+def exact_hash_sample(keys: DataFrame, key: str, fraction: float, seed: int | str = 123,
+                      count: Column | None = None) -> DataFrame:
+    """The selected subset of the *distinct* keys in ``keys`` (one column ``key``)."""
+    flags = hash_split_flags(keys, key, fraction, seed, count, "_selected")
+    return flags.filter(F.col("_selected")).select(key)

@@ -1,7 +1,25 @@
-"""The supervised 90-day spend flow: import -> cohort -> splits -> RFM tables.
+"""The supervised 90-day spend flow: cohort -> splits -> RFM modelling tables.
 
-``prepare`` builds everything up to the modelling tables lazily; models and
-scoring are added by :mod:`clvspark.plans.scoring`.
+The reference runs this as a chain of separate steps (cohort filter, two
+filters per split, two aggregates and a join per side). Here the same
+results come from one plan with few shuffles:
+
+1. ``cohort_ids``: first purchase per customer (partial aggregation), filtered
+   to the entry window; one row per cohort customer.
+2. ``assignment``: the exact seeded train/test draw over those ids
+   (:func:`clvspark.operators.sampling.hash_split_flags`), written to the
+   reliable checkpoint folder: it is small (one row per customer) and every
+   later step reads it.
+3. ``tagged``: transactions joined to the assignment. The inner join is the
+   cohort filter and the side tag at once; AQE broadcasts the assignment
+   when its measured size allows, else both sides shuffle on
+   ``customer_id``.
+4. ``sides``: per side the last date, the cutoff and the train side's last
+   training date, from the distinct ``(side, date)`` pairs (bounded by the
+   calendar, not by the data); at most two rows, broadcast.
+5. One conditional aggregation per customer gives features (training rows)
+   and targets (assessment rows) together; there is no features-targets
+   join. Its grouping key is the join key, so it adds no shuffle.
 """
 
 from __future__ import annotations
@@ -9,37 +27,124 @@ from __future__ import annotations
 import datetime as _dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from clvspark.functions.dates import Period, parse_period
+from clvspark.functions.money import DEFAULT_SCALE
+from clvspark.operators.cohort import cohort_ids
+from clvspark.operators.features import FEATURES
+from clvspark.operators.sampling import hash_split_flags
+from clvspark.session import materialize
 
-from clvspark.operators.cohort import cohort
-from clvspark.operators.features import max_date, modelling_table
-from clvspark.operators.splits import CustomerSplit, TimeSplit, split_customers, time_split
+KEY = "customer_id"
+TX_COLUMNS = (KEY, "date", "quantity", "price")
 
 
 @dataclass(frozen=True)
 class Prepared:
-    cohort: DataFrame
-    customers: CustomerSplit
-    train_split: TimeSplit
-    test_split: TimeSplit
-    max_date_train: Column
-    train_table: DataFrame
-    test_table: DataFrame
+    cohort_ids: DataFrame     # customer_id
+    assignment: DataFrame     # customer_id, is_train
+    tagged: DataFrame         # transactions + is_train, in_assessment
+    sides: DataFrame          # is_train, max_date, cutoff, ref_date (<= 2 rows)
+    tables: DataFrame         # modelling rows of both sides + is_train
+
+    # --- views in the reference's vocabulary ---------------------------
+    @property
+    def cohort(self) -> DataFrame:
+        return self.tagged.select(*TX_COLUMNS)
+
+    @property
+    def ref_date(self) -> Column:
+        """Scalar: the train side's last training date."""
+        return self.sides.filter(F.col("is_train")).select("ref_date").scalar()
+
+    @property
+    def train_ids(self) -> DataFrame:
+        return self.assignment.filter(F.col("is_train")).select(KEY)
+
+    def side(self, train: bool) -> DataFrame:
+        return self.tagged.filter(F.col("is_train") == F.lit(train)).select(*TX_COLUMNS)
+
+    def part(self, train: bool, assessment: bool) -> DataFrame:
+        t = self.tagged.filter((F.col("is_train") == F.lit(train))
+                               & (F.col("in_assessment") == F.lit(assessment)))
+        return t.select(*TX_COLUMNS)
+
+    def cv_plan(self, train: bool = True) -> DataFrame:
+        """Split plan of one side."""
+        t = self.tagged.filter(F.col("is_train") == F.lit(train))
+        return t.select(
+            F.lit("Slice1").alias("slice_id"),
+            F.when(F.col("in_assessment"), F.lit("testing"))
+             .otherwise(F.lit("training")).alias("split_key"),
+            *TX_COLUMNS)
+
+    @property
+    def train_table(self) -> DataFrame:
+        return self.tables.filter(F.col("is_train")).drop("is_train")
+
+    @property
+    def test_table(self) -> DataFrame:
+        return self.tables.filter(~F.col("is_train")).drop("is_train")
+
+    @property
+    def all_table(self) -> DataFrame:
+        """Train and test modelling rows."""
+        return self.tables.drop("is_train")
+
+
+def _money(c: Column, scale: int | None) -> Column:
+    return c.cast(f"decimal(18,{scale})") if scale is not None else c.cast("double")
 
 
 def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.date,
-            fraction: float = 0.8, seed: int = 123, assess: str | int = "90 days",
-            money_scale: int | None = 2) -> Prepared:
-    """Cohort, customer split, time split per side, and the two modelling tables.
+            fraction: float = 0.8, seed: int = 123, assess: str | int | Period = "90 days",
+            money_scale: int | None = DEFAULT_SCALE) -> Prepared:
+    """Cohort, customer split, per-side time split and both modelling tables.
 
-    Test recency is measured from the *train* side's last training date
-    (§1.4-4), so it can be positive.
+    Semantics are those of :func:`clvspark.operators.features.modelling_table`
+    applied per side, with test recency measured from the *train* side's
+    last training date (§1.4-4).
     """
-    coh = cohort(tx, cohort_start, cohort_end)
-    customers = split_customers(coh, fraction, seed)
-    train_split = time_split(customers.train, assess)
-    test_split = time_split(customers.test, assess)
-    ref = max_date(train_split.training)
-    train_tbl = modelling_table(train_split, ref, money_scale=money_scale)
-    test_tbl = modelling_table(test_split, ref, money_scale=money_scale)
-    return Prepared(coh, customers, train_split, test_split, ref, train_tbl, test_tbl)
+    period = assess if isinstance(assess, Period) else parse_period(assess)
+    ids = cohort_ids(tx, cohort_start, cohort_end)
+    assignment = materialize(hash_split_flags(ids, KEY, fraction, seed, flag="is_train"))
+
+    joined = tx.join(assignment, KEY)
+    dates = joined.select("is_train", "date").distinct()
+    per_side = (dates.groupBy("is_train").agg(F.max("date").alias("max_date"))
+                     .withColumn("cutoff", period.subtract_from(F.col("max_date"))))
+    train_part = F.when(F.col("is_train") & (F.col("date") <= F.col("cutoff")), F.col("date"))
+    sides = (dates.join(F.broadcast(per_side), "is_train")          # <= 2 rows
+                  .groupBy("is_train")
+                  .agg(F.max("max_date").alias("max_date"), F.max("cutoff").alias("cutoff"),
+                       F.max(train_part).alias("_ref"))
+                  .withColumn("ref_date", F.max("_ref").over(Window.partitionBy(F.lit(1))))
+                  .drop("_ref"))
+    tagged = (joined.join(F.broadcast(sides), "is_train")             # <= 2 rows
+                    .withColumn("in_assessment", F.col("date") > F.col("cutoff"))
+                    .select(*TX_COLUMNS, "is_train", "in_assessment", "ref_date"))
+
+    training = ~F.col("in_assessment")
+    price = _money(F.col("price"), money_scale)
+    agg = tagged.groupBy(KEY, "is_train").agg(
+        F.max(F.when(training, F.col("date"))).alias("_last"),
+        F.max("ref_date").alias("_ref"),
+        F.count(F.when(training, F.lit(1))).alias("frequency"),
+        F.sum(F.when(training, price)).cast("double").alias("price_sum"),
+        F.sum(F.when(~training, price)).cast("double").alias("_spend"),
+        F.max(F.when(~training, F.lit(1))).alias("_flag"),
+    )
+    tables = agg.filter(F.col("frequency") > 0).select(
+        KEY,
+        F.datediff(F.col("_last"), F.col("_ref")).cast("double").alias("recency"),
+        "frequency",
+        "price_sum",
+        (F.col("price_sum") / F.col("frequency").cast("double")).alias("price_mean"),
+        F.coalesce(F.col("_spend"), F.lit(0.0)).alias("spend_90_total"),
+        F.coalesce(F.col("_flag"), F.lit(0)).cast("double").alias("spend_90_flag"),
+        "is_train",
+    )
+    assert tuple(tables.columns[1:5]) == FEATURES
+    return Prepared(ids, assignment, tagged.drop("ref_date"), sides, tables)

@@ -107,6 +107,44 @@ def with_orders(body: str) -> str:
     return f"WITH {ORDERS_FLOW}\n{body}"
 
 
+def standin_sql(source: str) -> str:
+    """The stand-in score of registry.standin_scores over a modelling table."""
+    prob = "(CAST(frequency AS DOUBLE) / (CAST(frequency AS DOUBLE) + CAST(10 AS DOUBLE)))"
+    return f"""SELECT price_mean * {prob} AS pred_total, {prob} AS pred_prob,
+       spend_90_total, spend_90_flag, customer_id, recency, frequency, price_sum, price_mean
+FROM ({source}) m"""
+
+
+TEST_PRED = standin_sql(table_sql("te"))
+ALL_PRED = standin_sql(f"{table_sql('tr')}\nUNION ALL\n{table_sql('te')}")
+BASE = f"""SELECT p.*, spend_90_total - (pred_total + CAST(0.0001 AS DOUBLE)) AS spend_actual_vs_pred
+FROM ({ALL_PRED}) p"""
+SAMPLE = f"""SELECT b.* FROM ({BASE}) b WHERE customer_id IN (
+  SELECT customer_id FROM (
+    SELECT customer_id,
+           row_number() OVER (ORDER BY md5('{SEED}:' || CAST(customer_id AS VARCHAR)),
+                                       customer_id) AS rn,
+           count(*) OVER () AS n
+    FROM ({BASE}) b2) r
+  WHERE rn <= round_even({reg.SAMPLE_FRACTION} * n, 0))"""
+LONG = f"""SELECT customer_id, pred_prob, pred_total, spend_90_total, spend_actual_vs_pred,
+       feature, value
+FROM (UNPIVOT (SELECT customer_id, pred_prob, pred_total, spend_90_total, spend_actual_vs_pred,
+                      CAST(recency AS DOUBLE) AS recency, CAST(frequency AS DOUBLE) AS frequency,
+                      CAST(price_sum AS DOUBLE) AS price_sum
+               FROM ({SAMPLE}) s)
+      ON recency, frequency, price_sum INTO NAME feature VALUE value) u"""
+SCALED = f"""SELECT l.*, round((value - m) / nullif(sd, 0), 6) AS value_scaled
+FROM ({LONG}) l JOIN (SELECT feature, avg(value) AS m, stddev_samp(value) AS sd
+                      FROM ({LONG}) l2 GROUP BY feature) st USING (feature)"""
+
+
+def rank_quantile(value: str, q: float, name: str) -> str:
+    """Smallest value whose rank reaches ceil(q * n): the exact form of Spark's
+    ``percentile_approx`` on groups smaller than its accuracy."""
+    return (f"min(CASE WHEN rn >= greatest(1, ceil({q} * cnt)) THEN {value} END) AS {name}")
+
+
 _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
@@ -178,4 +216,70 @@ SELECT 'Slice1' AS slice_id,
     "test_table": with_orders(table_sql("te")),
     "all_customers": with_orders(f"{table_sql('tr')}\nUNION ALL\n{table_sql('te')}"),
     "event_rfm": f"WITH {EVENTS_FLOW}\n{table_sql('tr')}",
+    "most_likely": with_orders(TEST_PRED),
+    "recent_but_unlikely": with_orders(
+        f"SELECT * FROM ({TEST_PRED}) p WHERE recency > -90 AND pred_prob < 0.2"),
+    "missed_opportunities": with_orders(
+        f"SELECT * FROM ({TEST_PRED}) p WHERE spend_90_total = 0"),
+    "spend_more": with_orders(f"""
+SELECT spend_actual_vs_pred AS "Actual Vs Prediction", spend_90_total AS "90-Day Spend (Actual)",
+       pred_total AS "90-Day Spend (Predict)", customer_id AS "Cust Id", recency AS "Recency",
+       frequency AS "Frequency", price_sum AS "Monetary (Total)", price_mean AS "Monetary (Avg)"
+FROM ({BASE}) b WHERE spend_90_total < 10 AND pred_total > 10"""),
+    "mae": with_orders(f"""
+SELECT CAST(SUM(CAST(abs(spend_90_total - pred_total) AS DECIMAL(38,12))) AS DOUBLE)
+       / CAST(COUNT(*) AS DOUBLE) AS mae
+FROM ({TEST_PRED}) p"""),
+    "roc_auc": with_orders(f""",
+s AS (SELECT CAST(pred_prob AS DOUBLE) AS score,
+             sum(CASE WHEN spend_90_flag = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN spend_90_flag = 1 THEN 0 ELSE 1 END) AS neg
+      FROM ({TEST_PRED}) p GROUP BY 1),
+c AS (SELECT pos, neg, coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING
+                                                 AND 1 PRECEDING), 0) AS nb FROM s)
+SELECT CAST(sum(pos * (2 * nb + neg)) AS DOUBLE)
+       / CAST(2 * (SELECT sum(pos) FROM s) * (SELECT sum(neg) FROM s) AS DOUBLE) AS roc_auc
+FROM c"""),
+    "roc_curve": with_orders(f""",
+s AS (SELECT CAST(pred_prob AS DOUBLE) AS score,
+             sum(CASE WHEN spend_90_flag = 1 THEN 1 ELSE 0 END) AS pos,
+             sum(CASE WHEN spend_90_flag = 1 THEN 0 ELSE 1 END) AS neg
+      FROM ({TEST_PRED}) p GROUP BY 1),
+c AS (SELECT score,
+             coalesce(sum(pos) OVER w, 0) AS pb, coalesce(sum(neg) OVER w, 0) AS nb FROM s
+      WINDOW w AS (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT sum(pos) AS P, sum(neg) AS N FROM s)
+SELECT CAST('-inf' AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS specificity,
+       CAST(1 AS DOUBLE) AS sensitivity
+UNION ALL SELECT CAST('inf' AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE)
+UNION ALL SELECT score, CAST(nb AS DOUBLE) / CAST(N AS DOUBLE),
+                 CAST(P - pb AS DOUBLE) / CAST(P AS DOUBLE) FROM c, t"""),
+    "dashboard_base": with_orders(BASE),
+    "sample_fraction": with_orders(SAMPLE),
+    "features_long": with_orders(LONG),
+    "scaled_features": with_orders(SCALED),
+    "probability_by_frequency": with_orders(f"""
+SELECT frequency, count(*) AS customers, avg(pred_prob) AS mean_prob,
+       {rank_quantile('pred_prob', 0.25, 'q25_prob')},
+       {rank_quantile('pred_prob', 0.5, 'q50_prob')},
+       {rank_quantile('pred_prob', 0.75, 'q75_prob')}
+FROM (SELECT frequency, pred_prob,
+             row_number() OVER (PARTITION BY frequency ORDER BY pred_prob) AS rn,
+             count(*) OVER (PARTITION BY frequency) AS cnt
+      FROM ({SAMPLE}) s) r
+GROUP BY frequency"""),
+    "feature_distribution": with_orders(f"""
+SELECT feature, CAST(floor(value_scaled / 0.5) * 0.5 AS DOUBLE) AS bin_start,
+       count(*) AS customers
+FROM ({SCALED}) x WHERE value_scaled IS NOT NULL GROUP BY 1, 2"""),
+    "feature_quantiles": with_orders(f"""
+SELECT feature, count(*) AS customers,
+       {rank_quantile('value_scaled', 0.05, 'q05')}, {rank_quantile('value_scaled', 0.25, 'q25')},
+       {rank_quantile('value_scaled', 0.5, 'q50')}, {rank_quantile('value_scaled', 0.75, 'q75')},
+       {rank_quantile('value_scaled', 0.95, 'q95')}
+FROM (SELECT feature, value_scaled,
+             row_number() OVER (PARTITION BY feature ORDER BY value_scaled) AS rn,
+             count(*) OVER (PARTITION BY feature) AS cnt
+      FROM ({SCALED}) x WHERE value_scaled IS NOT NULL) r
+GROUP BY feature"""),
 }

@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clvspark.functions.dates import parse_ymd
+from clvspark.operators import actions as ac
 from clvspark.operators import cohort as co
+from clvspark.operators import dashboard as db
+from clvspark.operators import evaluate as ev
 from clvspark.operators import features as fe
-from clvspark.operators import splits as sp
+from clvspark.operators import models as mo
 from clvspark.operators.timeseries import summarize_by_time
 from clvspark.plans.lifetime_value import prepare
 from clvspark.sources import transactions as src
@@ -27,6 +30,7 @@ EVENTS_COHORT = ("2024-01", "2024-01")
 EVENTS_ASSESS = "7 days"
 SPLIT_FRACTION = 0.8
 SPLIT_SEED = 123
+SAMPLE_FRACTION = 0.05   # the dashboard slider's default
 
 
 def orders_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,32 +104,32 @@ def q_customer_histories(spark, sf_dir):
 
 
 def q_split_train_ids(spark, sf_dir):
-    return orders_prepared(spark, sf_dir).customers.train_ids
+    return orders_prepared(spark, sf_dir).train_ids
 
 
 def q_split_test_transactions(spark, sf_dir):
-    return orders_prepared(spark, sf_dir).customers.test
+    return orders_prepared(spark, sf_dir).side(train=False)
 
 
 def q_time_split_train(spark, sf_dir):
-    return orders_prepared(spark, sf_dir).train_split.training
+    return orders_prepared(spark, sf_dir).part(train=True, assessment=False)
 
 
 def q_time_split_assess(spark, sf_dir):
-    return orders_prepared(spark, sf_dir).test_split.testing
+    return orders_prepared(spark, sf_dir).part(train=False, assessment=True)
 
 
 def q_cv_plan(spark, sf_dir):
-    return sp.cv_plan(orders_prepared(spark, sf_dir).train_split)
+    return orders_prepared(spark, sf_dir).cv_plan(train=True)
 
 
 def q_targets(spark, sf_dir):
-    return fe.targets(orders_prepared(spark, sf_dir).train_split.testing)
+    return fe.targets(orders_prepared(spark, sf_dir).part(train=True, assessment=True))
 
 
 def q_rfm(spark, sf_dir):
     p = orders_prepared(spark, sf_dir)
-    return fe.rfm(p.train_split.training, p.max_date_train)
+    return fe.rfm(p.part(train=True, assessment=False), p.ref_date)
 
 
 def q_train_table(spark, sf_dir):
@@ -137,14 +141,112 @@ def q_test_table(spark, sf_dir):
 
 
 def q_all_customers(spark, sf_dir):
-    p = orders_prepared(spark, sf_dir)
-    return fe.all_customers(p.train_table, p.test_table)
+    return orders_prepared(spark, sf_dir).all_table
 
 
 def q_event_rfm(spark, sf_dir):
     return events_prepared(spark, sf_dir).train_table
 
 
+# --- scored customers ---------------------------------------------------------
+# A boosted tree cannot be restated in SQL, so the metrics, action lists and
+# dashboard tables are checked on a deterministic stand-in score (§2.2 note 1);
+# the same functions take the model's predictions in `q_predictions`.
+
+def standin_scores(table: DataFrame) -> DataFrame:
+    """``pred_prob = frequency / (frequency + 10)``, ``pred_total = price_mean * pred_prob``."""
+    freq = F.col("frequency").cast("double")
+    prob = freq / (freq + F.lit(10.0))
+    return table.select(
+        (F.col("price_mean") * prob).alias("pred_total"), prob.alias("pred_prob"),
+        "spend_90_total", "spend_90_flag", "customer_id", "recency", "frequency",
+        "price_sum", "price_mean")
+
+
+def standin_test(spark, sf_dir):
+    return standin_scores(orders_prepared(spark, sf_dir).test_table)
+
+
+def standin_all(spark, sf_dir):
+    return standin_scores(orders_prepared(spark, sf_dir).all_table)
+
+
+def dashboard_sample(spark, sf_dir):
+    base = db.dashboard_base(standin_all(spark, sf_dir), with_text=False)
+    return db.sample_fraction(base, SAMPLE_FRACTION, SPLIT_SEED)
+
+
+def q_most_likely(spark, sf_dir):
+    return ac.most_likely(standin_test(spark, sf_dir))
+
+
+def q_recent_but_unlikely(spark, sf_dir):
+    return ac.recent_but_unlikely(standin_test(spark, sf_dir))
+
+
+def q_missed_opportunities(spark, sf_dir):
+    return ac.missed_opportunities(standin_test(spark, sf_dir))
+
+
+def q_spend_more(spark, sf_dir):
+    return ac.spend_more_table(db.dashboard_base(standin_all(spark, sf_dir), with_text=False))
+
+
+def q_mae(spark, sf_dir):
+    return ev.mae(standin_test(spark, sf_dir))
+
+
+def q_roc_auc(spark, sf_dir):
+    return ev.roc_auc(standin_test(spark, sf_dir))
+
+
+def q_roc_curve(spark, sf_dir):
+    return ev.roc_curve(standin_test(spark, sf_dir))
+
+
+def q_dashboard_base(spark, sf_dir):
+    return db.dashboard_base(standin_all(spark, sf_dir), with_text=False)
+
+
+def q_sample_fraction(spark, sf_dir):
+    return dashboard_sample(spark, sf_dir)
+
+
+def q_features_long(spark, sf_dir):
+    return db.features_long(dashboard_sample(spark, sf_dir))
+
+
+def q_scaled_features(spark, sf_dir):
+    return db.scaled_features(dashboard_sample(spark, sf_dir))
+
+
+def q_probability_by_frequency(spark, sf_dir):
+    return db.probability_by_frequency(dashboard_sample(spark, sf_dir))
+
+
+def q_feature_distribution(spark, sf_dir):
+    return db.feature_distribution(db.scaled_features(dashboard_sample(spark, sf_dir)))
+
+
+def q_feature_quantiles(spark, sf_dir):
+    return db.feature_quantiles(db.scaled_features(dashboard_sample(spark, sf_dir)))
+
+
+# --- models (rows-only checks) ----------------------------------------------
+
+def q_predictions(spark, sf_dir):
+    p = orders_prepared(spark, sf_dir)
+    models = mo.fit_models(p.train_table)
+    return mo.score(models, p.test_table)
+
+
+def q_importance(spark, sf_dir):
+    p = orders_prepared(spark, sf_dir)
+    models = mo.fit_models(p.train_table)
+    return mo.importance(models.prob, spark).withColumn("model", F.lit("spend_prob")).unionByName(
+        mo.importance(models.total, spark).withColumn("model", F.lit("spend_total")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transactions": q_transactions,
     "parse_dates": q_parse_dates,
@@ -167,9 +269,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "test_table": q_test_table,
     "all_customers": q_all_customers,
     "event_rfm": q_event_rfm,
+    "most_likely": q_most_likely,
+    "recent_but_unlikely": q_recent_but_unlikely,
+    "missed_opportunities": q_missed_opportunities,
+    "spend_more": q_spend_more,
+    "mae": q_mae,
+    "roc_auc": q_roc_auc,
+    "roc_curve": q_roc_curve,
+    "dashboard_base": q_dashboard_base,
+    "sample_fraction": q_sample_fraction,
+    "features_long": q_features_long,
+    "scaled_features": q_scaled_features,
+    "probability_by_frequency": q_probability_by_frequency,
+    "feature_distribution": q_feature_distribution,
+    "feature_quantiles": q_feature_quantiles,
+    "predictions": q_predictions,
+    "importance": q_importance,
 }
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship query of ``entry()``."""
-    return q_train_table(spark, sf_dir)
+    """The flagship query of ``entry()``: test customers scored by both models."""
+    return q_predictions(spark, sf_dir)

@@ -70,3 +70,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             "with reliable checkpoints and need a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="clvspark-ckpt-"))
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+
+    Used for small, much-reused intermediate tables (the customer split,
+    CLV statistics) so that re-execution after a lost executor or repeated
+    use by later jobs does not recompute their inputs.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
