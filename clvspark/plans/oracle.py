@@ -145,6 +145,68 @@ def rank_quantile(value: str, q: float, name: str) -> str:
     return (f"min(CASE WHEN rn >= greatest(1, ceil({q} * cnt)) THEN {value} END) AS {name}")
 
 
+def clv_ctes(flow: str, split: str) -> str:
+    """Same-day merged transactions of customers with estimation purchases."""
+    return f"""{flow},
+daily AS (SELECT customer_id, date, {money_sum('price')} AS price FROM coh GROUP BY 1, 2),
+known AS (SELECT DISTINCT customer_id FROM daily WHERE date <= DATE '{split}'),
+d AS (SELECT * FROM daily WHERE customer_id IN (SELECT customer_id FROM known)),
+est AS (SELECT * FROM d WHERE date <= DATE '{split}')"""
+
+
+def clv_statistics_sql(flow: str, split: str) -> str:
+    return f"""WITH {clv_ctes(flow, split)}
+SELECT customer_id, count(*) - 1 AS x,
+       CAST(datediff('day', min(date), max(date)) AS DOUBLE) / CAST(1 AS DOUBLE) AS t_x,
+       CAST(datediff('day', min(date), DATE '{split}') AS DOUBLE) / CAST(1 AS DOUBLE) AS T_cal,
+       {money_sum('price')} / CAST(count(*) AS DOUBLE) AS spending
+FROM est GROUP BY customer_id"""
+
+
+_CLV = clv_ctes(ORDERS_FLOW, reg.ORDERS_CLV_SPLIT)
+_SPLIT = reg.ORDERS_CLV_SPLIT
+_IPT = ("CASE WHEN n > 1 THEN CAST(datediff('day', first, last) AS DOUBLE) / CAST(1 AS DOUBLE)"
+        " / CAST(n - 1 AS DOUBLE) END")
+CLV_SUMMARY = f"""WITH {_CLV},
+r AS (SELECT CASE WHEN date <= DATE '{_SPLIT}' THEN 'Estimation' ELSE 'Holdout' END AS period,
+             customer_id, date, price FROM d
+      UNION ALL SELECT 'Total', customer_id, date, price FROM d),
+pc AS (SELECT period, customer_id, count(*) AS n, min(date) AS first, max(date) AS last
+       FROM r GROUP BY 1, 2),
+bc AS (SELECT period, count(*) AS customers, min(first) AS first_transaction,
+              max(last) AS last_transaction, CAST(sum(n) AS BIGINT) AS transactions,
+              round(stddev_samp(n), 6) AS sd_transactions,
+              CAST(sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) AS BIGINT) AS zero_repeaters,
+              round(avg({_IPT}), 6) AS mean_interpurchase,
+              round(stddev_samp({_IPT}), 6) AS sd_interpurchase
+       FROM pc GROUP BY 1),
+bt AS (SELECT period, {money_sum('price')} AS total_spending,
+              round(stddev_samp(price), 6) AS sd_spending FROM r GROUP BY 1)
+SELECT period, customers, first_transaction, last_transaction, transactions,
+       CAST(transactions AS DOUBLE) / CAST(customers AS DOUBLE) AS mean_transactions,
+       sd_transactions,
+       total_spending / CAST(transactions AS DOUBLE) AS mean_spending,
+       sd_spending, total_spending, zero_repeaters,
+       CAST(100 AS DOUBLE) * CAST(zero_repeaters AS DOUBLE) / CAST(customers AS DOUBLE)
+         AS pct_zero_repeaters,
+       mean_interpurchase, sd_interpurchase
+FROM bc JOIN bt USING (period)"""
+
+TRACKING_ACTUAL = f"""WITH {_CLV},
+cust_firsts AS (SELECT customer_id, min(date) AS first_date FROM d GROUP BY 1),
+pf AS (SELECT first_date, count(*) AS n_first FROM cust_firsts GROUP BY 1),
+pdays AS (SELECT date, count(*) AS n_all FROM d GROUP BY 1),
+bounds AS (SELECT (SELECT min(first_date) FROM pf) AS lo, (SELECT max(date) FROM d) AS hi),
+cal0 AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                       INTERVAL 1 DAY)) AS ts FROM bounds),
+cal AS (SELECT CAST(ts AS DATE) AS period_until FROM cal0)
+SELECT period_until, 'Actual' AS variable,
+       CAST(coalesce(n_all, 0) - coalesce(n_first, 0) AS DOUBLE) AS value
+FROM cal LEFT JOIN pdays ON cal.period_until = pdays.date
+         LEFT JOIN pf ON cal.period_until = pf.first_date
+WHERE period_until > (SELECT lo FROM bounds)"""
+
+
 _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
@@ -282,4 +344,8 @@ FROM (SELECT feature, value_scaled,
              count(*) OVER (PARTITION BY feature) AS cnt
       FROM ({SCALED}) x WHERE value_scaled IS NOT NULL) r
 GROUP BY feature"""),
+    "clv_statistics": clv_statistics_sql(ORDERS_FLOW, reg.ORDERS_CLV_SPLIT),
+    "clv_summary": CLV_SUMMARY,
+    "tracking_actual": TRACKING_ACTUAL,
+    "event_clv_statistics": clv_statistics_sql(EVENTS_FLOW, reg.EVENTS_CLV_SPLIT),
 }

@@ -19,6 +19,8 @@ from clvspark.operators import dashboard as db
 from clvspark.operators import evaluate as ev
 from clvspark.operators import features as fe
 from clvspark.operators import models as mo
+from clvspark.operators.clv import data as cd
+from clvspark.operators.clv import models as cm
 from clvspark.operators.timeseries import summarize_by_time
 from clvspark.plans.lifetime_value import prepare
 from clvspark.sources import transactions as src
@@ -31,6 +33,8 @@ EVENTS_ASSESS = "7 days"
 SPLIT_FRACTION = 0.8
 SPLIT_SEED = 123
 SAMPLE_FRACTION = 0.05   # the dashboard slider's default
+ORDERS_CLV_SPLIT = "2000-01-01"
+EVENTS_CLV_SPLIT = "2024-01-20"
 
 
 def orders_tx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +251,57 @@ def q_importance(spark, sf_dir):
         mo.importance(models.total, spark).withColumn("model", F.lit("spend_total")))
 
 
+# --- probabilistic CLV ------------------------------------------------------
+
+def orders_clv(spark, sf_dir):
+    return cd.clv_data(co.cohort(orders_tx(spark, sf_dir), *ORDERS_COHORT), ORDERS_CLV_SPLIT)
+
+
+def q_clv_statistics(spark, sf_dir):
+    return orders_clv(spark, sf_dir).stats
+
+
+def q_clv_summary(spark, sf_dir):
+    return cd.clv_summary(orders_clv(spark, sf_dir))
+
+
+def q_tracking_actual(spark, sf_dir):
+    return cm.tracking(None, orders_clv(spark, sf_dir), actual_only=True)
+
+
+def q_pnbd_coefficients(spark, sf_dir):
+    return cm.fit_pnbd(orders_clv(spark, sf_dir)).summary(spark)
+
+
+def q_pnbd_predictions(spark, sf_dir):
+    data = orders_clv(spark, sf_dir)
+    return cm.predict_pnbd(cm.fit_pnbd(data), data, cm.fit_gamma_gamma(data))
+
+
+def q_tracking_expected(spark, sf_dir):
+    data = orders_clv(spark, sf_dir)
+    return cm.tracking(cm.fit_pnbd(data), data).filter(F.col("variable") == "pnbd")
+
+
+def q_gg_coefficients(spark, sf_dir):
+    return cm.fit_gamma_gamma(orders_clv(spark, sf_dir)).summary(spark)
+
+
+def q_spending_predictions(spark, sf_dir):
+    data = orders_clv(spark, sf_dir)
+    return cm.predict_spending(cm.fit_gamma_gamma(data), data)
+
+
+def q_spending_density(spark, sf_dir):
+    data = orders_clv(spark, sf_dir)
+    return cm.spending_density(cm.fit_gamma_gamma(data), data)
+
+
+def q_event_clv_statistics(spark, sf_dir):
+    tx = co.cohort(src.event_transactions(spark, sf_dir), *EVENTS_COHORT)
+    return cd.clv_data(tx, EVENTS_CLV_SPLIT).stats
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transactions": q_transactions,
     "parse_dates": q_parse_dates,
@@ -285,6 +340,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_quantiles": q_feature_quantiles,
     "predictions": q_predictions,
     "importance": q_importance,
+    "clv_statistics": q_clv_statistics,
+    "clv_summary": q_clv_summary,
+    "tracking_actual": q_tracking_actual,
+    "event_clv_statistics": q_event_clv_statistics,
+    "pnbd_coefficients": q_pnbd_coefficients,
+    "pnbd_predictions": q_pnbd_predictions,
+    "tracking_expected": q_tracking_expected,
+    "gg_coefficients": q_gg_coefficients,
+    "spending_predictions": q_spending_predictions,
+    "spending_density": q_spending_density,
 }
 
 
