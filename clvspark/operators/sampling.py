@@ -14,8 +14,9 @@ funnels ``k`` rows through one task. Instead:
 3. keep every key of the lower buckets by a plain filter and order only
    the keys of that one bucket (about ``n / 65,536`` of them).
 
-All scalars (n, k, boundary bucket, how many to take from it) are scalar
-subqueries over the bounded bucket table; nothing passes through the driver.
+The bucket table (n, k and how many keys each bucket gives) is joined back
+on the bucket id as a broadcast of at most 65,536 rows; nothing passes
+through the driver and the key set is computed once.
 """
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ def hash_split_flags(keys: DataFrame, key: str, fraction: float, seed: int | str
     """Every distinct key of ``keys`` with a boolean ``flag``: selected or not.
 
     ``count`` overrides the number to select (a scalar column); by default
-    it is ``round_half_even(fraction * n)``.
+    it is ``round_half_even(fraction * n)``. One plan: the key set is
+    computed once (its shuffle is shared by the bucket counts and the join).
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must be within [0, 1]")
@@ -58,20 +60,17 @@ def hash_split_flags(keys: DataFrame, key: str, fraction: float, seed: int | str
         k = F.bround(F.col("_total").cast("decimal(20,0)") * frac, 0).cast("bigint")
     else:
         k = count.cast("bigint")
-    boundary = (totals.withColumn("_k", k)
-                .filter((F.col("_upto") >= F.col("_k"))
-                        & (F.col("_upto") - F.col("_n") < F.col("_k"))))
-    boundary_bucket = boundary.select("_b").scalar()
-    take_in_bucket = boundary.select(F.col("_k") - (F.col("_upto") - F.col("_n"))).scalar()
-
-    # NULL boundary (nothing to select) leaves every flag false
-    outside = hashed.filter(boundary_bucket.isNull() | (F.col("_b") != boundary_bucket)).select(
-        key, F.coalesce(F.col("_b") < boundary_bucket, F.lit(False)).alias(flag))
-    ranked = (hashed.filter(F.col("_b") == boundary_bucket)
-              .withColumn("_r", F.row_number().over(
-                  Window.partitionBy("_b").orderBy("_h", key))))
-    edge = ranked.select(key, (F.col("_r") <= take_in_bucket).alias(flag))
-    return outside.unionByName(edge)
+    # per bucket: how many of its keys are taken (all, none, or the first `_take`)
+    buckets = totals.select("_b", F.greatest(F.lit(0), F.least(
+        F.col("_n"), k - (F.col("_upto") - F.col("_n")))).alias("_take"), "_n")
+    tagged = hashed.join(F.broadcast(buckets), "_b")        # <= 16**4 rows
+    whole = tagged.filter((F.col("_take") == 0) | (F.col("_take") == F.col("_n"))).select(
+        key, (F.col("_take") > 0).alias(flag))
+    # only the one bucket holding the k-th key is ordered inside
+    edge = (tagged.filter((F.col("_take") > 0) & (F.col("_take") < F.col("_n")))
+            .withColumn("_r", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
+            .select(key, (F.col("_r") <= F.col("_take")).alias(flag)))
+    return whole.unionByName(edge)
 
 
 def exact_hash_sample(keys: DataFrame, key: str, fraction: float, seed: int | str = 123,

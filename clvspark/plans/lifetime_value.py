@@ -25,7 +25,7 @@ results come from one plan with few shuffles:
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,13 +41,25 @@ KEY = "customer_id"
 TX_COLUMNS = (KEY, "date", "quantity", "price")
 
 
-@dataclass(frozen=True)
 class Prepared:
-    cohort_ids: DataFrame     # customer_id
-    assignment: DataFrame     # customer_id, is_train
-    tagged: DataFrame         # transactions + is_train, in_assessment
-    sides: DataFrame          # is_train, max_date, cutoff, ref_date (<= 2 rows)
-    tables: DataFrame         # modelling rows of both sides + is_train
+    """Lazy views of one prepared flow.
+
+    ``tables`` (one row per cohort customer) is written to the checkpoint
+    folder the first time it is used: models, scores, metrics and dashboard
+    tables all start from it.
+    """
+
+    def __init__(self, cohort_ids: DataFrame, assignment: DataFrame, tagged: DataFrame,
+                 sides: DataFrame, tables: DataFrame):
+        self.cohort_ids = cohort_ids      # customer_id
+        self.assignment = assignment      # customer_id, is_train
+        self.tagged = tagged              # transactions + is_train, in_assessment
+        self.sides = sides                # is_train, max_date, cutoff, ref_date (<= 2 rows)
+        self._tables_plan = tables        # modelling rows of both sides + is_train
+
+    @cached_property
+    def tables(self) -> DataFrame:
+        return materialize(self._tables_plan)
 
     # --- views in the reference's vocabulary ---------------------------
     @property

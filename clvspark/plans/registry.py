@@ -23,6 +23,7 @@ from clvspark.operators.clv import data as cd
 from clvspark.operators.clv import models as cm
 from clvspark.operators.timeseries import summarize_by_time
 from clvspark.plans.lifetime_value import prepare
+from clvspark.session import materialize
 from clvspark.sources import transactions as src
 
 # Fixed parameters of the test-table queries (§7.2).
@@ -176,8 +177,9 @@ def standin_all(spark, sf_dir):
 
 
 def dashboard_sample(spark, sf_dir):
+    # the sample feeds several charts: write it once, read it back
     base = db.dashboard_base(standin_all(spark, sf_dir), with_text=False)
-    return db.sample_fraction(base, SAMPLE_FRACTION, SPLIT_SEED)
+    return materialize(db.sample_fraction(base, SAMPLE_FRACTION, SPLIT_SEED))
 
 
 def q_most_likely(spark, sf_dir):

@@ -79,5 +79,12 @@ def materialize(df):
     CLV statistics) so that re-execution after a lost executor or repeated
     use by later jobs does not recompute their inputs.
     """
+    from pyspark import StorageLevel
+
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # persisted first, so writing the checkpoint does not compute df twice
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
