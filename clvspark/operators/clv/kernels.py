@@ -32,7 +32,11 @@ QUAD_NODES = 64
 _Z, _W = np.polynomial.legendre.leggauss(QUAD_NODES)
 _LOG_W = np.log(_W)
 
-_lgamma = np.vectorize(math.lgamma, otypes=[float])
+
+def _lgamma(a) -> np.ndarray:
+    """Element-wise log-gamma (the arrays are small: parameters x distinct counts)."""
+    arr = np.asarray(a, float)
+    return np.fromiter((math.lgamma(v) for v in arr.ravel()), float, arr.size).reshape(arr.shape)
 
 
 def _logsumexp(a: np.ndarray, axis: int) -> np.ndarray:

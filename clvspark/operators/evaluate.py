@@ -51,7 +51,8 @@ def _below_counts(counts: DataFrame, buckets: int) -> DataFrame:
     """Add ``pos_below``/``neg_below``: totals over strictly smaller scores."""
     probs = [i / buckets for i in range(1, buckets)]
     cuts = counts.approxQuantile("score", probs, 1.0 / (4 * buckets)) if buckets > 1 else []
-    splits = [float("-inf")] + sorted(set(cuts) - {float("-inf"), float("inf")}) + [float("inf")]
+    inner = sorted(set(cuts) - {float("-inf"), float("inf")}) or [0.0]   # Bucketizer needs 3+
+    splits = [float("-inf")] + inner + [float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="score", outputCol="_bucket",
                           handleInvalid="keep").transform(counts)
     bucket_totals = bucketed.groupBy("_bucket").agg(F.sum("pos").alias("_bp"),
