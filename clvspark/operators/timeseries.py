@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clvspark.functions.dates import period_start
@@ -20,3 +22,63 @@ def summarize_by_time(df: DataFrame, date: str = "date", by: str = "month",
         aggs = {"total_price": exact_sum("price", DEFAULT_SCALE)}
     return (df.groupBy(period_start(F.col(date), by).alias(date))
               .agg(*[c.alias(name) for name, c in aggs.items()]))
+
+
+def _det3(a, b, c, d, e, f, g, h, i):
+    return a * (e * i - f * h) - b * (d * i - f * g) + c * (d * h - e * g)
+
+
+def smooth_trend(series: DataFrame, date: str = "date", value: str = "total_price",
+                 span: float = 0.75, degree: int = 2, out: str = "value_smooth",
+                 digits: int | None = None) -> DataFrame:
+    """Local polynomial regression (loess) next to the series.
+
+    At each period the ``q = floor(span * n)`` nearest periods are fitted by
+    weighted least squares of ``degree`` (0, 1 or 2) with tricube weights
+    ``(1 - (d/h)^3)^3``, ``h`` being the q-th smallest distance; the fit at
+    the period itself is the smoothed value (direct evaluation; the
+    reference's library interpolates between fitted vertices, so digits may
+    differ).
+
+    The input is a calendar series (one row per period, e.g. after
+    :func:`summarize_by_time`), bounded by the calendar and not by the data.
+    The q nearest periods always lie within ``q - 1`` rows on either side, so
+    each row sees a frame of at most ``2q - 1`` rows: no pairs beyond that.
+    ``n`` is one count of that series.
+    """
+    if degree not in (0, 1, 2) or not 0 < span <= 1:
+        raise ValueError("degree must be 0, 1 or 2 and span within (0, 1]")
+    n = series.count()
+    if n == 0:
+        return series.withColumn(out, F.lit(None).cast("double"))
+    q = min(n, max(int(math.floor(span * n)), degree + 1))
+    x0 = F.datediff(F.col(date), F.lit("1970-01-01")).cast("double")
+    frame = Window.orderBy(date).rowsBetween(-(q - 1), q - 1)   # series-sized, see above
+    pts = F.collect_list(F.struct(x0.alias("x"), F.col(value).cast("double").alias("y"))) \
+           .over(frame)
+    staged = series.withColumn("_x0", x0).withColumn("_pts", pts)
+    h = F.element_at(F.array_sort(F.transform("_pts", lambda p: F.abs(p["x"] - F.col("_x0")))),
+                     q)
+    staged = staged.withColumn("_h", F.when(h > 0, h).otherwise(F.lit(1.0)))
+
+    def moment(k: int, with_y: bool):
+        def term(acc, p):
+            u = (p["x"] - F.col("_x0")) / F.col("_h")
+            d = F.abs(u)
+            w = F.when(d < 1, F.pow(1 - F.pow(d, 3), 3)).otherwise(F.lit(0.0))
+            t = w * F.pow(u, k) if k else w
+            return acc + (t * p["y"] if with_y else t)
+        return F.aggregate("_pts", F.lit(0.0), term)
+
+    s = [moment(k, False) for k in range(5)]
+    t = [moment(k, True) for k in range(3)]
+    if degree == 0:
+        fit = t[0] / s[0]
+    elif degree == 1:
+        fit = (s[2] * t[0] - s[1] * t[1]) / (s[0] * s[2] - s[1] * s[1])
+    else:
+        fit = (_det3(t[0], s[1], s[2], t[1], s[2], s[3], t[2], s[3], s[4])
+               / _det3(s[0], s[1], s[2], s[1], s[2], s[3], s[2], s[3], s[4]))
+    if digits is not None:
+        fit = F.round(fit, digits)
+    return staged.withColumn(out, fit).drop("_x0", "_pts", "_h")

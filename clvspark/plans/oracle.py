@@ -207,6 +207,36 @@ FROM cal LEFT JOIN pdays ON cal.period_until = pdays.date
 WHERE period_until > (SELECT lo FROM bounds)"""
 
 
+def _det3(a, b, c, d, e, f, g, h, i) -> str:
+    return f"({a} * ({e} * {i} - {f} * {h}) - {b} * ({d} * {i} - {f} * {g}) + {c} * ({d} * {h} - {e} * {g}))"
+
+
+SMOOTH_TREND = with_orders(f""",
+m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS date, {money_sum('price')} AS total_price
+      FROM coh GROUP BY 1),
+s AS (SELECT date, total_price, CAST(datediff('day', DATE '1970-01-01', date) AS DOUBLE) AS x,
+             count(*) OVER () AS n FROM m),
+p AS (SELECT a.date, a.total_price, a.x AS x0, a.n, b.x, b.total_price AS y,
+             abs(b.x - a.x) AS dist,
+             row_number() OVER (PARTITION BY a.date ORDER BY abs(b.x - a.x)) AS rk
+      FROM s a CROSS JOIN s b),
+hh AS (SELECT date, max(CASE WHEN rk = least(n, greatest(CAST(floor(0.75 * n) AS BIGINT), 3))
+                             THEN dist END) AS h
+       FROM p GROUP BY date),
+w AS (SELECT p.date, p.total_price, (p.x - p.x0) / hh.h AS u, p.y,
+             CASE WHEN abs((p.x - p.x0) / hh.h) < 1
+                  THEN pow(1 - pow(abs((p.x - p.x0) / hh.h), 3), 3) ELSE 0 END AS w
+      FROM p JOIN hh USING (date)),
+mo AS (SELECT date, total_price, sum(w) AS s0, sum(w * u) AS s1, sum(w * pow(u, 2)) AS s2,
+              sum(w * pow(u, 3)) AS s3, sum(w * pow(u, 4)) AS s4, sum(w * y) AS t0,
+              sum(w * u * y) AS t1, sum(w * pow(u, 2) * y) AS t2
+       FROM w GROUP BY 1, 2)
+SELECT date, total_price,
+       round({_det3('t0', 's1', 's2', 't1', 's2', 's3', 't2', 's3', 's4')}
+             / {_det3('s0', 's1', 's2', 's1', 's2', 's3', 's2', 's3', 's4')}, 2) AS value_smooth
+FROM mo""")
+
+
 _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
@@ -260,6 +290,7 @@ SELECT * FROM tx WHERE date BETWEEN DATE '{_LO}' AND DATE '{_HI}'""",
     "monthly_totals": with_orders(f"""
 SELECT CAST(date_trunc('month', date) AS DATE) AS date, {money_sum('price')} AS total_price
 FROM coh GROUP BY 1"""),
+    "smooth_trend": SMOOTH_TREND,
     "customer_histories": with_orders("""
 SELECT * FROM coh WHERE customer_id IN
   (SELECT DISTINCT customer_id FROM coh ORDER BY customer_id LIMIT 10)"""),

@@ -21,7 +21,7 @@ from clvspark.operators import features as fe
 from clvspark.operators import models as mo
 from clvspark.operators.clv import data as cd
 from clvspark.operators.clv import models as cm
-from clvspark.operators.timeseries import summarize_by_time
+from clvspark.operators.timeseries import smooth_trend, summarize_by_time
 from clvspark.plans.lifetime_value import prepare
 from clvspark.session import materialize
 from clvspark.sources import transactions as src
@@ -104,6 +104,11 @@ def q_monthly_totals(spark, sf_dir):
     return summarize_by_time(co.cohort(orders_tx(spark, sf_dir), *ORDERS_COHORT), "date", "month")
 
 
+def q_smooth_trend(spark, sf_dir):
+    monthly = summarize_by_time(co.cohort(orders_tx(spark, sf_dir), *ORDERS_COHORT), "date", "month")
+    return smooth_trend(monthly, "date", "total_price", span=0.75, degree=2, digits=2)
+
+
 def q_customer_histories(spark, sf_dir):
     return co.customer_histories(co.cohort(orders_tx(spark, sf_dir), *ORDERS_COHORT), 10)
 
@@ -314,6 +319,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cohort_ids": q_cohort_ids,
     "cohort_transactions": q_cohort_transactions,
     "monthly_totals": q_monthly_totals,
+    "smooth_trend": q_smooth_trend,
     "customer_histories": q_customer_histories,
     "split_train_ids": q_split_train_ids,
     "split_test_transactions": q_split_test_transactions,

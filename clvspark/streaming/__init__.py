@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is batch-only: no watermark, window, state, late data or
+stream source (SURVEY §2.12). Nothing is invented here. The batch
+operators take any DataFrame, so a caller who lands transactions with
+Structured Streaming can run the same functions on each landed table.
+"""
