@@ -61,17 +61,21 @@ def features_long(sample: DataFrame, features=DASHBOARD_FEATURES,
 
 
 def scale_within(df: DataFrame, by: str = "feature", value: str = "value",
-                 out: str = "value_scaled", digits: int | None = None) -> DataFrame:
+                 out: str = "value_scaled", digits: int | None = None,
+                 few_groups: bool = False) -> DataFrame:
     """z-score within each group with the sample standard deviation.
 
     Group statistics are an aggregate joined back on the group key (a
     window would hold a whole group in one task). A constant group has
     sd 0 and gives NULL instead of a division error (§1.4-14). ``digits``
     rounds the result (the sums behind mean and sd depend on the order in
-    which partitions combine, in the last bits).
+    which partitions combine, in the last bits). ``few_groups`` declares the
+    number of groups small by construction: the statistics are then
+    broadcast, since a shuffle join on a handful of keys would put each
+    whole group into one task.
     """
     stats = df.groupBy(by).agg(F.avg(value).alias("_mean"), F.stddev_samp(value).alias("_sd"))
-    joined = df.join(stats, by)
+    joined = df.join(F.broadcast(stats) if few_groups else stats, by)
     scaled = (F.col(value) - F.col("_mean")) / F.nullif(F.col("_sd"), F.lit(0.0))
     if digits is not None:
         scaled = F.round(scaled, digits)
@@ -84,7 +88,8 @@ SCALED_DIGITS = 6
 def scaled_features(sample: DataFrame, with_text: bool = False) -> DataFrame:
     """The long, scaled feature table of the feature chart (U2 + N2), z-scores
     to 6 decimals."""
-    long = scale_within(features_long(sample), digits=SCALED_DIGITS)
+    # three features: one statistics row each
+    long = scale_within(features_long(sample), digits=SCALED_DIGITS, few_groups=True)
     if not with_text:
         return long
     line = F.concat(F.col("feature"), F.lit(": "),

@@ -19,7 +19,9 @@ results come from one plan with few shuffles:
    calendar, not by the data); at most two rows, broadcast.
 5. One conditional aggregation per customer gives features (training rows)
    and targets (assessment rows) together; there is no features-targets
-   join. Its grouping key is the join key, so it adds no shuffle.
+   join. It runs on rows already reduced to one per customer and day, so a
+   very active customer stays cheap even when the join is sort-merge and
+   the aggregate reuses its partitioning.
 """
 
 from __future__ import annotations
@@ -118,12 +120,21 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
     Semantics are those of :func:`clvspark.operators.features.modelling_table`
     applied per side, with test recency measured from the *train* side's
     last training date (§1.4-4).
+
+    Transactions are first reduced to one row per customer and day (count
+    and exact spend; map-side partial aggregation before the shuffle). Every
+    later join and aggregate works on those rows, so a customer holding a
+    large share of all transactions contributes at most one row per
+    calendar day to any task.
     """
     period = assess if isinstance(assess, Period) else parse_period(assess)
-    ids = cohort_ids(tx, cohort_start, cohort_end)
+    daily = tx.groupBy(KEY, "date").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.sum(_money(F.col("price"), money_scale)).alias("_amount"))
+    ids = cohort_ids(daily, cohort_start, cohort_end)
     assignment = materialize(hash_split_flags(ids, KEY, fraction, seed, flag="is_train"))
 
-    joined = tx.join(assignment, KEY)
+    joined = daily.join(assignment, KEY)
     dates = joined.select("is_train", "date").distinct()
     per_side = (dates.groupBy("is_train").agg(F.max("date").alias("max_date"))
                      .withColumn("cutoff", period.subtract_from(F.col("max_date"))))
@@ -134,18 +145,16 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
                        F.max(train_part).alias("_ref"))
                   .withColumn("ref_date", F.max("_ref").over(Window.partitionBy(F.lit(1))))
                   .drop("_ref"))
-    tagged = (joined.join(F.broadcast(sides), "is_train")             # <= 2 rows
-                    .withColumn("in_assessment", F.col("date") > F.col("cutoff"))
-                    .select(*TX_COLUMNS, "is_train", "in_assessment", "ref_date"))
+    per_day = (joined.join(F.broadcast(sides), "is_train")           # <= 2 rows
+                     .withColumn("in_assessment", F.col("date") > F.col("cutoff")))
 
     training = ~F.col("in_assessment")
-    price = _money(F.col("price"), money_scale)
-    agg = tagged.groupBy(KEY, "is_train").agg(
+    agg = per_day.groupBy(KEY, "is_train").agg(
         F.max(F.when(training, F.col("date"))).alias("_last"),
         F.max("ref_date").alias("_ref"),
-        F.count(F.when(training, F.lit(1))).alias("frequency"),
-        F.sum(F.when(training, price)).cast("double").alias("price_sum"),
-        F.sum(F.when(~training, price)).cast("double").alias("_spend"),
+        F.sum(F.when(training, F.col("_n"))).alias("frequency"),
+        F.sum(F.when(training, F.col("_amount"))).cast("double").alias("price_sum"),
+        F.sum(F.when(~training, F.col("_amount"))).cast("double").alias("_spend"),
         F.max(F.when(~training, F.lit(1))).alias("_flag"),
     )
     tables = agg.filter(F.col("frequency") > 0).select(
@@ -159,4 +168,8 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
         "is_train",
     )
     assert tuple(tables.columns[1:5]) == FEATURES
-    return Prepared(ids, assignment, tagged.drop("ref_date"), sides, tables)
+    # transaction-level rows for the per-step views (cohort, splits, plan)
+    tagged = (tx.join(assignment, KEY).join(F.broadcast(sides), "is_train")
+                .withColumn("in_assessment", F.col("date") > F.col("cutoff"))
+                .select(*TX_COLUMNS, "is_train", "in_assessment"))
+    return Prepared(ids, assignment, tagged, sides, tables)
