@@ -237,6 +237,25 @@ SELECT date, total_price,
 FROM mo""")
 
 
+def _currency(c: str) -> str:
+    return (f"CASE WHEN {c} < 0 THEN '-$' || format('{{:,.2f}}', abs({c})) "
+            f"ELSE '$' || format('{{:,.2f}}', {c}) END")
+
+
+DASHBOARD_TEXT = with_orders(f"""
+SELECT b.*, concat_ws(chr(10),
+  'Customer ID: ' || CAST(customer_id AS VARCHAR),
+  '90-Day Spend Prob: ' || format('{{:,.1f}}', pred_prob * CAST(100 AS DOUBLE)) || '%',
+  '90-Day Spend Pred: ' || {_currency('pred_total')},
+  'Actual 90-Day Spend: ' || {_currency('spend_90_total')},
+  'Actual vs Pred: ' || {_currency('spend_actual_vs_pred')},
+  '---',
+  'Recency: ' || CAST(recency AS VARCHAR),
+  'Spend History (Total): ' || {_currency('price_sum')},
+  'Avg Purchase: ' || {_currency('price_mean')}) AS text
+FROM ({BASE}) b""")
+
+
 _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
@@ -348,6 +367,7 @@ UNION ALL SELECT CAST('inf' AS DOUBLE), CAST(1 AS DOUBLE), CAST(0 AS DOUBLE)
 UNION ALL SELECT score, CAST(nb AS DOUBLE) / CAST(N AS DOUBLE),
                  CAST(P - pb AS DOUBLE) / CAST(P AS DOUBLE) FROM c, t"""),
     "dashboard_base": with_orders(BASE),
+    "dashboard_text": DASHBOARD_TEXT,
     "sample_fraction": with_orders(SAMPLE),
     "features_long": with_orders(LONG),
     "scaled_features": with_orders(SCALED),

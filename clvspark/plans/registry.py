@@ -219,6 +219,10 @@ def q_dashboard_base(spark, sf_dir):
     return db.dashboard_base(standin_all(spark, sf_dir), with_text=False)
 
 
+def q_dashboard_text(spark, sf_dir):
+    return db.dashboard_base(standin_all(spark, sf_dir), with_text=True)
+
+
 def q_sample_fraction(spark, sf_dir):
     return dashboard_sample(spark, sf_dir)
 
@@ -340,6 +344,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "roc_auc": q_roc_auc,
     "roc_curve": q_roc_curve,
     "dashboard_base": q_dashboard_base,
+    "dashboard_text": q_dashboard_text,
     "sample_fraction": q_sample_fraction,
     "features_long": q_features_long,
     "scaled_features": q_scaled_features,
