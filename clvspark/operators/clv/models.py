@@ -127,6 +127,39 @@ def _fit(df: DataFrame, kernel, columns, names, x0, n: int, excluded: int = 0,
                        res.converged, res.iterations, res.evaluations, res.message, excluded)
 
 
+def fixed_model(names: tuple[str, ...], values) -> FittedModel:
+    """A model with given parameters (no fit), for scoring with known values."""
+    values = tuple(float(v) for v in values)
+    return FittedModel(tuple(names), values, tuple(float("nan") for _ in values), float("nan"),
+                       0, True, 0, 0, "fixed parameters")
+
+
+def loglik_table(model: FittedModel, df: DataFrame, kind: str = "pnbd") -> DataFrame:
+    """Total log-likelihood of ``df`` at the model's parameters, as a
+    one-row DataFrame ``loglik, customers`` (a distributed sum)."""
+    params = np.array([list(model.estimates)])
+    if kind == "pnbd":
+        kernel, cols = kernels.pnbd_loglik, ("x", "t_x", "T_cal")
+    elif kind == "gg":
+        kernel, cols = kernels.gg_loglik, ("n", "z")
+    else:
+        raise ValueError("kind must be 'pnbd' or 'gg'")
+
+    def run(batches):
+        for pdf in batches:
+            if len(pdf):
+                ll = kernel(params, *[pdf[c].to_numpy(dtype=float) for c in cols])[0]
+                yield pd.DataFrame({"ll": [float(ll.sum())], "n": [len(pdf)]})
+
+    parts = df.select(*cols).mapInPandas(run, "ll double, n long")
+    return parts.agg(F.sum("ll").alias("loglik"), F.sum("n").alias("customers"))
+
+
+def gg_input(data: ClvData, remove_first: bool = False) -> DataFrame:
+    """Customers with positive mean spend: ``customer_id, n, z`` (V7 input)."""
+    return _gg_input(data, remove_first).filter(F.col("z") > 0)
+
+
 # --- Pareto/NBD --------------------------------------------------------------
 
 def fit_pnbd(data: ClvData, start=(1.0, 1.0, 1.0, 1.0), **opt) -> FittedModel:

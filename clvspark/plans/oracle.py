@@ -256,6 +256,129 @@ SELECT b.*, concat_ws(chr(10),
 FROM ({BASE}) b""")
 
 
+def _f(v: float) -> str:
+    """A DOUBLE literal carrying exactly the Python float."""
+    return f"CAST({float(v)!r} AS DOUBLE)"
+
+
+def _nodes_cte() -> str:
+    import numpy as np
+    z, w = np.polynomial.legendre.leggauss(64)
+    rows = ", ".join(f"({_f(a)}, {_f(b)})" for a, b in zip(z, w))
+    return f"nodes(z, w) AS (VALUES {rows})"
+
+
+_R, _A, _S, _B = reg.FIXED_PNBD
+_GP, _GQ, _GG = reg.FIXED_GG
+_M = min(_A, _B)
+_DELTA = 0.1 * 1.0 / 365.0
+
+_CLV_STATS = f"""{_CLV},
+stats AS (SELECT customer_id, count(*) - 1 AS x,
+                 CAST(datediff('day', min(date), max(date)) AS DOUBLE) / CAST(1 AS DOUBLE) AS t_x,
+                 CAST(datediff('day', min(date), DATE '{_SPLIT}') AS DOUBLE) / CAST(1 AS DOUBLE)
+                   AS T_cal,
+                 {money_sum('price')} / CAST(count(*) AS DOUBLE) AS spending
+          FROM est GROUP BY customer_id),
+{_nodes_cte()},
+q0 AS (SELECT customer_id, x, t_x, T_cal, spending,
+              ln(t_x + {_f(_M)}) AS lo, ln(T_cal + {_f(_M)}) AS hi FROM stats),
+q1 AS (SELECT customer_id, x, T_cal, spending, (hi - lo) / 2 AS half, w,
+              (hi - lo) / 2 * z + (hi + lo) / 2 AS v FROM q0 CROSS JOIN nodes),
+q2 AS (SELECT customer_id, x, T_cal, spending, half,
+              sum(w * exp(v - ({_f(_R)} + x) * ln(exp(v) + {_f(_A - _M)})
+                          - ({_f(_S)} + 1) * ln(exp(v) + {_f(_B - _M)}))) AS sw
+       FROM q1 GROUP BY 1, 2, 3, 4, 5)"""
+
+_GG_MEAN = (f"{_f(_GP)} * ({_f(_GG)} + CAST(x + 1 AS DOUBLE) * spending)"
+            f" / ({_f(_GP)} * CAST(x + 1 AS DOUBLE) + {_f(_GQ - 1.0)})")
+
+PNBD_SCORES_FIXED = f"""WITH {_CLV_STATS},
+hl AS (SELECT max(date) AS last_date,
+              CAST(datediff('day', DATE '{_SPLIT}', max(date)) AS DOUBLE) / CAST(1 AS DOUBLE) AS h
+       FROM d),
+ho AS (SELECT customer_id, count(*) AS holdout_x, {money_sum('price')} AS holdout_spending
+       FROM d WHERE date > DATE '{_SPLIT}' GROUP BY 1),
+pa AS (SELECT customer_id, x, T_cal, spending,
+              CASE WHEN half > 0 THEN 1 / (1 + exp(ln({_f(_S)}) + ln(half * sw)
+                   + ({_f(_R)} + x) * ln({_f(_A)} + T_cal) + {_f(_S)} * ln({_f(_B)} + T_cal)))
+                   ELSE CAST(1 AS DOUBLE) END AS p_alive
+       FROM q2),
+du AS (SELECT pa.customer_id, w,
+              ln(1 + 40 / ({_f(_DELTA)} * ({_f(_B)} + T_cal))) AS upper_u, T_cal,
+              ln(1 + 40 / ({_f(_DELTA)} * ({_f(_B)} + T_cal))) / 2 * (z + 1) AS u
+       FROM pa CROSS JOIN nodes),
+di AS (SELECT customer_id, max(upper_u) / 2 * sum(w * exp(-{_f(_DELTA)} * ({_f(_B)} + T_cal) * (exp(u) - 1)
+                                       - {_f(_S)} * u + ln({_f(_B)} + T_cal) + u)) AS integral
+       FROM du GROUP BY 1),
+sc AS (SELECT pa.customer_id, pa.x, pa.spending, p_alive,
+              p_alive * ({_f(_R)} + x) / ({_f(_A)} + T_cal) * ({_f(_B)} + T_cal) / {_f(_S - 1.0)}
+                * (1 - pow(({_f(_B)} + T_cal) / ({_f(_B)} + T_cal + (SELECT h FROM hl)), {_f(_S - 1.0)}))
+                AS cet,
+              p_alive * ({_f(_R)} + x) / ({_f(_A)} + T_cal) * integral AS dert
+       FROM pa JOIN di USING (customer_id))
+SELECT sc.customer_id, DATE '{_SPLIT}' AS period_first, (SELECT last_date FROM hl) AS period_last,
+       (SELECT h FROM hl) AS period_length,
+       coalesce(ho.holdout_x, 0) AS actual_x,
+       coalesce(ho.holdout_spending, CAST(0 AS DOUBLE)) AS actual_total_spending,
+       round(p_alive, 9) AS p_alive, round(cet, 9) AS cet, round(dert, 7) AS dert,
+       round({_GG_MEAN}, 6) AS predicted_mean_spending,
+       round(dert * {_GG_MEAN}, 3) AS predicted_clv
+FROM sc LEFT JOIN ho USING (customer_id)"""
+
+PNBD_LOGLIK_FIXED = f"""WITH {_CLV_STATS}
+SELECT round(sum(lgamma({_f(_R)} + x) - lgamma({_f(_R)}) + {_f(_R)} * ln({_f(_A)})
+                 + {_f(_S)} * ln({_f(_B)})
+                 + ln(exp(-({_f(_R)} + x) * ln({_f(_A)} + T_cal) - {_f(_S)} * ln({_f(_B)} + T_cal))
+                      + {_f(_S)} * half * sw)), 4) AS loglik,
+       count(*) AS customers
+FROM q2"""
+
+_GG_IN = f"""WITH {_CLV},
+stats AS (SELECT customer_id, CAST(count(*) AS DOUBLE) AS n,
+                 {money_sum('price')} / CAST(count(*) AS DOUBLE) AS z
+          FROM est GROUP BY customer_id),
+g AS (SELECT * FROM stats WHERE z > 0)"""
+
+GG_LOGLIK_FIXED = f"""{_GG_IN}
+SELECT round(sum(lgamma({_f(_GP)} * n + {_f(_GQ)}) - lgamma({_f(_GP)} * n) - lgamma({_f(_GQ)})
+                 + {_f(_GQ)} * ln({_f(_GG)}) + ({_f(_GP)} * n - 1) * ln(z)
+                 + {_f(_GP)} * n * ln(n) - ({_f(_GP)} * n + {_f(_GQ)}) * ln({_f(_GG)} + n * z)), 4)
+         AS loglik,
+       count(*) AS customers
+FROM g"""
+
+SPENDING_FIXED = f"""WITH {_CLV},
+stats AS (SELECT customer_id, count(*) - 1 AS x,
+                 {money_sum('price')} / CAST(count(*) AS DOUBLE) AS spending
+          FROM est GROUP BY customer_id)
+SELECT customer_id, spending AS actual_mean_spending,
+       round({_GG_MEAN}, 6) AS predicted_mean_spending
+FROM stats WHERE spending > 0"""
+
+_EX_K = _R * _B / (_A * (_S - 1.0))
+
+
+def _ex(t: str) -> str:
+    return f"({_f(_EX_K)} * (1 - pow({_f(_B)} / ({_f(_B)} + {t}), {_f(_S - 1.0)})))"
+
+
+TRACKING_EXPECTED_FIXED = f"""WITH {_CLV},
+cust_firsts AS (SELECT customer_id, min(date) AS first_date FROM d GROUP BY 1),
+pf AS (SELECT first_date, count(*) AS n_first FROM cust_firsts GROUP BY 1),
+bounds AS (SELECT (SELECT min(first_date) FROM pf) AS lo, (SELECT max(date) FROM d) AS hi),
+cal0 AS (SELECT unnest(generate_series(CAST(lo AS TIMESTAMP), CAST(hi AS TIMESTAMP),
+                                       INTERVAL 1 DAY)) AS ts FROM bounds),
+cal AS (SELECT CAST(ts AS DATE) AS period_until FROM cal0),
+pairs AS (SELECT period_until, n_first,
+                 CAST(datediff('day', first_date, period_until) AS DOUBLE) AS age
+          FROM pf JOIN cal ON cal.period_until > pf.first_date)
+SELECT period_until, 'pnbd' AS variable,
+       round(sum(n_first * ({_ex('age / CAST(1 AS DOUBLE)')} - {_ex('(age - 1) / CAST(1 AS DOUBLE)')})),
+             9) AS value
+FROM pairs GROUP BY period_until"""
+
+
 _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
@@ -399,4 +522,9 @@ GROUP BY feature"""),
     "clv_summary": CLV_SUMMARY,
     "tracking_actual": TRACKING_ACTUAL,
     "event_clv_statistics": clv_statistics_sql(EVENTS_FLOW, reg.EVENTS_CLV_SPLIT),
+    "pnbd_scores_fixed": PNBD_SCORES_FIXED,
+    "pnbd_loglik_fixed": PNBD_LOGLIK_FIXED,
+    "gg_loglik_fixed": GG_LOGLIK_FIXED,
+    "spending_fixed": SPENDING_FIXED,
+    "tracking_expected_fixed": TRACKING_EXPECTED_FIXED,
 }

@@ -308,6 +308,53 @@ def q_spending_density(spark, sf_dir):
     return cm.spending_density(cm.fit_gamma_gamma(data), data)
 
 
+# Stand-in parameters for checking the scoring operators against SQL: the
+# fitted values come from an iterative optimiser SQL cannot restate, so the
+# scoring (quadrature, closed forms, log-gamma terms) is checked at fixed
+# parameters on the real statistics. Pareto/NBD r, alpha, s, beta in days;
+# Gamma/Gamma p, q, gamma.
+FIXED_PNBD = (0.6, 70.0, 0.65, 84.0)
+FIXED_GG = (6.0, 3.8, 15.0)
+SCORE_DIGITS = {"p_alive": 9, "cet": 9, "dert": 7, "predicted_mean_spending": 6,
+                "predicted_clv": 3}
+
+
+def _fixed_pnbd():
+    return cm.fixed_model(cm.PNBD_PARAMS, FIXED_PNBD)
+
+
+def _fixed_gg():
+    return cm.fixed_model(cm.GG_PARAMS, FIXED_GG)
+
+
+def q_pnbd_scores_fixed(spark, sf_dir):
+    data = orders_clv(spark, sf_dir)
+    out = cm.predict_pnbd(_fixed_pnbd(), data, _fixed_gg())
+    return out.select(*[F.round(c, SCORE_DIGITS[c]).alias(c) if c in SCORE_DIGITS else c
+                        for c in out.columns])
+
+
+def q_pnbd_loglik_fixed(spark, sf_dir):
+    out = cm.loglik_table(_fixed_pnbd(), orders_clv(spark, sf_dir).stats, "pnbd")
+    return out.select(F.round("loglik", 4).alias("loglik"), "customers")
+
+
+def q_gg_loglik_fixed(spark, sf_dir):
+    out = cm.loglik_table(_fixed_gg(), cm.gg_input(orders_clv(spark, sf_dir)), "gg")
+    return out.select(F.round("loglik", 4).alias("loglik"), "customers")
+
+
+def q_spending_fixed(spark, sf_dir):
+    out = cm.predict_spending(_fixed_gg(), orders_clv(spark, sf_dir))
+    return out.select("customer_id", "actual_mean_spending",
+                      F.round("predicted_mean_spending", 6).alias("predicted_mean_spending"))
+
+
+def q_tracking_expected_fixed(spark, sf_dir):
+    out = cm.tracking(_fixed_pnbd(), orders_clv(spark, sf_dir)).filter(F.col("variable") == "pnbd")
+    return out.select("period_until", "variable", F.round("value", 9).alias("value"))
+
+
 def q_event_clv_statistics(spark, sf_dir):
     tx = co.cohort(src.event_transactions(spark, sf_dir), *EVENTS_COHORT)
     return cd.clv_data(tx, EVENTS_CLV_SPLIT).stats
@@ -363,6 +410,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gg_coefficients": q_gg_coefficients,
     "spending_predictions": q_spending_predictions,
     "spending_density": q_spending_density,
+    "pnbd_scores_fixed": q_pnbd_scores_fixed,
+    "pnbd_loglik_fixed": q_pnbd_loglik_fixed,
+    "gg_loglik_fixed": q_gg_loglik_fixed,
+    "spending_fixed": q_spending_fixed,
+    "tracking_expected_fixed": q_tracking_expected_fixed,
 }
 
 
