@@ -195,16 +195,19 @@ def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None
             h = float(pdf["_h"].iloc[0]) if len(pdf) else 0.0
             yield pd.DataFrame({
                 KEY: pdf[KEY],
+                "x": pdf["x"],
+                "spending": pdf["spending"],
                 "p_alive": kernels.pnbd_p_alive(params, x, t, T)[0],
                 "cet": kernels.pnbd_conditional_expectation(params, x, t, T, h)[0],
                 "dert": kernels.pnbd_dert(params, x, t, T, delta)[0],
             })
 
+    # the statistics ride through the Python step: no join back on customer_id
     scored = (data.stats.withColumn("_h", h_col)
-              .select(KEY, "x", "t_x", "T_cal", "_h")
-              .mapInPandas(run, f"{KEY} {key_type}, p_alive double, cet double, dert double"))
-    out = (data.stats.join(scored, KEY)
-               .join(data.holdout, KEY, "left")
+              .select(KEY, "x", "t_x", "T_cal", "spending", "_h")
+              .mapInPandas(run, f"{KEY} {key_type}, x long, spending double, p_alive double,"
+                                " cet double, dert double"))
+    out = (scored.join(data.holdout, KEY, "left")
                .select(KEY,
                        F.lit(data.estimation_end).alias("period_first"),
                        data.holdout_end.alias("period_last"),
