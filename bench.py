@@ -20,7 +20,6 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import numpy as np  # noqa: E402
 
-from clvspark.operators.clv import data as cd  # noqa: E402
 from clvspark.operators.clv import kernels  # noqa: E402
 from clvspark.operators.clv import models as cm  # noqa: E402
 from clvspark.plans import registry as reg  # noqa: E402

@@ -9,7 +9,7 @@ the dashboard reads it back with a fixed schema.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType)
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 PREDICTION_SCHEMA = StructType([
     StructField("pred_total", DoubleType()),
@@ -52,5 +52,5 @@ def export_actions_csv(df: DataFrame, path: str, mode: str = "overwrite") -> Non
     df.write.mode(mode).option("header", True).csv(path)
 
 
-__all__ = ["PREDICTION_SCHEMA", "StringType", "export_actions_csv", "read_predictions",
+__all__ = ["PREDICTION_SCHEMA", "export_actions_csv", "read_predictions",
            "write_importance", "write_predictions"]
