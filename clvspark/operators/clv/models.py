@@ -26,6 +26,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 from clvspark.operators.clv import kernels
 from clvspark.operators.clv.data import KEY, ClvData
 from clvspark.operators.clv.optimize import OptimResult, hessian_points, maximize
+from clvspark.session import materialize
 
 # executors get the kernels by value; they need numpy and pandas only
 cloudpickle.register_pickle_by_value(kernels)
@@ -34,8 +35,10 @@ PNBD_PARAMS = ("r", "alpha", "s", "beta")
 GG_PARAMS = ("p", "q", "gamma")
 
 
-def batched_loglik(df: DataFrame, kernel, columns: tuple[str, ...], params: np.ndarray) -> np.ndarray:
-    """Sum over all rows of ``kernel(params, *columns)`` for K parameter rows."""
+def batched_loglik(df: DataFrame, kernel, columns: tuple[str, ...], params: np.ndarray,
+                   weight: str | None = None) -> np.ndarray:
+    """Sum over all rows of ``kernel(params, *columns)`` (times ``weight``)
+    for K parameter rows."""
     params = np.ascontiguousarray(params, dtype=float)
     k = params.shape[0]
 
@@ -44,10 +47,13 @@ def batched_loglik(df: DataFrame, kernel, columns: tuple[str, ...], params: np.n
         for pdf in batches:
             if len(pdf):
                 ll = kernel(params, *[pdf[c].to_numpy(dtype=float) for c in columns])
+                if weight is not None:
+                    ll = ll * pdf[weight].to_numpy(dtype=float)[None, :]
                 total += ll.sum(axis=1)
         yield pd.DataFrame({"k": np.arange(k, dtype=np.int32), "ll": total})
 
-    sums = (df.select(*columns).mapInPandas(run, "k int, ll double")
+    cols = (*columns, weight) if weight is not None else columns
+    sums = (df.select(*cols).mapInPandas(run, "k int, ll double")
               .groupBy("k").agg(F.sum("ll").alias("ll")))
     out = np.full(k, np.nan)
     for row in sums.collect():            # K rows
@@ -108,9 +114,16 @@ class FittedModel:
 
 
 def _fit(df: DataFrame, kernel, columns, names, x0, n: int, excluded: int = 0,
-         **opt) -> FittedModel:
+         compress: bool = True, **opt) -> FittedModel:
+    weight = None
+    if compress:
+        # customers with equal statistics have equal likelihood terms: one
+        # weighted row per distinct tuple, written once for all passes
+        df = materialize(df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("_w")))
+        weight = "_w"
+
     def objective(log_params: np.ndarray) -> np.ndarray:
-        return batched_loglik(df, kernel, columns, np.exp(log_params))
+        return batched_loglik(df, kernel, columns, np.exp(log_params), weight)
 
     res: OptimResult = maximize(objective, np.log(np.asarray(x0, float)), **opt)
     theta = np.exp(res.x)
@@ -162,15 +175,18 @@ def gg_input(data: ClvData, remove_first: bool = False) -> DataFrame:
 
 # --- Pareto/NBD --------------------------------------------------------------
 
-def fit_pnbd(data: ClvData, start=(1.0, 1.0, 1.0, 1.0), **opt) -> FittedModel:
+def fit_pnbd(data: ClvData, start=(1.0, 1.0, 1.0, 1.0), compress: bool = True,
+             **opt) -> FittedModel:
     """Maximum-likelihood Pareto/NBD over the customer statistics (V3, V4).
 
     Parameters are optimised on the log scale within ``|log| <= 12``; the
-    result reports ``converged`` and the optimiser's message.
+    result reports ``converged`` and the optimiser's message. ``compress``
+    evaluates each distinct ``(x, t_x, T_cal)`` once with its count (all
+    zero repeaters with the same ``T_cal`` share one row).
     """
     n = data.stats.count()
     return _fit(data.stats, kernels.pnbd_loglik, ("x", "t_x", "T_cal"), PNBD_PARAMS, start, n,
-                **opt)
+                compress=compress, **opt)
 
 
 def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None = None,
@@ -289,7 +305,7 @@ def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:
 
 
 def fit_gamma_gamma(data: ClvData, remove_first: bool = False, start=(1.0, 1.0, 1.0),
-                    **opt) -> FittedModel:
+                    compress: bool = True, **opt) -> FittedModel:
     """Maximum-likelihood Gamma/Gamma spend model (V7).
 
     ``remove_first=False`` keeps the first transaction (n = x + 1), as the
@@ -301,7 +317,7 @@ def fit_gamma_gamma(data: ClvData, remove_first: bool = False, start=(1.0, 1.0,
                     F.sum(F.when(F.col("z") > 0, 0).otherwise(1)).alias("bad")).first()
     usable = gg.filter(F.col("z") > 0)
     fitted = _fit(usable, kernels.gg_loglik, ("n", "z"), GG_PARAMS, start, int(counts["ok"] or 0),
-                  excluded=int(counts["bad"] or 0), **opt)
+                  excluded=int(counts["bad"] or 0), compress=compress, **opt)
     fitted.extra["finite_mean"] = fitted.coef()["q"] > 1.0
     fitted.extra["remove_first"] = remove_first
     return fitted

@@ -8,9 +8,10 @@ three distributed steps:
 1. aggregate to one row per distinct score (a score shared by a third of
    all rows is then one row),
 2. cut the distinct scores into ``buckets`` contiguous ranges at approximate
-   quantiles (``Bucketizer`` on a bounded list of cut points) and total each
-   bucket: a table of at most ``buckets`` rows, whose running totals are
-   the offsets of the buckets,
+   quantiles (``Bucketizer`` on a bounded list of cut points; by default as
+   many buckets as the session's shuffle partitions, at least 64) and total
+   each bucket: a table of at most ``buckets`` rows, whose running totals
+   are the offsets of the buckets,
 3. prefix-sum inside each bucket with a window partitioned by bucket and
    add the bucket's offset (joined from the bounded offsets table).
 
@@ -47,8 +48,18 @@ def _score_counts(df: DataFrame, label: str, score: str, event: float) -> DataFr
               .agg(F.sum(is_event).alias("pos"), F.sum(1 - is_event).alias("neg")))
 
 
-def _below_counts(counts: DataFrame, buckets: int) -> DataFrame:
+def _default_buckets(df: DataFrame) -> int:
+    """As many score ranges as the session plans shuffle tasks (at least 64)."""
+    try:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        parts = DEFAULT_BUCKETS
+    return max(DEFAULT_BUCKETS, parts)
+
+
+def _below_counts(counts: DataFrame, buckets: int | None) -> DataFrame:
     """Add ``pos_below``/``neg_below``: totals over strictly smaller scores."""
+    buckets = buckets or _default_buckets(counts)
     probs = [i / buckets for i in range(1, buckets)]
     cuts = counts.approxQuantile("score", probs, 1.0 / (4 * buckets)) if buckets > 1 else []
     inner = sorted(set(cuts) - {float("-inf"), float("inf")}) or [0.0]   # Bucketizer needs 3+
@@ -76,7 +87,7 @@ def _below_counts(counts: DataFrame, buckets: int) -> DataFrame:
 
 
 def roc_auc(df: DataFrame, label: str = "spend_90_flag", score: str = "pred_prob",
-            event: float = 1.0, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+            event: float = 1.0, buckets: int | None = None) -> DataFrame:
     """Exact ROC AUC with ties counted one half; one row ``roc_auc``.
 
     ``event`` is the label value of the event class (the second level).
@@ -90,7 +101,7 @@ def roc_auc(df: DataFrame, label: str = "spend_90_flag", score: str = "pred_prob
 
 
 def roc_curve(df: DataFrame, label: str = "spend_90_flag", score: str = "pred_prob",
-              event: float = 1.0, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+              event: float = 1.0, buckets: int | None = None) -> DataFrame:
     """Threshold, specificity, sensitivity per distinct score, plus the
     ``-inf`` (all predicted events) and ``+inf`` (none) end points (E3).
 
