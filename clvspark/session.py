@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -73,18 +74,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df):
-    """Write ``df`` to the reliable checkpoint folder and cut its lineage.
+    """Write ``df`` as a parquet table under the checkpoint folder and read it back.
 
-    Used for small, much-reused intermediate tables (the customer split,
-    CLV statistics) so that re-execution after a lost executor or repeated
-    use by later jobs does not recompute their inputs.
+    Used for much-reused intermediate tables (the customer split, the
+    modelling rows, CLV statistics): the lineage is cut, a lost executor
+    re-reads the table instead of recomputing its inputs, the plan runs
+    once (with AQE's partition coalescing), and the read-back is split by
+    ``spark.sql.files.maxPartitionBytes``, so partitions follow the data's
+    size, not a fixed count.
     """
-    from pyspark import StorageLevel
-
-    ensure_checkpoint_dir(df.sparkSession)
-    # persisted first, so writing the checkpoint does not compute df twice
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
