@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
@@ -32,6 +32,7 @@ from clvspark.session import materialize
 cloudpickle.register_pickle_by_value(kernels)
 
 PNBD_PARAMS = ("r", "alpha", "s", "beta")
+ROWS_PER_TASK = 20_000      # customers per task in the likelihood passes
 GG_PARAMS = ("p", "q", "gamma")
 
 
@@ -121,15 +122,25 @@ def _fit(df: DataFrame, kernel, columns, names, x0, n: int, excluded: int = 0,
         # weighted row per distinct tuple, written once for all passes
         df = materialize(df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("_w")))
         weight = "_w"
+    # The passes are CPU-bound (K vectors x 64 nodes per row): spread the rows
+    # by count, not by bytes, and keep this working copy cached for the loop
+    # (a lost block is rebuilt from the materialized table).
+    sc = df.sparkSession.sparkContext
+    rows = df.count()
+    parts = max(sc.defaultParallelism, math.ceil(rows / ROWS_PER_TASK))
+    work = df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
     def objective(log_params: np.ndarray) -> np.ndarray:
-        return batched_loglik(df, kernel, columns, np.exp(log_params), weight)
+        return batched_loglik(work, kernel, columns, np.exp(log_params), weight)
 
-    res: OptimResult = maximize(objective, np.log(np.asarray(x0, float)), **opt)
+    try:
+        res: OptimResult = maximize(objective, np.log(np.asarray(x0, float)), **opt)
+        # standard errors: finite-difference Hessian in log space, one pass
+        pts, assemble = hessian_points(res.x, 1e-4)
+        h_log = assemble(objective(pts))
+    finally:
+        work.unpersist()
     theta = np.exp(res.x)
-    # standard errors: finite-difference Hessian in log space, one pass
-    pts, assemble = hessian_points(res.x, 1e-4)
-    h_log = assemble(objective(pts))
     jac_inv = np.diag(1.0 / theta)
     try:
         cov = np.linalg.inv(-(jac_inv @ h_log @ jac_inv))
