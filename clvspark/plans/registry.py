@@ -255,6 +255,12 @@ def q_predictions(spark, sf_dir):
     return mo.score(models, p.test_table)
 
 
+def q_predictions_all(spark, sf_dir):
+    p = orders_prepared(spark, sf_dir)
+    models = mo.fit_models(p.train_table)
+    return mo.score(models, p.all_table)
+
+
 def q_importance(spark, sf_dir):
     p = orders_prepared(spark, sf_dir)
     models = mo.fit_models(p.train_table)
@@ -399,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_distribution": q_feature_distribution,
     "feature_quantiles": q_feature_quantiles,
     "predictions": q_predictions,
+    "predictions_all": q_predictions_all,
     "importance": q_importance,
     "clv_statistics": q_clv_statistics,
     "clv_summary": q_clv_summary,

@@ -50,8 +50,13 @@ def test_models_deterministic_and_saved(spark, tmp_path):
     loaded = mo.load_models(str(tmp_path / "models"))
     c = sorted(mo.score(loaded, p.test_table).select("customer_id", "pred_total").collect())
     assert a == c
-    imp = mo.importance(m1.total, spark).collect()
+    imp_df = mo.importance(m1.total, spark)
+    imp = imp_df.collect()
     assert {r.feature for r in imp} == {"recency", "frequency", "price_sum", "price_mean"}
+    storage.write_importance(imp_df, str(tmp_path / "importance"))
+    assert spark.read.parquet(str(tmp_path / "importance")).count() == 4
+    everyone = mo.score(m1, p.all_table)
+    assert everyone.count() == p.all_table.count()
 
 
 def _norm(rows):
@@ -69,7 +74,7 @@ def test_every_query_runs_and_sql_agrees_on_sf0001(spark):
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    skip_rows_only = {"predictions", "importance"}      # fitted in other tests
+    skip_rows_only = {"predictions", "predictions_all", "importance"}  # fitted in other tests
     for key, fn in queries.items():
         if key in skip_rows_only:
             continue
