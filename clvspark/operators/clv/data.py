@@ -48,11 +48,15 @@ class ClvData:
 
 
 def clv_data(tx: DataFrame, estimation_end: str | _dt.date, unit: str = "day",
-             money_scale: int | None = DEFAULT_SCALE, materialized: bool = True) -> ClvData:
+             money_scale: int | None = DEFAULT_SCALE, materialized: bool = True,
+             customers: DataFrame | None = None) -> ClvData:
     """Sufficient statistics of the estimation period, and holdout actuals (V1).
 
-    ``materialized`` writes the statistics to the reliable checkpoint folder:
-    the fits read them once per optimiser step.
+    ``customers`` (one column ``customer_id``, e.g. cohort ids) restricts the
+    data after purchases are merged per customer and day, so the membership
+    join sees at most one row per customer and day. ``materialized`` writes
+    the statistics as a table under the checkpoint folder: the fits read
+    them once per optimiser step.
     """
     unit = unit.lower().rstrip("s")
     if unit not in UNIT_DAYS:
@@ -60,6 +64,8 @@ def clv_data(tx: DataFrame, estimation_end: str | _dt.date, unit: str = "day",
     days = UNIT_DAYS[unit]
     split = expand_partial_date(estimation_end, "start")
     daily = tx.groupBy(KEY, "date").agg(exact_sum("price", money_scale).alias("price"))
+    if customers is not None:
+        daily = daily.join(customers.select(KEY), KEY, "left_semi")
     est = daily.filter(F.col("date") <= F.lit(split))
     stats = est.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("_n"),

@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from clvspark.functions.dates import Period, parse_period
 from clvspark.functions.money import DEFAULT_SCALE
-from clvspark.operators.cohort import cohort_ids
+from clvspark.operators.cohort import filter_by_time
+from clvspark.operators.skew import hot_keys, split_join
 from clvspark.operators.features import FEATURES
 from clvspark.operators.sampling import hash_split_flags
 from clvspark.session import materialize
@@ -131,7 +132,9 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
     daily = tx.groupBy(KEY, "date").agg(
         F.count(F.lit(1)).alias("_n"),
         F.sum(_money(F.col("price"), money_scale)).alias("_amount"))
-    ids = cohort_ids(daily, cohort_start, cohort_end)
+    per_customer = daily.groupBy(KEY).agg(F.min("date").alias("first_date"),
+                                          F.sum("_n").alias("_rows"))
+    ids = filter_by_time(per_customer, "first_date", cohort_start, cohort_end).select(KEY)
     assignment = materialize(hash_split_flags(ids, KEY, fraction, seed, flag="is_train"))
 
     joined = daily.join(assignment, KEY)
@@ -168,8 +171,11 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
         "is_train",
     )
     assert tuple(tables.columns[1:5]) == FEATURES
-    # transaction-level rows for the per-step views (cohort, splits, plan)
-    tagged = (tx.join(assignment, KEY).join(F.broadcast(sides), "is_train")
+    # transaction-level rows for the per-step views (cohort, splits, plan);
+    # customers holding a large share of all rows are split off the join
+    hot = hot_keys(per_customer, KEY)
+    tagged = (split_join(tx, assignment, KEY, "inner", hot=hot)
+                .join(F.broadcast(sides), "is_train")
                 .withColumn("in_assessment", F.col("date") > F.col("cutoff"))
                 .select(*TX_COLUMNS, "is_train", "in_assessment"))
     return Prepared(ids, assignment, tagged, sides, tables)

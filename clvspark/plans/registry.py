@@ -271,7 +271,8 @@ def q_importance(spark, sf_dir):
 # --- probabilistic CLV ------------------------------------------------------
 
 def orders_clv(spark, sf_dir):
-    return cd.clv_data(co.cohort(orders_tx(spark, sf_dir), *ORDERS_COHORT), ORDERS_CLV_SPLIT)
+    tx = orders_tx(spark, sf_dir)
+    return cd.clv_data(tx, ORDERS_CLV_SPLIT, customers=co.cohort_ids(tx, *ORDERS_COHORT))
 
 
 def q_clv_statistics(spark, sf_dir):
@@ -362,8 +363,8 @@ def q_tracking_expected_fixed(spark, sf_dir):
 
 
 def q_event_clv_statistics(spark, sf_dir):
-    tx = co.cohort(src.event_transactions(spark, sf_dir), *EVENTS_COHORT)
-    return cd.clv_data(tx, EVENTS_CLV_SPLIT).stats
+    tx = src.event_transactions(spark, sf_dir)
+    return cd.clv_data(tx, EVENTS_CLV_SPLIT, customers=co.cohort_ids(tx, *EVENTS_COHORT)).stats
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

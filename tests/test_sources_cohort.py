@@ -95,3 +95,31 @@ def test_customer_histories_first_ten_ids(spark):
     tx = tx_frame(spark, [(i, "1997-01-01", i) for i in range(30, 0, -1)])
     ids = sorted({r.customer_id for r in co.customer_histories(tx, 10).collect()})
     assert ids == list(range(1, 11))
+
+
+def test_hot_customer_is_split_off_and_results_unchanged(spark):
+    from pyspark.sql import functions as F
+
+    from clvspark.operators.skew import hot_keys, row_counts, split_join
+    # customer 7 holds a third of all rows
+    big = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997 + 100)
+         .alias("customer_id"), F.col("id").alias("v"))
+    small = spark.range(90, 400).select(F.col("id").alias("customer_id"),
+                                        (F.col("id") % 2 == 0).alias("flag"))
+    small = small.unionByName(spark.createDataFrame([(7, True)], "customer_id long, flag boolean"))
+    hot = [r.customer_id for r in hot_keys(row_counts(big, "customer_id"), "customer_id",
+                                           share=0.01).collect()]
+    assert hot == [7]
+    for how in ("inner", "left_semi", "left_anti"):
+        got = sorted(split_join(big, small, "customer_id", how, share=0.01).collect())
+        want = sorted(big.join(small, "customer_id", how).collect())
+        assert got == want, how
+
+
+def test_cohort_with_a_hot_customer(spark):
+    rows = [(1, "1997-01-05", 1)] * 300 + [(2, "1997-02-01", 1), (3, "1996-05-01", 1),
+                                           (3, "1997-02-01", 1)]
+    tx = tx_frame(spark, rows)
+    out = co.cohort(tx, "1997-01", "1997-03")
+    assert out.count() == 301 and {r.customer_id for r in out.collect()} == {1, 2}
