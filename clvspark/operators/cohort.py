@@ -1,7 +1,7 @@
 """Cohort operators: N1, G1, G6, G8, F2, F4, O2.
 
 Membership is always a join (semi/anti), never a collected id list; the
-cohort join splits off very active customers. The first-purchase operator
+cohort join salts very active customers. The first-purchase operator
 is an aggregate plus an equi-join on ``(customer_id, date)`` instead of a
 window over each customer: a customer holding a large share of all rows
 would otherwise be buffered by one task.
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clvspark.functions.dates import expand_partial_date
-from clvspark.operators.skew import hot_keys, split_join
+from clvspark.operators.skew import hot_keys, salted_join
 
 
 def date_range(df: DataFrame, date: str = "date") -> DataFrame:
@@ -78,13 +78,13 @@ def cohort(tx: DataFrame, start: str | _dt.date, end: str | _dt.date,
     """Full purchase history of the customers who entered in the window.
 
     One aggregate gives each customer's first purchase and row count; the
-    membership join splits off customers holding a large share of all rows
+    membership join salts customers holding a large share of all rows
     (:mod:`clvspark.operators.skew`), so what follows stays balanced.
     """
     per_customer = tx.groupBy(key).agg(F.min(date).alias("first_date"),
                                        F.count(F.lit(1)).alias("_rows"))
     ids = filter_by_time(per_customer, "first_date", start, end).select(key)
-    return split_join(tx, ids, key, "left_semi", hot=hot_keys(per_customer, key))
+    return salted_join(tx, ids, key, "left_semi", hot=hot_keys(per_customer, key))
 
 
 def customer_histories(tx: DataFrame, n: int = 10, key: str = "customer_id") -> DataFrame:

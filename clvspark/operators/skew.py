@@ -4,18 +4,21 @@ a few customers hold a large share of all rows.
 A shuffle join on ``customer_id`` sends every row of one customer to one
 task. AQE can split such a partition, but not when the next operator needs
 the join's partitioning (an aggregate by customer right after the join),
-which is exactly how these joins are used. So hot keys are split off
-explicitly:
-
-* a key is *hot* when it holds more than ``share`` of all rows, so there are
-  at most ``1 / share`` hot keys (10,000 by default): a proven bound, and
-  their per-customer rows are broadcast;
-* rows of hot keys join that broadcast (no shuffle, spread over the input
-  tasks); all other rows take the shuffle join, where no key is large.
-
-The union of the two parts is not hash-partitioned, so an aggregate by
-customer afterwards gets its own exchange with map-side partial
-aggregation. The result is the same rows as a plain join.
+which is exactly how these joins are used. So hot keys are salted:
+
+* a key is *hot* when it holds more than ``share`` of all rows and more
+  than ``rows_per_task`` rows; there are at most ``1 / share`` hot keys
+  (10,000 by default), a proven bound, so the hot-key table is broadcast;
+* a hot key with ``n`` rows gets ``ceil(n / rows_per_task)`` salts. Its
+  transaction rows take a salt from a hash of the row (deterministic, so a
+  recomputed task sees the same salt); its single per-customer row is
+  repeated once per salt. Other keys have salt 0;
+* the join runs on ``(key, salt)``: one scan of the transactions, and a
+  hot customer's rows spread over many tasks.
+
+The join output is partitioned by ``(key, salt)``, not by key, so an
+aggregate by customer afterwards gets its own exchange with map-side
+partial aggregation. The result is the same rows as a plain join.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 1e-4
+ROWS_PER_TASK = 2_000_000
 
 
 def row_counts(big: DataFrame, key: str) -> DataFrame:
@@ -31,27 +35,40 @@ def row_counts(big: DataFrame, key: str) -> DataFrame:
     return big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(counts: DataFrame, key: str, count_col: str = "_rows",
-             share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows: at most ``1 / share`` of them."""
+def hot_keys(counts: DataFrame, key: str, count_col: str = "_rows", share: float = HOT_SHARE,
+             rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """Keys holding more than ``share`` of all rows and more than a task's
+    worth, with their number of salts: at most ``1 / share`` rows."""
     total = counts.agg(F.sum(count_col)).scalar()
-    return counts.filter(F.col(count_col) > total * F.lit(share)).select(key)
+    hot = counts.filter((F.col(count_col) > total * F.lit(share))
+                        & (F.col(count_col) > F.lit(rows_per_task)))
+    return hot.select(key, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int")
+                      .alias("_salts"))
 
 
-def split_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-               hot: DataFrame | None = None, share: float = HOT_SHARE) -> DataFrame:
-    """``big.join(small, key, how)`` with hot keys of ``big`` split off.
+def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
+                hot: DataFrame | None = None, share: float = HOT_SHARE,
+                rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``big.join(small, key, how)`` with hot keys of ``big`` salted.
 
-    ``small`` has at most one row per key. ``how`` is ``inner``,
-    ``left_semi`` or ``left_anti``. ``hot`` may be passed when the key counts
-    are already known; otherwise they are one partial aggregation of ``big``.
+    ``small`` has at most one row per key; ``how`` is ``inner``,
+    ``left_semi`` or ``left_anti``. ``hot`` (``key, _salts``, from
+    :func:`hot_keys`) may be passed when the key counts are already known;
+    otherwise they are one partial aggregation of ``big``.
     """
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError("how must be inner, left_semi or left_anti")
     if hot is None:
-        hot = hot_keys(row_counts(big, key), key, share=share)
-    hot = F.broadcast(hot)                                       # <= 1 / share rows
-    hot_small = small.join(hot, key, "left_semi")                # <= 1 / share rows
-    hot_part = big.join(hot, key, "left_semi").join(F.broadcast(hot_small), key, how)
-    cold_part = big.join(hot, key, "left_anti").join(small, key, how)
-    return hot_part.unionByName(cold_part)
+        hot = hot_keys(row_counts(big, key), key, share=share, rows_per_task=rows_per_task)
+    hot = F.broadcast(hot)                                   # <= 1 / share rows
+    row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
+    big_salted = (big.join(hot, key, "left")
+                     .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                                 .otherwise(F.pmod(row_hash, F.col("_salts")).cast("int")))
+                     .drop("_salts"))
+    small_salted = (small.join(hot, key, "left")
+                         .withColumn("_salt", F.explode(F.when(
+                             F.col("_salts").isNull(), F.array(F.lit(0)))
+                             .otherwise(F.sequence(F.lit(0), F.col("_salts") - 1))))
+                         .drop("_salts"))
+    return big_salted.join(small_salted, [key, "_salt"], how).drop("_salt")

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from clvspark.functions.dates import Period, parse_period
 from clvspark.functions.money import DEFAULT_SCALE
 from clvspark.operators.cohort import filter_by_time
-from clvspark.operators.skew import hot_keys, split_join
+from clvspark.operators.skew import hot_keys, salted_join
 from clvspark.operators.features import FEATURES
 from clvspark.operators.sampling import hash_split_flags
 from clvspark.session import materialize
@@ -172,9 +172,9 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
     )
     assert tuple(tables.columns[1:5]) == FEATURES
     # transaction-level rows for the per-step views (cohort, splits, plan);
-    # customers holding a large share of all rows are split off the join
+    # customers holding a large share of all rows are salted in the join
     hot = hot_keys(per_customer, KEY)
-    tagged = (split_join(tx, assignment, KEY, "inner", hot=hot)
+    tagged = (salted_join(tx, assignment, KEY, "inner", hot=hot)
                 .join(F.broadcast(sides), "is_train")
                 .withColumn("in_assessment", F.col("date") > F.col("cutoff"))
                 .select(*TX_COLUMNS, "is_train", "in_assessment"))

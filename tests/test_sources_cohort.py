@@ -97,10 +97,10 @@ def test_customer_histories_first_ten_ids(spark):
     assert ids == list(range(1, 11))
 
 
-def test_hot_customer_is_split_off_and_results_unchanged(spark):
+def test_hot_customer_is_salted_and_results_unchanged(spark):
     from pyspark.sql import functions as F
 
-    from clvspark.operators.skew import hot_keys, row_counts, split_join
+    from clvspark.operators.skew import hot_keys, row_counts, salted_join
     # customer 7 holds a third of all rows
     big = spark.range(30000).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 997 + 100)
@@ -108,13 +108,17 @@ def test_hot_customer_is_split_off_and_results_unchanged(spark):
     small = spark.range(90, 400).select(F.col("id").alias("customer_id"),
                                         (F.col("id") % 2 == 0).alias("flag"))
     small = small.unionByName(spark.createDataFrame([(7, True)], "customer_id long, flag boolean"))
-    hot = [r.customer_id for r in hot_keys(row_counts(big, "customer_id"), "customer_id",
-                                           share=0.01).collect()]
-    assert hot == [7]
+    hot = hot_keys(row_counts(big, "customer_id"), "customer_id", share=0.01, rows_per_task=1000)
+    assert [(r.customer_id, r._salts) for r in hot.collect()] == [(7, 10)]
     for how in ("inner", "left_semi", "left_anti"):
-        got = sorted(split_join(big, small, "customer_id", how, share=0.01).collect())
-        want = sorted(big.join(small, "customer_id", how).collect())
-        assert got == want, how
+        joined = salted_join(big, small, "customer_id", how, share=0.01, rows_per_task=1000)
+        assert sorted(joined.collect()) == sorted(big.join(small, "customer_id", how).collect())
+        assert joined.columns == big.join(small, "customer_id", how).columns
+    # the hot customer's rows are spread over its salts
+    spread = (big.join(F.broadcast(hot), "customer_id")
+                 .select(F.pmod(F.xxhash64("customer_id", "v"), F.col("_salts")).alias("s"))
+                 .groupBy("s").count().collect())
+    assert len(spread) == 10 and max(r["count"] for r in spread) < 2 * 10000 / 10
 
 
 def test_cohort_with_a_hot_customer(spark):
