@@ -88,3 +88,20 @@ def test_every_query_runs_and_sql_agrees_on_sf0001(spark):
         order = [rel.columns.index(c) for c in cols]
         orows = [tuple(r[i] for i in order) for r in rel.fetchall()]
         assert _norm(rows) == _norm(orows), key
+
+
+def test_workflows_end_to_end(spark, tmp_path):
+    from clvspark.plans import analyses
+    tx = reg.orders_tx(spark, SF_SMALL)
+    out = str(tmp_path / "run")
+    spend = analyses.spend_analysis(tx, *reg.ORDERS_COHORT, output=out)
+    assert 0.0 <= spend.roc_auc.first().roc_auc <= 1.0
+    assert spend.mae.first().mae >= 0.0
+    saved = storage.read_predictions(spark, f"{out}/predictions")
+    assert saved.count() == spend.flow.all_table.count()
+    board = analyses.dashboard_tables(saved)
+    assert board.sample.count() == round(0.05 * saved.count())
+    assert board.actions.count() >= 0 and board.features.count() == 3 * board.sample.count()
+    clv = analyses.clv_analysis(tx, *reg.ORDERS_COHORT, reg.ORDERS_CLV_SPLIT)
+    assert clv.predictions.count() == clv.data.stats.count()
+    assert {r.period for r in clv.summary.collect()} == {"Estimation", "Holdout", "Total"}
