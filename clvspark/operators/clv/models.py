@@ -13,6 +13,7 @@ plain column arithmetic (Gamma/Gamma).
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -297,6 +298,15 @@ def tracking(model: FittedModel, data: ClvData, actual_only: bool = False) -> Da
     return actual.unionByName(expected)
 
 
+def fit_both(data: ClvData, remove_first: bool = False) -> tuple[FittedModel, FittedModel]:
+    """Pareto/NBD and Gamma/Gamma fits, submitted from two driver threads:
+    they only read the statistics, so their passes can share the cluster."""
+    with ThreadPoolExecutor(max_workers=2) as pool:
+        pnbd = pool.submit(fit_pnbd, data)
+        gg = pool.submit(fit_gamma_gamma, data, remove_first)
+        return pnbd.result(), gg.result()
+
+
 # --- Gamma/Gamma ---------------------------------------------------------------
 
 def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:

@@ -9,6 +9,7 @@ differ; shapes, ranges and column contracts are what is kept.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -77,11 +78,21 @@ class SpendModels:
     prob: PipelineModel
 
 
-def fit_models(train: DataFrame, **params) -> SpendModels:
-    """Fit both models on one persisted copy of the training table."""
+def fit_models(train: DataFrame, parallel: bool = True, **params) -> SpendModels:
+    """Fit both models on one persisted copy of the training table.
+
+    The fits are independent; with ``parallel`` they are submitted from two
+    driver threads, so their per-level jobs share the cluster instead of
+    running one after the other (the models are the same either way).
+    """
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return SpendModels(fit_spend_total(cached, **params), fit_spend_prob(cached, **params))
+        if not parallel:
+            return SpendModels(fit_spend_total(cached, **params), fit_spend_prob(cached, **params))
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            total = pool.submit(fit_spend_total, cached, **params)
+            prob = pool.submit(fit_spend_prob, cached, **params)
+            return SpendModels(total.result(), prob.result())
     finally:
         cached.unpersist()
 

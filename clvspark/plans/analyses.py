@@ -89,8 +89,7 @@ def clv_analysis(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str |
     """The probabilistic workflow end to end on the entry cohort."""
     data = clv_data_mod.clv_data(tx, estimation_end, unit=unit,
                                  customers=cohort_ids(tx, cohort_start, cohort_end))
-    pnbd = clv_models.fit_pnbd(data)
-    gg = clv_models.fit_gamma_gamma(data, remove_first=remove_first)
+    pnbd, gg = clv_models.fit_both(data, remove_first=remove_first)
     return ClvAnalysis(
         data=data, summary=clv_data_mod.clv_summary(data), pnbd=pnbd, gamma_gamma=gg,
         predictions=clv_models.predict_pnbd(pnbd, data, gg),

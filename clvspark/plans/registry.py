@@ -293,7 +293,8 @@ def q_pnbd_coefficients(spark, sf_dir):
 
 def q_pnbd_predictions(spark, sf_dir):
     data = orders_clv(spark, sf_dir)
-    return cm.predict_pnbd(cm.fit_pnbd(data), data, cm.fit_gamma_gamma(data))
+    pnbd, gg = cm.fit_both(data)
+    return cm.predict_pnbd(pnbd, data, gg)
 
 
 def q_tracking_expected(spark, sf_dir):
