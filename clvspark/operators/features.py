@@ -1,9 +1,12 @@
 """Targets and RFM features.
 
-All per-customer work groups by ``customer_id``. When the input already
-arrives hash-partitioned by ``customer_id`` (after a sort-merge semi join of
-the cohort or split), the aggregates and the features-targets join reuse
-that partitioning and add no shuffle.
+All per-customer work groups by ``customer_id`` with map-side partial
+aggregation, so a customer with very many rows costs one partial row per
+input task. The inputs here come from the cohort and split operators, whose
+membership joins salt very active customers, so they do not arrive in one
+partition per customer. The features-targets join has one row per customer
+on each side. :func:`clvspark.plans.lifetime_value.prepare` computes the
+same tables in a single aggregate.
 """
 
 from __future__ import annotations

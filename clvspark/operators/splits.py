@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clvspark.functions.dates import Period, parse_period
-from clvspark.operators.cohort import members, non_members
+from clvspark.operators.skew import hot_keys, row_counts, salted_join
 from clvspark.operators.sampling import exact_hash_sample
 
 
@@ -29,8 +29,10 @@ def split_customers(tx: DataFrame, fraction: float = 0.8, seed: int | str = 123,
     :mod:`clvspark.operators.sampling` (exact count, partition-independent).
     """
     train_ids = exact_hash_sample(tx, key, fraction, seed)
-    return CustomerSplit(train=members(tx, train_ids, key),
-                         test=non_members(tx, train_ids, key),
+    # very active customers are salted in both membership joins
+    hot = hot_keys(row_counts(tx, key), key)
+    return CustomerSplit(train=salted_join(tx, train_ids, key, "left_semi", hot=hot),
+                         test=salted_join(tx, train_ids, key, "left_anti", hot=hot),
                          train_ids=train_ids)
 
 
