@@ -392,6 +392,13 @@ LEFT JOIN (SELECT l_orderkey, sum(l_quantity) AS q FROM lineitem GROUP BY l_orde
 WHERE o.o_custkey IS NOT NULL AND o.o_orderdate IS NOT NULL
   AND o.o_totalprice IS NOT NULL AND NOT isnan(o.o_totalprice)""",
 
+    "text_scan": """
+SELECT printf('%05d', o_custkey) AS customer_id, CAST(o_orderdate AS DATE) AS date,
+       CAST(1 AS DOUBLE) AS quantity, CAST(o_totalprice AS DOUBLE) AS price
+FROM orders
+WHERE o_custkey IS NOT NULL AND o_orderdate IS NOT NULL
+  AND o_totalprice IS NOT NULL AND NOT isnan(o_totalprice)""",
+
     "parse_dates": """
 WITH r AS (
   SELECT o_orderkey,

@@ -23,7 +23,7 @@ from clvspark.operators.clv import data as cd
 from clvspark.operators.clv import models as cm
 from clvspark.operators.timeseries import smooth_trend, summarize_by_time
 from clvspark.plans.lifetime_value import prepare
-from clvspark.session import materialize
+from clvspark.session import materialize, scratch_path
 from clvspark.sources import transactions as src
 
 # Fixed parameters of the test-table queries (§7.2).
@@ -58,6 +58,19 @@ def q_transactions(spark, sf_dir):
     return src.orders_transactions(spark, sf_dir, quantity="lineitem")
 
 
+def q_text_scan(spark, sf_dir):
+    # Every order written by Spark as a blank-delimited text line (customer,
+    # yyyymmdd date, quantity, price), then read back through the text source.
+    o = src.read_table(spark, sf_dir, "orders")
+    lines = o.select(F.concat_ws(
+        "  ", F.format_string("%05d", F.col("o_custkey")),
+        F.date_format(F.col("o_orderdate"), "yyyyMMdd"), F.lit("1"),
+        F.col("o_totalprice").cast("string")).alias("value"))
+    path = scratch_path(spark, "text")
+    lines.write.mode("error").text(path)
+    return src.read_transactions(spark, path, layout="whitespace")
+
+
 def q_parse_dates(spark, sf_dir):
     # yyyymmdd numbers derived from every order; the day is pushed past the
     # month's end for part of them so impossible dates occur (-> NULL).
@@ -370,6 +383,7 @@ def q_event_clv_statistics(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transactions": q_transactions,
+    "text_scan": q_text_scan,
     "parse_dates": q_parse_dates,
     "drop_incomplete": q_drop_incomplete,
     "first_purchases": q_first_purchases,

@@ -73,6 +73,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder name under the checkpoint folder (shared storage on a cluster)."""
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{base}/{name}/{uuid.uuid4().hex}"
+
+
 def materialize(df):
     """Write ``df`` as a parquet table under the checkpoint folder and read it back.
 
@@ -84,7 +90,6 @@ def materialize(df):
     size, not a fixed count.
     """
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/tables/{uuid.uuid4().hex}"
+    path = scratch_path(spark, "tables")
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
