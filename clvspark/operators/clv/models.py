@@ -1,8 +1,8 @@
 """Pareto/NBD and Gamma/Gamma on Spark (V3-V9).
 
 Fitting: the log-likelihood is a sum over customers. Each optimiser call
-sends K parameter vectors to every partition of the (checkpointed) customer
-statistics; ``mapInPandas`` evaluates them with numpy over Arrow batches and
+sends K parameter vectors to every partition of the (materialized, then
+cached) customer statistics; ``mapInPandas`` evaluates them with numpy over Arrow batches and
 returns one partial sum per vector and partition; Spark adds them up. Only
 the K sums reach the driver, where the optimiser keeps its few numbers.
 

@@ -7,8 +7,8 @@ results come from one plan with few shuffles:
 1. ``cohort_ids``: first purchase per customer (partial aggregation), filtered
    to the entry window; one row per cohort customer.
 2. ``assignment``: the exact seeded train/test draw over those ids
-   (:func:`clvspark.operators.sampling.hash_split_flags`), written to the
-   reliable checkpoint folder: it is small (one row per customer) and every
+   (:func:`clvspark.operators.sampling.hash_split_flags`), written as a table
+   under the checkpoint folder: it is small (one row per customer) and every
    later step reads it.
 3. ``tagged``: transactions joined to the assignment. The inner join is the
    cohort filter and the side tag at once; AQE broadcasts the assignment

@@ -67,8 +67,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     if not sc.master.startswith("local"):
         raise RuntimeError(
-            "spark.checkpoint.dir is not set; iterative fits cut their lineage "
-            "with reliable checkpoints and need a shared folder")
+            "spark.checkpoint.dir is not set; shared intermediate tables are "
+            "written under it and need a shared folder")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="clvspark-ckpt-"))
     return sc.getCheckpointDir()
 

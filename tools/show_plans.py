@@ -66,10 +66,10 @@ def main() -> None:
     show("modelling tables (T1, G3-G5, J1, F9, F11): one aggregate per customer and side",
          p._tables_plan,
          "Partial aggregate per (customer, day) before the first shuffle; the sort-merge join "
-         "with the checkpointed split (Scan ExistingRDD) shuffles those reduced rows on "
+         "with the materialized split (a parquet scan) shuffles those reduced rows on "
          "customer_id, and the final per-customer aggregate reuses that partitioning (no "
          "exchange above the join). Side cutoffs: a broadcast of at most two rows.")
-    show("ROC AUC (E2): bucketed prefix sums over the checkpointed test table",
+    show("ROC AUC (E2): bucketed prefix sums over the materialized test table",
          ev.roc_auc(reg.standin_scores(p.test_table)),
          "One row per distinct score; the window is partitioned by score bucket, the bucket "
          "offsets (one row per bucket) are broadcast. No window without a partition over "
