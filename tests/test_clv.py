@@ -127,3 +127,18 @@ def test_clv_flow_on_orders(spark):
     assert summary["Total"].transactions == data.daily.count()
     assert summary["Estimation"].transactions + summary["Holdout"].transactions == \
         summary["Total"].transactions
+
+
+def test_text_ids_flow_through_clv_scoring(spark, tmp_path):
+    from clvspark.sources.transactions import read_transactions
+    lines = [f" {i:05d} 1997{m:02d}{d:02d}  1   {10 + i % 50}.25"
+             for i in range(1, 40) for m, d in ((1, 5), (3, 7 + i % 9), (11, 20))]
+    path = tmp_path / "tx.txt"
+    path.write_text("\n".join(lines) + "\n")
+    tx = read_transactions(spark, str(path))
+    data = cd.clv_data(tx, "1997-06-01")
+    model = cm.fixed_model(cm.PNBD_PARAMS, reg.FIXED_PNBD)
+    pred = cm.predict_pnbd(model, data, cm.fixed_model(cm.GG_PARAMS, reg.FIXED_GG))
+    rows = pred.collect()
+    assert dict(pred.dtypes)["customer_id"] == "string" and len(rows) == 39
+    assert all(r.actual_x == 1 and 0 <= r.p_alive <= 1 for r in rows)
