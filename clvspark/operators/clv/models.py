@@ -314,15 +314,22 @@ def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:
     if not remove_first:
         return data.stats.select(KEY, (F.col("x") + 1).cast("double").alias("n"),
                                  F.col("spending").alias("z"))
+    # spend of the repeat transactions only: exact sums, one division
     split = F.lit(data.estimation_end)
+    scale = data.money_scale
+    money = (lambda c: c.cast(f"decimal(18,{scale})")) if scale is not None else (
+        lambda c: c.cast("double"))
     est = data.daily.filter(F.col("date") <= split)
-    firsts = est.groupBy(KEY).agg(F.min("date").alias("date"))
-    first_spend = est.join(firsts, [KEY, "date"]).select(KEY, F.col("price").alias("_first"))
-    return (data.stats.join(first_spend, KEY)
-                .filter(F.col("x") > 0)
-                .select(KEY, F.col("x").cast("double").alias("n"),
-                        ((F.col("spending") * (F.col("x") + 1) - F.col("_first"))
-                         / F.col("x").cast("double")).alias("z")))
+    firsts = est.groupBy(KEY).agg(F.min("date").alias("_d0"))
+    per_customer = (est.join(firsts, KEY)
+                       .groupBy(KEY)
+                       .agg(F.count(F.lit(1)).alias("_n"),
+                            F.sum(F.when(F.col("date") > F.col("_d0"), money(F.col("price"))))
+                             .alias("_repeat")))
+    return (per_customer.filter(F.col("_n") > 1)
+                        .select(KEY, (F.col("_n") - 1).cast("double").alias("n"),
+                                (F.col("_repeat").cast("double")
+                                 / (F.col("_n") - 1).cast("double")).alias("z")))
 
 
 def fit_gamma_gamma(data: ClvData, remove_first: bool = False, start=(1.0, 1.0, 1.0),

@@ -142,3 +142,13 @@ def test_text_ids_flow_through_clv_scoring(spark, tmp_path):
     rows = pred.collect()
     assert dict(pred.dtypes)["customer_id"] == "string" and len(rows) == 39
     assert all(r.actual_x == 1 and 0 <= r.p_alive <= 1 for r in rows)
+
+
+def test_gamma_gamma_input_without_first_purchase(spark):
+    tx = tx_frame(spark, [(1, "1997-01-01", 5), (1, "1997-02-01", 7), (1, "1997-03-01", 9.5),
+                          (2, "1997-01-10", 4), (3, "1997-01-05", 2), (3, "1997-01-09", 6)])
+    data = cd.clv_data(tx, "1998-01-01")
+    rows = {r.customer_id: (r.n, r.z) for r in cm._gg_input(data, True).collect()}
+    assert rows == {1: (2.0, 8.25), 3: (1.0, 6.0)}        # one-time buyer 2 has no repeats
+    kept = {r.customer_id: (r.n, r.z) for r in cm._gg_input(data, False).collect()}
+    assert kept[1] == (3.0, 21.5 / 3) and kept[2] == (1.0, 4.0)
