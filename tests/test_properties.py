@@ -61,3 +61,16 @@ def test_expected_tracking_telescopes(spark):
     counts = np.array([r["count"] for r in firsts], float)
     ex = kernels.pnbd_unconditional_expectation(np.array([reg.FIXED_PNBD]), ages)[0]
     assert expected == pytest.approx(float((counts * ex).sum()), rel=1e-9)
+
+
+@SLOW
+@given(keys=st.lists(st.integers(0, 12), min_size=1, max_size=300),
+       members=st.sets(st.integers(0, 12)), how=st.sampled_from(["inner", "left_semi", "left_anti"]))
+def test_salted_join_equals_plain_join(spark, keys, members, how):
+    from clvspark.operators.skew import salted_join
+    big = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "customer_id long, v long")
+    small = spark.createDataFrame([(m, m % 2 == 0) for m in sorted(members)],
+                                  "customer_id long, flag boolean")
+    got = salted_join(big, small, "customer_id", how, share=0.05, rows_per_task=7)
+    want = big.join(small, "customer_id", how)
+    assert sorted(got.collect()) == sorted(want.collect())
