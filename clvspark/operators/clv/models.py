@@ -37,10 +37,11 @@ ROWS_PER_TASK = 20_000      # customers per task in the likelihood passes
 GG_PARAMS = ("p", "q", "gamma")
 
 
-def batched_loglik(df: DataFrame, kernel, columns: tuple[str, ...], params: np.ndarray,
-                   weight: str | None = None) -> np.ndarray:
-    """Sum over all rows of ``kernel(params, *columns)`` (times ``weight``)
-    for K parameter rows."""
+def loglik_sums(df: DataFrame, kernel, columns: tuple[str, ...], params: np.ndarray,
+                weight: str | None = None) -> DataFrame:
+    """One pass: ``k, ll`` with the sum over all rows of ``kernel(params, *columns)``
+    (times ``weight``) for each of the K parameter rows. Each task returns K
+    partial sums; the K-row aggregate is all that leaves the executors."""
     params = np.ascontiguousarray(params, dtype=float)
     k = params.shape[0]
 
@@ -55,10 +56,15 @@ def batched_loglik(df: DataFrame, kernel, columns: tuple[str, ...], params: np.n
         yield pd.DataFrame({"k": np.arange(k, dtype=np.int32), "ll": total})
 
     cols = (*columns, weight) if weight is not None else columns
-    sums = (df.select(*cols).mapInPandas(run, "k int, ll double")
+    return (df.select(*cols).mapInPandas(run, "k int, ll double")
               .groupBy("k").agg(F.sum("ll").alias("ll")))
-    out = np.full(k, np.nan)
-    for row in sums.collect():            # K rows
+
+
+def batched_loglik(df: DataFrame, kernel, columns: tuple[str, ...], params: np.ndarray,
+                   weight: str | None = None) -> np.ndarray:
+    """The K sums of :func:`loglik_sums` as a numpy vector (K rows collected)."""
+    out = np.full(np.shape(params)[0], np.nan)
+    for row in loglik_sums(df, kernel, columns, params, weight).collect():
         out[row["k"]] = row["ll"]
     return out
 
