@@ -25,6 +25,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clvspark.session import materialize
+
 DEFAULT_BUCKETS = 64
 _EXACT = "decimal(38,0)"
 
@@ -42,10 +44,13 @@ def mae(df: DataFrame, truth: str = "spend_90_total", estimate: str = "pred_tota
 
 
 def _score_counts(df: DataFrame, label: str, score: str, event: float) -> DataFrame:
+    """One row per distinct score, written once: the quantile cut points and
+    the prefix sums both read it, so the scores are aggregated a single time."""
     is_event = (F.col(label) == F.lit(event)).cast("bigint")
-    return (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
-              .groupBy(F.col(score).cast("double").alias("score"))
-              .agg(F.sum(is_event).alias("pos"), F.sum(1 - is_event).alias("neg")))
+    counts = (df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+                .groupBy(F.col(score).cast("double").alias("score"))
+                .agg(F.sum(is_event).alias("pos"), F.sum(1 - is_event).alias("neg")))
+    return materialize(counts)
 
 
 def _default_buckets(df: DataFrame) -> int:
