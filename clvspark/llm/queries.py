@@ -5,10 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id
+from clvspark.llm import language_id, pieces
 from clvspark.llm.frames import crc_mod, table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sampled pieces of every document, with the digest of the text that decoding gives back."""
+    encoded = pieces.encode(table(spark, sf_dir, "documents"))
+    return pieces.decode(encoded).select(
+        "doc_id", "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(crc_mod("doc_id", 4) != 2))
@@ -18,6 +26,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op9_language_id": op9_language_id,
 }
 
