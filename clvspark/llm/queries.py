@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id, pieces
+from clvspark.llm import language_id, minhash, pieces
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -17,6 +17,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(crc_mod("doc_id", 4) != 2))
@@ -27,6 +31,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_minhash": op2_minhash,
     "op9_language_id": op9_language_id,
 }
 
