@@ -278,12 +278,12 @@ def _distinct(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Sampler:
     """Encodes texts in blocks of at most ``block`` characters (or one text)."""
 
-    def __init__(self, vocab: Vocabulary, seed: int = 0, block: int = 6_000_000):
+    def __init__(self, vocab: Vocabulary, seed: int = 0, block: int = 2_000_000):
         self.vocab, self.seed, self.block = vocab, np.uint64(seed), block
 
-    def encode(self, keys: np.ndarray, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in order, and the number of ids per text."""
-        out, at = [], 0
+    def encode(self, keys: np.ndarray, texts: list[str | None]):
+        """Yields blocks in order: (number of texts, all their ids, number of ids per text)."""
+        at = 0
         while at < len(texts):
             parts, size, until = [], 0, at
             while until < len(texts) and size < self.block:
@@ -291,11 +291,8 @@ class Sampler:
                 size += len(parts[-1])
                 until += 1
             with np.errstate(over="ignore"):
-                out.append(self._encode(keys[at:until], parts))
+                yield until - at, *self._encode(keys[at:until], parts)
             at = until
-        if not out:
-            return np.zeros(0, np.int32), np.zeros(0, np.int64)
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
     def _encode(self, keys: np.ndarray, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         chars = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), np.uint32)
@@ -330,10 +327,10 @@ class Sampler:
             rows = chars[start[here][:, None] + np.arange(n)]
             first, number = _distinct(rows) if n > 1 else np.unique(
                 rows[:, 0], return_index=True, return_inverse=True)[1:]
-            for at in range(0, len(first), 50_000):  # bounds the lattices held at once
-                inside = slice(None) if len(first) <= 50_000 else np.flatnonzero(
-                    (number >= at) & (number < at + 50_000))
-                filtered = _Filtered(self.vocab, rows[first[at:at + 50_000]])
+            for at in range(0, len(first), 20_000):  # bounds the lattices held at once
+                inside = slice(None) if len(first) <= 20_000 else np.flatnonzero(
+                    (number >= at) & (number < at + 20_000))
+                filtered = _Filtered(self.vocab, rows[first[at:at + 20_000]])
                 mine = here[inside]
                 o, s, c = filtered.sample(number[inside] - at, base[mine])
                 drawn[mine] = np.bincount(o, minlength=len(mine))

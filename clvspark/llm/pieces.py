@@ -30,21 +30,37 @@ def _lists(values: np.ndarray, counts: np.ndarray, null: np.ndarray) -> pa.Array
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model_path: str = MODEL,
-           theta: float = 0.8, seed: int = 0, block: int = 6_000_000) -> DataFrame:
-    """(key, pieces array<int>) of every row; a task works on about ``block`` characters at a time."""
+           theta: float = 0.8, seed: int = 0, block: int = 2_000_000, decoded: bool = False) -> DataFrame:
+    """(key, pieces array<int>) of every row; a task works on about ``block`` characters at a time.
+
+    With ``decoded`` there is a third column ``text``: what decoding the
+    pieces gives, made in the same task so that the pieces travel once.
+    """
     vocab = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path, theta))
+    columns = ["key", "pieces"] + ["text"] * decoded
 
     def run(batches):
-        sampler = Sampler(vocab.value, seed, block)
+        sampler, decoder = Sampler(vocab.value, seed, block), Decoder(vocab.value)
         for batch in batches:
             keys = batch.column("key").fill_null(0).to_numpy(zero_copy_only=False)
-            ids, counts = sampler.encode(keys, batch.column("text").to_pylist())
             null = batch.column("text").is_null().to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), _lists(ids, counts, null)],
-                                             names=["key", "pieces"])
+            at = 0
+            for rows, ids, counts in sampler.encode(keys, batch.column("text").to_pylist()):
+                out = [batch.column("key").slice(at, rows), _lists(ids, counts, null[at:at + rows])]
+                if decoded:
+                    out.append(_texts(decoder, ids, counts, null[at:at + rows]))
+                yield pa.RecordBatch.from_arrays(out, names=columns)
+                at += rows
 
     source = docs.select(F.col(key).cast("long").alias("key"), F.col(text).cast("string").alias("text"))
-    return source.mapInArrow(run, "key long, pieces array<int>").withColumnRenamed("key", key)
+    return source.mapInArrow(run, "key long, pieces array<int>" + ", text string" * decoded).withColumnRenamed("key", key)
+
+
+def _texts(decoder: Decoder, ids: np.ndarray, counts: np.ndarray, null: np.ndarray) -> pa.Array:
+    data, offsets = decoder.decode(ids, counts)
+    valid = pa.py_buffer(np.packbits(~null, bitorder="little")) if null.any() else None
+    return pa.Array.from_buffers(pa.string(), len(counts), [
+        valid, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
 
 
 def decode(encoded: DataFrame, key: str = "doc_id", pieces: str = "pieces", model_path: str = MODEL,
@@ -60,11 +76,7 @@ def decode(encoded: DataFrame, key: str = "doc_id", pieces: str = "pieces", mode
                 lists = part.column("pieces")
                 ids = lists.flatten().to_numpy(zero_copy_only=False)
                 counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-                data, offsets = decoder.decode(ids, counts)
-                null = lists.is_null().to_numpy(zero_copy_only=False)
-                valid = pa.py_buffer(np.packbits(~null, bitorder="little")) if null.any() else None
-                texts = pa.Array.from_buffers(pa.string(), part.num_rows, [
-                    valid, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))])
+                texts = _texts(decoder, ids, counts, lists.is_null().to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([part.column("key"), lists, texts], names=["key", "pieces", "text"])
 
     source = encoded.select(F.col(key).cast("long").alias("key"), F.col(pieces).cast("array<int>").alias("pieces"))
