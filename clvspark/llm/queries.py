@@ -5,14 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id, minhash, pieces
+from clvspark.llm import language_id, minhash, personal_data, pieces
 from clvspark.llm.frames import crc_mod, table
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sampled pieces of every document, with the digest of the text that decoding gives back."""
-    encoded = pieces.encode(table(spark, sf_dir, "documents"))
-    return pieces.decode(encoded).select(
+    return pieces.encode(table(spark, sf_dir, "documents"), decoded=True).select(
         "doc_id", "pieces", F.coalesce(F.size("pieces"), F.lit(0)).cast("long").alias("n_pieces"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
 
@@ -21,6 +20,14 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data.spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[personal_data.count_of("spans", k).alias(f"n_{k}") for k in personal_data.KINDS],
+        F.sha2(personal_data.written("spans", kinds=4).cast("binary"), 256).alias("base_sha256"),
+        personal_data.written("spans").alias("spans"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(crc_mod("doc_id", 4) != 2))
@@ -32,6 +39,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
+    "op6_personal_data": op6_personal_data,
     "op9_language_id": op9_language_id,
 }
 
