@@ -43,15 +43,20 @@ def _pieces(text: str, count: int, chars: int) -> Column:
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang",
         max_documents: int = 6000, pieces: int = 4, piece_chars: int = 150, steps: int = 250,
         segment: int = 64, hidden: int = 8, seed: int = 17) -> LanguageModel:
-    """Train on at most ``max_documents`` labelled texts, chosen by a hash of key and text.
+    """Train on about ``max_documents`` labelled texts, and no more than that.
 
-    Of each chosen text ``pieces`` slices of ``piece_chars`` characters,
-    spread over its length, reach the driver; that bounds the training data.
+    They are the rows whose hash of the key falls under a threshold set
+    from the row count, so what reaches the driver does not grow with the
+    table: of each chosen text ``pieces`` slices of ``piece_chars``
+    characters, spread over its length.
     """
-    rows = (labelled.filter(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}"))
-            .select(F.col(label).cast("string").alias("label"), _pieces(text, pieces, piece_chars).alias("pieces"),
-                    F.xxhash64(F.col(key), F.col(text), F.lit(seed)).alias("at"))
-            .orderBy("at", "label").limit(max_documents).collect())
+    known = labelled.filter(F.col(label).isNotNull())
+    share = min(1.0, max_documents / max(1, known.count()))
+    rows = (known.select(F.col(label).cast("string").alias("label"), F.col(text).alias("text"),
+                         F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)).alias("at"))
+            .filter((F.col("at") < int(share * (1 << 30)) + 1) & F.col("text").rlike(r"\p{L}"))
+            .select("label", _pieces("text", pieces, piece_chars).alias("pieces"), "at").collect())
+    rows = sorted(rows, key=lambda r: (r["at"], r["label"], r["pieces"]))[:max_documents]
     labels = sorted({r["label"] for r in rows})
     if not labels:
         return LanguageModel([], None)
