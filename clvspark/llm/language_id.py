@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from clvspark.llm.byte_gru import ByteGRU
 
@@ -96,22 +97,26 @@ def pooled(network: ByteGRU, data: np.ndarray, offsets: np.ndarray, segment: int
 
 
 def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text",
-            segment: int = 128, block: int = 2048) -> DataFrame:
-    """(key, lang_pred, score) for every row of ``docs``.
+            segment: int = 128, block: int = 2048, carry: list[str] | None = None,
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """(key, lang_pred, score) for every row of ``docs``, or the columns ``carry`` in place of the key;
+    ``names`` are those of the two new columns.
 
     A text is read in segments of ``segment`` bytes, each with a fresh
     state; all of its bytes are labelled.
     """
-    source = docs.select(F.col(key).cast("long").alias("key"),
-                         F.when(F.col(text).rlike(r"\p{L}"), F.col(text).cast("binary")).alias("text"))
-    out_key = F.col("key").alias(key)
+    kept = carry or [key]
+    read = F.when(F.col(text).rlike(r"\p{L}"), F.col(text).cast("binary"))
     if model.network is None:
-        return source.select(out_key, F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return docs.select(*kept, F.lit(UNDETERMINED).alias(names[0]), F.lit(0.0).alias(names[1]))
+    source = docs.select(*[F.col(c).alias(f"c{i}") for i, c in enumerate(kept)], read.alias("read"))
     labels, network = np.array(model.labels, dtype=object), model.network
+    schema = StructType([*source.schema.fields[:-1], StructField("lang_pred", StringType()),
+                         StructField("score", DoubleType())])
 
     def run(batches):
         for batch in batches:
-            texts = batch.column("text")
+            texts = batch.column("read")
             texts = pa.concat_arrays([texts]) if texts.offset else texts
             offsets = np.frombuffer(texts.buffers()[1], np.int64 if pa.types.is_large_binary(texts.type) else np.int32)
             offsets = offsets[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
@@ -119,10 +124,10 @@ def predict(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: st
             data = np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.zeros(1, np.uint8)
             p = pooled(network, data, offsets, segment, block)
             best, missing = p.argmax(axis=1), np.diff(offsets) == 0
-            names = np.where(missing, UNDETERMINED, labels[best])
+            found = np.where(missing, UNDETERMINED, labels[best])
             score = np.where(missing, 0.0, np.clip(p[np.arange(len(p)), best], 0.0, 1.0))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(names, pa.string()), pa.array(score, pa.float64())],
-                names=["key", "lang_pred", "score"])
+                [*batch.columns[:-1], pa.array(found, pa.string()), pa.array(score, pa.float64())],
+                names=schema.names)
 
-    return source.mapInArrow(run, "key long, lang_pred string, score double").withColumnRenamed("key", key)
+    return source.mapInArrow(run, schema).toDF(*kept, *names)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id, minhash, personal_data, pieces
+from clvspark.llm import language_id, minhash, mixing, personal_data, pieces
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -36,11 +36,16 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
     "op6_personal_data": op6_personal_data,
     "op9_language_id": op9_language_id,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE: dict[str, str] = {}
