@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id, minhash, mixing, personal_data, pieces
+from clvspark.llm import language_id, minhash, mixing, personal_data, pieces, text_rules
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -28,6 +28,11 @@ def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         personal_data.written("spans").alias("spans"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``source`` stands for the host: the table has no other name of a text's origin."""
+    return text_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(crc_mod("doc_id", 4) != 2))
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
     "op6_personal_data": op6_personal_data,
+    "op7_quality_rules": op7_quality_rules,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
 }
