@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id, minhash, mixing, personal_data, pieces, text_rules
+from clvspark.llm import language_id, minhash, mixing, personal_data, pieces, quality_rules_ensemble, text_rules
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -20,6 +20,16 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    taught = labels.filter((crc_mod("doc_id", 5) != 0) & F.col("quality").isNotNull())
+    model = quality_rules_ensemble.fit(docs.select("doc_id", "text").join(taught, "doc_id"))
+    return quality_rules_ensemble.score(docs, model).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.spans(table(spark, sf_dir, "documents"))
     return found.select(
@@ -48,6 +58,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
+    "op4_quality_classifier": op4_quality_classifier,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op9_language_id": op9_language_id,
