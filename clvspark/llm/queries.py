@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import language_id, minhash, mixing, personal_data, pieces, quality_rules_ensemble, text_rules
+from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, quality_rules_ensemble, text_rules
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -30,6 +30,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(table(spark, sf_dir, "pages"), html_text.fit())
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data.spans(table(spark, sf_dir, "documents"))
     return found.select(
@@ -59,6 +64,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_html_text": op5_html_text,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
     "op9_language_id": op9_language_id,
