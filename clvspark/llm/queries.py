@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, quality_rules_ensemble, text_rules
+from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, text_rules
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -20,6 +20,10 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op3_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_index.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -63,6 +67,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
+    "op3_pivot_index": op3_pivot_index,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_html_text": op5_html_text,
     "op6_personal_data": op6_personal_data,
