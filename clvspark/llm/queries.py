@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, text_rules
+from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, suffix_dedup, text_rules
 from clvspark.llm.frames import crc_mod, table
 
 
@@ -52,6 +52,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text_rules.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), keep="none")
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = language_id.fit(docs.filter(crc_mod("doc_id", 4) != 2))
@@ -72,6 +79,7 @@ QUERIES = {
     "op5_html_text": op5_html_text,
     "op6_personal_data": op6_personal_data,
     "op7_quality_rules": op7_quality_rules,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
 }
