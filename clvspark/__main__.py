@@ -17,7 +17,7 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from clvspark.plans import analyses
-from clvspark.session import ensure_checkpoint_dir
+from clvspark.session import ensure_checkpoint_dir, scratch_tables
 from clvspark.sources import storage
 from clvspark.sources.transactions import read_transactions, transactions_from
 
@@ -58,6 +58,11 @@ def main(argv: list[str] | None = None) -> None:
 
     spark = SparkSession.builder.appName(f"clvspark-{args.command}").getOrCreate()
     ensure_checkpoint_dir(spark)
+    with scratch_tables(spark):   # everything is written out below, so the scratch can go
+        _run(spark, args)
+
+
+def _run(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "spend":
         run = analyses.spend_analysis(_transactions(spark, args), *args.cohort,
                                       fraction=args.fraction, seed=args.seed,

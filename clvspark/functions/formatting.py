@@ -28,6 +28,13 @@ def round_half_even(c: Column | str, digits: int = 2) -> Column:
     return F.bround(_col(c), digits)
 
 
+def plain_number(c: Column | str) -> Column:
+    """A number as text, whole values without a decimal point: -3.0 -> '-3', 2.5 -> '2.5'."""
+    c = _col(c)
+    whole = (c == F.floor(c)) & (F.abs(c) < F.lit(1e15))
+    return F.when(whole, c.cast("bigint").cast("string")).otherwise(c.cast("string"))
+
+
 def template(*lines: Column) -> Column:
     """Multi-line text, one expression per line."""
     return F.concat_ws("\n", *lines)

@@ -55,8 +55,8 @@ def clv_data(tx: DataFrame, estimation_end: str | _dt.date, unit: str = "day",
     ``customers`` (one column ``customer_id``, e.g. cohort ids) restricts the
     data after purchases are merged per customer and day, so the membership
     join sees at most one row per customer and day. ``materialized`` writes
-    the statistics as a table under the checkpoint folder: the fits read
-    them once per optimiser step.
+    the per-day rows and the statistics as tables under the checkpoint
+    folder: the fits read them once per optimiser step.
     """
     unit = unit.lower().rstrip("s")
     if unit not in UNIT_DAYS:
@@ -66,6 +66,8 @@ def clv_data(tx: DataFrame, estimation_end: str | _dt.date, unit: str = "day",
     daily = tx.groupBy(KEY, "date").agg(exact_sum("price", money_scale).alias("price"))
     if customers is not None:
         daily = daily.join(customers.select(KEY), KEY, "left_semi")
+    if materialized:   # every table below comes from it: the transactions are not read again
+        daily = materialize(daily)
     est = daily.filter(F.col("date") <= F.lit(split))
     stats = est.groupBy(KEY).agg(
         F.count(F.lit(1)).alias("_n"),

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
+from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
 from clvspark.operators.clv import kernels
@@ -93,6 +93,8 @@ class FittedModel:
     message: str
     excluded: int = 0
     extra: dict = field(default_factory=dict)
+    at_bound: bool = False
+    hessian_definite: bool | None = None
 
     def coef(self) -> dict[str, float]:
         return dict(zip(self.names, self.estimates))
@@ -114,11 +116,14 @@ class FittedModel:
         spark = spark or SparkSession.getActiveSession()
         schema = StructType([StructField("loglik", DoubleType()), StructField("aic", DoubleType()),
                              StructField("bic", DoubleType()), StructField("n", LongType()),
-                             StructField("converged", StringType()),
-                             StructField("iterations", IntegerType())])
+                             StructField("converged", BooleanType()),
+                             StructField("at_bound", BooleanType()),
+                             StructField("hessian_definite", BooleanType()),
+                             StructField("iterations", IntegerType()),
+                             StructField("message", StringType())])
         return spark.createDataFrame(
-            [(self.loglik, self.aic, self.bic, self.n, str(self.converged), self.iterations)],
-            schema)
+            [(self.loglik, self.aic, self.bic, self.n, self.converged, self.at_bound,
+              self.hessian_definite, self.iterations, self.message)], schema)
 
 
 def _fit(df: DataFrame, kernel, columns, names, x0, n: int, excluded: int = 0,
@@ -154,8 +159,10 @@ def _fit(df: DataFrame, kernel, columns, names, x0, n: int, excluded: int = 0,
         se = tuple(float(math.sqrt(v)) if v > 0 else float("nan") for v in np.diag(cov))
     except np.linalg.LinAlgError:
         se = tuple(float("nan") for _ in names)
+    definite = bool(np.isfinite(h_log).all() and (np.linalg.eigvalsh(-h_log) > 0).all())
     return FittedModel(tuple(names), tuple(float(v) for v in theta), se, float(res.value), n,
-                       res.converged, res.iterations, res.evaluations, res.message, excluded)
+                       res.converged, res.iterations, res.evaluations, res.message, excluded,
+                       at_bound=res.at_bound, hessian_definite=definite)
 
 
 def fixed_model(names: tuple[str, ...], values) -> FittedModel:
@@ -193,7 +200,7 @@ def gg_input(data: ClvData, remove_first: bool = False) -> DataFrame:
 
 # --- Pareto/NBD --------------------------------------------------------------
 
-def fit_pnbd(data: ClvData, start=(1.0, 1.0, 1.0, 1.0), compress: bool = True,
+def fit_pnbd(data: ClvData, start=(1.0, 1.0, 1.0, 1.0), compress: bool = False,
              **opt) -> FittedModel:
     """Maximum-likelihood Pareto/NBD over the customer statistics (V3, V4).
 
@@ -251,9 +258,14 @@ def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None
                         .alias("actual_total_spending"),
                        "p_alive", "cet", "dert", "x", "spending"))
     if spending is not None:
-        mean = gg_mean_spend(spending, F.col("x") + 1, F.col("spending"))
+        # the same n and z as the spending model was fitted on
+        if spending.extra.get("remove_first", False):
+            out = out.join(_gg_input(data, True), KEY, "left")
+        else:
+            out = out.withColumn("n", F.col("x") + 1).withColumn("z", F.col("spending"))
+        mean = gg_mean_spend(spending, F.col("n"), F.col("z"))
         out = out.withColumn("predicted_mean_spending", mean) \
-                 .withColumn("predicted_clv", F.col("dert") * mean)
+                 .withColumn("predicted_clv", F.col("dert") * mean).drop("n", "z")
     return out.drop("x", "spending")
 
 
@@ -323,7 +335,7 @@ def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:
     # spend of the repeat transactions only: exact sums, one division
     split = F.lit(data.estimation_end)
     scale = data.money_scale
-    money = (lambda c: c.cast(f"decimal(18,{scale})")) if scale is not None else (
+    money = (lambda c: c.cast(f"decimal(38,{scale})")) if scale is not None else (
         lambda c: c.cast("double"))
     est = data.daily.filter(F.col("date") <= split)
     firsts = est.groupBy(KEY).agg(F.min("date").alias("_d0"))
@@ -332,14 +344,14 @@ def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:
                        .agg(F.count(F.lit(1)).alias("_n"),
                             F.sum(F.when(F.col("date") > F.col("_d0"), money(F.col("price"))))
                              .alias("_repeat")))
-    return (per_customer.filter(F.col("_n") > 1)
-                        .select(KEY, (F.col("_n") - 1).cast("double").alias("n"),
-                                (F.col("_repeat").cast("double")
-                                 / (F.col("_n") - 1).cast("double")).alias("z")))
+    # one-time buyers stay, with n = 0 and no mean
+    repeats = (F.col("_n") - 1).cast("double")
+    return per_customer.select(KEY, repeats.alias("n"),
+                               F.try_divide(F.col("_repeat").cast("double"), repeats).alias("z"))
 
 
 def fit_gamma_gamma(data: ClvData, remove_first: bool = False, start=(1.0, 1.0, 1.0),
-                    compress: bool = True, **opt) -> FittedModel:
+                    compress: bool = False, **opt) -> FittedModel:
     """Maximum-likelihood Gamma/Gamma spend model (V7).
 
     ``remove_first=False`` keeps the first transaction (n = x + 1), as the
@@ -348,7 +360,7 @@ def fit_gamma_gamma(data: ClvData, remove_first: bool = False, start=(1.0, 1.0,
     """
     gg = _gg_input(data, remove_first)
     counts = gg.agg(F.sum(F.when(F.col("z") > 0, 1).otherwise(0)).alias("ok"),
-                    F.sum(F.when(F.col("z") > 0, 0).otherwise(1)).alias("bad")).first()
+                    F.sum(F.when(F.col("z") <= 0, 1).otherwise(0)).alias("bad")).first()
     usable = gg.filter(F.col("z") > 0)
     fitted = _fit(usable, kernels.gg_loglik, ("n", "z"), GG_PARAMS, start, int(counts["ok"] or 0),
                   excluded=int(counts["bad"] or 0), compress=compress, **opt)
@@ -358,10 +370,14 @@ def fit_gamma_gamma(data: ClvData, remove_first: bool = False, start=(1.0, 1.0,
 
 
 def gg_mean_spend(model: FittedModel, n, z):
-    """Expected mean spend ``p (g + n z) / (p n + q - 1)`` as a column."""
+    """Expected mean spend ``p (g + n z) / (p n + q - 1)`` as a column; for ``n = 0`` the
+    population mean ``p g / (q - 1)``, NULL if ``q <= 1``."""
     p, q, g = (model.coef()[k] for k in GG_PARAMS)
-    n = n.cast("double")
-    return F.lit(p) * (F.lit(g) + n * z) / (F.lit(p) * n + F.lit(q - 1.0))
+    n = F.coalesce(n.cast("double"), F.lit(0.0))
+    mean = F.lit(p) * (F.lit(g) + n * F.coalesce(z, F.lit(0.0))) / F.nullif(
+        F.lit(p) * n + F.lit(q - 1.0), F.lit(0.0))
+    # without a purchase to go by: the population mean, which exists for q > 1 only
+    return F.when((n > 0) | F.lit(q > 1.0), mean)
 
 
 def predict_spending(model: FittedModel, data: ClvData) -> DataFrame:

@@ -23,8 +23,9 @@ class OptimResult:
     value: float
     iterations: int
     evaluations: int
-    converged: bool
+    converged: bool          # gradient below tolerance, and no parameter on the box
     message: str
+    at_bound: bool = False   # some log-parameter stands on the box
 
 
 def _gradient_points(x: np.ndarray, h: float) -> np.ndarray:
@@ -49,18 +50,23 @@ def maximize(f: Callable[[np.ndarray], np.ndarray], x0, bound: float = 12.0,
     prev_grad = None
     prev_x = None
     value = None
+
+    def result(x, value, it, converged, message):
+        on_box = bool((np.abs(x) >= bound).any())
+        return OptimResult(x, float(value), it, evals, bool(converged and not on_box), message, on_box)
+
     for it in range(1, max_iter + 1):
         vals = f(_gradient_points(x, h))
         evals += 1
         value = float(vals[0])
         if not np.isfinite(value):
-            return OptimResult(x, value, it, evals, False, "non-finite objective")
+            return result(x, value, it, False, "non-finite objective")
         grad = np.array([(vals[1 + 2 * i] - vals[2 + 2 * i]) / (2 * h) for i in range(d)])
         # ignore gradient pushing outward on an active bound
         at_bound = ((x >= bound) & (grad > 0)) | ((x <= -bound) & (grad < 0))
         free_grad = np.where(at_bound, 0.0, grad)
         if np.max(np.abs(free_grad)) <= gtol * max(1.0, abs(value)):
-            return OptimResult(x, value, it, evals, True, "gradient below tolerance")
+            return result(x, value, it, True, "gradient below tolerance")
         if prev_grad is not None:
             s = x - prev_x
             y = -(grad - prev_grad)          # minimise -f
@@ -86,17 +92,16 @@ def maximize(f: Callable[[np.ndarray], np.ndarray], x0, bound: float = 12.0,
         if ok.size == 0:
             better = np.where(np.isfinite(cvals) & (cvals > value))[0]
             if better.size == 0:
-                converged = np.max(np.abs(free_grad)) <= 1e-3 * max(1.0, abs(value))
-                return OptimResult(x, value, it, evals, bool(converged),
-                                   "no ascent along the search direction")
+                return result(x, value, it, False, "no ascent along the search direction")
             ok = better
         best = ok[np.argmax(cvals[ok])]
         prev_x, prev_grad = x, grad
         new_value = float(cvals[best])
         x = cands[best]
         if abs(new_value - value) <= ftol * max(1.0, abs(value)):
-            return OptimResult(x, new_value, it, evals, True, "relative change below tolerance")
-    return OptimResult(x, float(value), max_iter, evals, False, "iteration limit")
+            small = np.max(np.abs(free_grad)) <= gtol * max(1.0, abs(value))
+            return result(x, new_value, it, small, "relative change below tolerance")
+    return result(x, value, max_iter, False, "iteration limit")
 
 
 def hessian_points(x: np.ndarray, h: float) -> tuple[np.ndarray, Callable[[np.ndarray], np.ndarray]]:

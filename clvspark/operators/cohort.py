@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from clvspark.functions.dates import expand_partial_date
 from clvspark.operators.skew import hot_keys, salted_join
+from clvspark.session import materialize
 
 
 def date_range(df: DataFrame, date: str = "date") -> DataFrame:
@@ -81,8 +82,10 @@ def cohort(tx: DataFrame, start: str | _dt.date, end: str | _dt.date,
     membership join salts customers holding a large share of all rows
     (:mod:`clvspark.operators.skew`), so what follows stays balanced.
     """
-    per_customer = tx.groupBy(key).agg(F.min(date).alias("first_date"),
-                                       F.count(F.lit(1)).alias("_rows"))
+    # one row per customer, written once: the ids and the hot keys both come from it,
+    # so the transactions are read twice in all (here and by the join)
+    per_customer = materialize(tx.groupBy(key).agg(F.min(date).alias("first_date"),
+                                                   F.count(F.lit(1)).alias("_rows")))
     ids = filter_by_time(per_customer, "first_date", start, end).select(key)
     return salted_join(tx, ids, key, "left_semi", hot=hot_keys(per_customer, key))
 

@@ -8,8 +8,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clvspark.functions.formatting import currency, labelled, percent, round_half_even, template
+from clvspark.functions.formatting import (currency, labelled, percent, plain_number,
+                                           round_half_even, template)
 from clvspark.operators.cohort import members
+from clvspark.operators.quantiles import rank_quantiles
 from clvspark.operators.sampling import exact_hash_sample
 
 # Fixed value: the reference subtracts the prediction plus this constant (§1.4-13).
@@ -24,6 +26,7 @@ def spend_actual_vs_pred() -> F.Column:
     return F.col("spend_90_total") - (F.col("pred_total") + F.lit(PRED_OFFSET))
 
 
+# The tooltip's labels.
 def _head_lines() -> list[F.Column]:
     return [
         labelled("Customer ID", F.col("customer_id")),
@@ -41,7 +44,7 @@ def dashboard_base(pred: DataFrame, with_text: bool = True) -> DataFrame:
     if not with_text:
         return out
     text = template(*_head_lines(),
-                    labelled("Recency", F.col("recency")),
+                    labelled("Recency", plain_number("recency")),
                     labelled("Spend History (Total)", currency("price_sum")),
                     labelled("Avg Purchase", currency("price_mean")))
     return out.withColumn("text", text)
@@ -93,26 +96,22 @@ def scaled_features(sample: DataFrame, with_text: bool = False) -> DataFrame:
     if not with_text:
         return long
     line = F.concat(F.col("feature"), F.lit(": "),
-                    round_half_even("value", 2).cast("string"))
+                    plain_number(round_half_even("value", 2)))
     return long.withColumn("text", template(*_head_lines(), line))
 
 
-def probability_by_frequency(pred: DataFrame,
-                             quantiles=(0.25, 0.5, 0.75), accuracy: int = 10000) -> DataFrame:
-    """Per purchase frequency: customers, mean and quartiles of the purchase
-    probability (D2; the chart's smoothed curve, re-aimed).
+def _quantile_names(quantiles, suffix: str = "") -> dict[str, float]:
+    return {f"q{int(round(q * 100)):02d}{suffix}": q for q in quantiles}
 
-    Quartiles use ``percentile_approx``: bounded memory per group, exact
-    while a group holds fewer values than ``accuracy``.
-    """
-    qs = F.percentile_approx("pred_prob", list(quantiles), accuracy)
-    agg = (pred.groupBy("frequency")
-               .agg(F.count(F.lit(1)).alias("customers"),
-                    F.avg("pred_prob").alias("mean_prob"),
-                    qs.alias("_q")))
-    cols = [F.col("_q").getItem(i).alias(f"q{int(round(q * 100)):02d}_prob")
-            for i, q in enumerate(quantiles)]
-    return agg.select("frequency", "customers", "mean_prob", *cols)
+
+def probability_by_frequency(pred: DataFrame, quantiles=(0.25, 0.5, 0.75)) -> DataFrame:
+    """Per purchase frequency: customers, mean and exact quartiles of the
+    purchase probability (D2; the chart's smoothed curve, re-aimed)."""
+    names = _quantile_names(quantiles, "_prob")
+    agg = pred.groupBy("frequency").agg(F.count(F.lit(1)).alias("customers"),
+                                        F.avg("pred_prob").alias("mean_prob"))
+    exact = rank_quantiles(pred, "frequency", "pred_prob", names)
+    return agg.join(exact, "frequency", "left").select("frequency", "customers", "mean_prob", *names)
 
 
 def feature_distribution(scaled: DataFrame, bin_width: float = 0.5) -> DataFrame:
@@ -123,12 +122,9 @@ def feature_distribution(scaled: DataFrame, bin_width: float = 0.5) -> DataFrame
                   .agg(F.count(F.lit(1)).alias("customers")))
 
 
-def feature_quantiles(scaled: DataFrame, quantiles=(0.05, 0.25, 0.5, 0.75, 0.95),
-                      accuracy: int = 10000) -> DataFrame:
-    """Quantiles of the scaled value per feature (D3)."""
-    qs = F.percentile_approx("value_scaled", list(quantiles), accuracy)
-    agg = scaled.groupBy("feature").agg(F.count("value_scaled").alias("customers"),
-                                        qs.alias("_q"))
-    cols = [F.col("_q").getItem(i).alias(f"q{int(round(q * 100)):02d}")
-            for i, q in enumerate(quantiles)]
-    return agg.select("feature", "customers", *cols)
+def feature_quantiles(scaled: DataFrame, quantiles=(0.05, 0.25, 0.5, 0.75, 0.95)) -> DataFrame:
+    """Exact quantiles of the scaled value per feature (D3)."""
+    names = _quantile_names(quantiles)
+    agg = scaled.groupBy("feature").agg(F.count("value_scaled").alias("customers"))
+    exact = rank_quantiles(scaled, "feature", "value_scaled", names)
+    return agg.join(exact, "feature", "left").select("feature", "customers", *names)

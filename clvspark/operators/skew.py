@@ -6,9 +6,9 @@ task. AQE can split such a partition, but not when the next operator needs
 the join's partitioning (an aggregate by customer right after the join),
 which is exactly how these joins are used. So hot keys are salted:
 
-* a key is *hot* when it holds more than ``share`` of all rows and more
-  than ``rows_per_task`` rows; there are at most ``1 / share`` hot keys
-  (10,000 by default), a proven bound, so the hot-key table is broadcast;
+* a key is *hot* when it holds more than ``rows_per_task`` rows, whatever its
+  share of the table. The hot-key table grows with the data, so it is not
+  forced into a broadcast: AQE decides by its measured size;
 * a hot key with ``n`` rows gets ``ceil(n / rows_per_task)`` salts. Its
   transaction rows take a salt from a hash of the row (deterministic, so a
   recomputed task sees the same salt); its single per-customer row is
@@ -26,7 +26,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1e-4
 ROWS_PER_TASK = 2_000_000
 
 
@@ -35,19 +34,16 @@ def row_counts(big: DataFrame, key: str) -> DataFrame:
     return big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(counts: DataFrame, key: str, count_col: str = "_rows", share: float = HOT_SHARE,
+def hot_keys(counts: DataFrame, key: str, count_col: str = "_rows",
              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys holding more than ``share`` of all rows and more than a task's
-    worth, with their number of salts: at most ``1 / share`` rows."""
-    total = counts.agg(F.sum(count_col)).scalar()
-    hot = counts.filter((F.col(count_col) > total * F.lit(share))
-                        & (F.col(count_col) > F.lit(rows_per_task)))
+    """Keys holding more than a task's worth of rows, with their number of salts."""
+    hot = counts.filter(F.col(count_col) > F.lit(rows_per_task))
     return hot.select(key, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int")
                       .alias("_salts"))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                hot: DataFrame | None = None, share: float = HOT_SHARE,
+                hot: DataFrame | None = None,
                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` salted.
 
@@ -59,8 +55,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError("how must be inner, left_semi or left_anti")
     if hot is None:
-        hot = hot_keys(row_counts(big, key), key, share=share, rows_per_task=rows_per_task)
-    hot = F.broadcast(hot)                                   # <= 1 / share rows
+        hot = hot_keys(row_counts(big, key), key, rows_per_task=rows_per_task)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
     big_salted = (big.join(hot, key, "left")
                      .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clvspark.functions.dates import period_start
 from clvspark.functions.money import DEFAULT_SCALE, exact_sum
+from clvspark.session import materialize
 
 
 def summarize_by_time(df: DataFrame, date: str = "date", by: str = "month",
@@ -44,10 +45,12 @@ def smooth_trend(series: DataFrame, date: str = "date", value: str = "total_pric
     :func:`summarize_by_time`), bounded by the calendar and not by the data.
     The q nearest periods always lie within ``q - 1`` rows on either side, so
     each row sees a frame of at most ``2q - 1`` rows: no pairs beyond that.
-    ``n`` is one count of that series.
+    ``n`` is one count of that series. Where fewer points have weight than
+    the degree needs, the fit there drops to the degree they support.
     """
     if degree not in (0, 1, 2) or not 0 < span <= 1:
         raise ValueError("degree must be 0, 1 or 2 and span within (0, 1]")
+    series = materialize(series)   # small; counted and smoothed without running its flow twice
     n = series.count()
     if n == 0:
         return series.withColumn(out, F.lit(None).cast("double"))
@@ -72,13 +75,22 @@ def smooth_trend(series: DataFrame, date: str = "date", value: str = "total_pric
 
     s = [moment(k, False) for k in range(5)]
     t = [moment(k, True) for k in range(3)]
-    if degree == 0:
-        fit = t[0] / s[0]
-    elif degree == 1:
-        fit = (s[2] * t[0] - s[1] * t[1]) / (s[0] * s[2] - s[1] * s[1])
-    else:
-        fit = (_det3(t[0], s[1], s[2], t[1], s[2], s[3], t[2], s[3], s[4])
-               / _det3(s[0], s[1], s[2], s[1], s[2], s[3], s[2], s[3], s[4]))
+    staged = staged.withColumns({**{f"_s{k}": c for k, c in enumerate(s)},
+                                 **{f"_t{k}": c for k, c in enumerate(t)}})
+    s, t = [F.col(f"_s{k}") for k in range(5)], [F.col(f"_t{k}") for k in range(3)]
+    # the degree that the points with weight support: a determinant next to zero means fewer
+    # points than coefficients, and the next lower degree is fitted
+    small = F.lit(1e-9)
+    det2 = s[0] * s[2] - s[1] * s[1]
+    det3 = _det3(s[0], s[1], s[2], s[1], s[2], s[3], s[2], s[3], s[4])
+    fit = F.when(s[0] > 0, F.try_divide(t[0], s[0])).otherwise(F.col(value).cast("double"))
+    if degree >= 1:
+        line = F.try_divide(s[2] * t[0] - s[1] * t[1], det2)
+        fit = F.when(det2 > small * s[0] * s[2], line).otherwise(fit)
+    if degree == 2:
+        curve = F.try_divide(_det3(t[0], s[1], s[2], t[1], s[2], s[3], t[2], s[3], s[4]), det3)
+        fit = F.when(det3 > small * s[0] * s[2] * s[4], curve).otherwise(fit)
     if digits is not None:
         fit = F.round(fit, digits)
-    return staged.withColumn(out, fit).drop("_x0", "_pts", "_h")
+    return staged.withColumn(out, fit).drop(
+        "_x0", "_pts", "_h", *[f"_s{k}" for k in range(5)], *[f"_t{k}" for k in range(3)])

@@ -110,7 +110,7 @@ class Prepared:
 
 
 def _money(c: Column, scale: int | None) -> Column:
-    return c.cast(f"decimal(18,{scale})") if scale is not None else c.cast("double")
+    return c.cast(f"decimal(38,{scale})") if scale is not None else c.cast("double")
 
 
 def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.date,
@@ -129,9 +129,11 @@ def prepare(tx: DataFrame, cohort_start: str | _dt.date, cohort_end: str | _dt.d
     calendar day to any task.
     """
     period = assess if isinstance(assess, Period) else parse_period(assess)
-    daily = tx.groupBy(KEY, "date").agg(
+    # written once: ids, sides, tables and hot keys come from it, so the transactions are
+    # read once for the tables, and once more only by the transaction-level views
+    daily = materialize(tx.groupBy(KEY, "date").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(_money(F.col("price"), money_scale)).alias("_amount"))
+        F.sum(_money(F.col("price"), money_scale)).alias("_amount")))
     per_customer = daily.groupBy(KEY).agg(F.min("date").alias("first_date"),
                                           F.sum("_n").alias("_rows"))
     ids = filter_by_time(per_customer, "first_date", cohort_start, cohort_end).select(KEY)

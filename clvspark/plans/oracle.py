@@ -250,7 +250,8 @@ SELECT b.*, concat_ws(chr(10),
   'Actual 90-Day Spend: ' || {_currency('spend_90_total')},
   'Actual vs Pred: ' || {_currency('spend_actual_vs_pred')},
   '---',
-  'Recency: ' || CAST(recency AS VARCHAR),
+  'Recency: ' || CASE WHEN recency = floor(recency) THEN CAST(CAST(recency AS BIGINT) AS VARCHAR)
+                      ELSE CAST(recency AS VARCHAR) END,
   'Spend History (Total): ' || {_currency('price_sum')},
   'Avg Purchase: ' || {_currency('price_mean')}) AS text
 FROM ({BASE}) b""")
@@ -356,6 +357,16 @@ SELECT customer_id, spending AS actual_mean_spending,
        round({_GG_MEAN}, 6) AS predicted_mean_spending
 FROM stats WHERE spending > 0"""
 
+SPENDING_FIXED_REPEAT = f"""WITH {_CLV},
+f AS (SELECT customer_id, min(date) AS d0 FROM est GROUP BY customer_id),
+r AS (SELECT e.customer_id, CAST(count(*) - 1 AS DOUBLE) AS n,
+             CAST(sum(CASE WHEN e.date > f.d0 THEN CAST(e.price AS DECIMAL(18,2)) END) AS DOUBLE) AS total
+      FROM est e JOIN f USING (customer_id) GROUP BY e.customer_id)
+SELECT customer_id, round(CASE WHEN n > 0 THEN total / n END, 6) AS actual_mean_spending,
+       round({_f(_GP)} * ({_f(_GG)} + CASE WHEN n > 0 THEN total ELSE 0 END)
+             / ({_f(_GP)} * n + {_f(_GQ - 1.0)}), 6) AS predicted_mean_spending
+FROM r"""
+
 _EX_K = _R * _B / (_A * (_S - 1.0))
 
 
@@ -468,6 +479,20 @@ SELECT spend_actual_vs_pred AS "Actual Vs Prediction", spend_90_total AS "90-Day
        pred_total AS "90-Day Spend (Predict)", customer_id AS "Cust Id", recency AS "Recency",
        frequency AS "Frequency", price_sum AS "Monetary (Total)", price_mean AS "Monetary (Avg)"
 FROM ({BASE}) b WHERE spend_90_total < 10 AND pred_total > 10"""),
+    "most_likely_top": with_orders(
+        f"SELECT * FROM ({TEST_PRED}) p ORDER BY pred_prob DESC, customer_id LIMIT {reg.TOP}"),
+    "recent_but_unlikely_top": with_orders(
+        f"SELECT * FROM ({ALL_PRED}) p WHERE recency > -400 AND pred_prob < 0.6"
+        f" ORDER BY pred_prob, customer_id LIMIT {reg.TOP}"),
+    "missed_opportunities_top": with_orders(
+        f"SELECT * FROM ({TEST_PRED}) p WHERE spend_90_total = 0"
+        f" ORDER BY pred_total DESC, customer_id LIMIT {reg.TOP}"),
+    "spend_more_top": with_orders(f"""
+SELECT spend_actual_vs_pred AS "Actual Vs Prediction", spend_90_total AS "90-Day Spend (Actual)",
+       pred_total AS "90-Day Spend (Predict)", customer_id AS "Cust Id", recency AS "Recency",
+       frequency AS "Frequency", price_sum AS "Monetary (Total)", price_mean AS "Monetary (Avg)"
+FROM ({BASE}) b WHERE spend_90_total < 10 AND pred_total > 10
+ORDER BY pred_total DESC, customer_id LIMIT {reg.TOP}"""),
     "mae": with_orders(f"""
 SELECT CAST(SUM(CAST(abs(spend_90_total - pred_total) AS DECIMAL(38,12))) AS DOUBLE)
        / CAST(COUNT(*) AS DOUBLE) AS mae
@@ -533,5 +558,13 @@ GROUP BY feature"""),
     "pnbd_loglik_fixed": PNBD_LOGLIK_FIXED,
     "gg_loglik_fixed": GG_LOGLIK_FIXED,
     "spending_fixed": SPENDING_FIXED,
+    "spending_fixed_repeat": SPENDING_FIXED_REPEAT,
     "tracking_expected_fixed": TRACKING_EXPECTED_FIXED,
 }
+
+# round trips and layouts give the rows of the query they start from
+ORACLE |= {
+    "prediction_round_trip": with_orders(TEST_PRED),
+    "action_csv_round_trip": ORACLE["spend_more"],
+    "text_scan_positional": ORACLE["text_scan"],
+}

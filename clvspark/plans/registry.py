@@ -24,6 +24,7 @@ from clvspark.operators.clv import models as cm
 from clvspark.operators.timeseries import smooth_trend, summarize_by_time
 from clvspark.plans.lifetime_value import prepare
 from clvspark.session import materialize, scratch_path
+from clvspark.sources import storage
 from clvspark.sources import transactions as src
 
 # Fixed parameters of the test-table queries (§7.2).
@@ -33,6 +34,7 @@ EVENTS_COHORT = ("2024-01", "2024-01")
 EVENTS_ASSESS = "7 days"
 SPLIT_FRACTION = 0.8
 SPLIT_SEED = 123
+TOP = 15                 # rows of the top-k queries
 SAMPLE_FRACTION = 0.05   # the dashboard slider's default
 ORDERS_CLV_SPLIT = "2000-01-01"
 EVENTS_CLV_SPLIT = "2024-01-20"
@@ -98,7 +100,8 @@ def q_first_purchases(spark, sf_dir):
 
 
 def q_date_range(spark, sf_dir):
-    return co.date_range(co.first_purchases(orders_tx(spark, sf_dir)))
+    # the first dates alone: joining every row back to its first date would add nothing
+    return co.date_range(co.first_purchase_dates(orders_tx(spark, sf_dir)), "first_date")
 
 
 def q_filter_by_time(spark, sf_dir):
@@ -216,6 +219,52 @@ def q_spend_more(spark, sf_dir):
     return ac.spend_more_table(db.dashboard_base(standin_all(spark, sf_dir), with_text=False))
 
 
+# the k first rows of each ranking: as sets they depend on the order
+
+def q_most_likely_top(spark, sf_dir):
+    return ac.most_likely(standin_test(spark, sf_dir), n=TOP)
+
+
+def q_recent_but_unlikely_top(spark, sf_dir):
+    # bounds at which the table has rows on both sides of each
+    return ac.recent_but_unlikely(standin_all(spark, sf_dir), days=400, prob=0.6).limit(TOP)
+
+
+def q_missed_opportunities_top(spark, sf_dir):
+    return ac.missed_opportunities(standin_test(spark, sf_dir)).limit(TOP)
+
+
+def q_spend_more_top(spark, sf_dir):
+    return ac.spend_more_table(db.dashboard_base(standin_all(spark, sf_dir), with_text=False)).limit(TOP)
+
+
+def q_prediction_round_trip(spark, sf_dir):
+    # W1 then S4
+    path = scratch_path(spark, "predictions")
+    storage.write_predictions(standin_test(spark, sf_dir), path)
+    return storage.read_predictions(spark, path)
+
+
+def q_action_csv_round_trip(spark, sf_dir):
+    # W4, read back with the schema that was written
+    path = scratch_path(spark, "actions")
+    table = q_spend_more(spark, sf_dir)
+    storage.export_actions_csv(table, path)
+    return spark.read.schema(table.schema).option("header", True).csv(path)
+
+
+def q_text_scan_positional(spark, sf_dir):
+    # the blank-padded layout: customer, date, quantity and price are fields 2, 3, 5 and 8
+    o = src.read_table(spark, sf_dir, "orders")
+    lines = o.select(F.concat(
+        F.lit(" "), F.format_string("%05d", F.col("o_custkey")), F.lit(" "),
+        F.date_format(F.col("o_orderdate"), "yyyyMMdd"), F.lit("  1   "),
+        F.col("o_totalprice").cast("string")).alias("value"))
+    path = scratch_path(spark, "text")
+    lines.write.mode("error").text(path)
+    return src.read_transactions(spark, path, layout="positional")
+
+
 def q_mae(spark, sf_dir):
     return ev.mae(standin_test(spark, sf_dir))
 
@@ -315,6 +364,13 @@ def q_tracking_expected(spark, sf_dir):
     return cm.tracking(cm.fit_pnbd(data), data).filter(F.col("variable") == "pnbd")
 
 
+def q_fit_statistics(spark, sf_dir):
+    # V4 for both models, with whether each fit can be trusted
+    fits = zip(("pnbd", "gamma_gamma"), cm.fit_both(orders_clv(spark, sf_dir)))
+    first, second = (fit.fit_statistics(spark).withColumn("model", F.lit(name)) for name, fit in fits)
+    return first.unionByName(second)
+
+
 def q_gg_coefficients(spark, sf_dir):
     return cm.fit_gamma_gamma(orders_clv(spark, sf_dir)).summary(spark)
 
@@ -371,6 +427,15 @@ def q_spending_fixed(spark, sf_dir):
                       F.round("predicted_mean_spending", 6).alias("predicted_mean_spending"))
 
 
+def q_spending_fixed_repeat(spark, sf_dir):
+    # the library default of the prediction call: spend of repeat purchases only
+    model = cm.fixed_model(cm.GG_PARAMS, FIXED_GG)
+    model.extra["remove_first"] = True
+    out = cm.predict_spending(model, orders_clv(spark, sf_dir))
+    return out.select("customer_id", F.round("actual_mean_spending", 6).alias("actual_mean_spending"),
+                      F.round("predicted_mean_spending", 6).alias("predicted_mean_spending"))
+
+
 def q_tracking_expected_fixed(spark, sf_dir):
     out = cm.tracking(_fixed_pnbd(), orders_clv(spark, sf_dir)).filter(F.col("variable") == "pnbd")
     return out.select("period_until", "variable", F.round("value", 9).alias("value"))
@@ -409,6 +474,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recent_but_unlikely": q_recent_but_unlikely,
     "missed_opportunities": q_missed_opportunities,
     "spend_more": q_spend_more,
+    "most_likely_top": q_most_likely_top,
+    "recent_but_unlikely_top": q_recent_but_unlikely_top,
+    "missed_opportunities_top": q_missed_opportunities_top,
+    "spend_more_top": q_spend_more_top,
+    "prediction_round_trip": q_prediction_round_trip,
+    "action_csv_round_trip": q_action_csv_round_trip,
+    "text_scan_positional": q_text_scan_positional,
     "mae": q_mae,
     "roc_auc": q_roc_auc,
     "roc_curve": q_roc_curve,
@@ -430,6 +502,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pnbd_coefficients": q_pnbd_coefficients,
     "pnbd_predictions": q_pnbd_predictions,
     "tracking_expected": q_tracking_expected,
+    "fit_statistics": q_fit_statistics,
     "gg_coefficients": q_gg_coefficients,
     "spending_predictions": q_spending_predictions,
     "spending_density": q_spending_density,
@@ -437,6 +510,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pnbd_loglik_fixed": q_pnbd_loglik_fixed,
     "gg_loglik_fixed": q_gg_loglik_fixed,
     "spending_fixed": q_spending_fixed,
+    "spending_fixed_repeat": q_spending_fixed_repeat,
     "tracking_expected_fixed": q_tracking_expected_fixed,
 }
 

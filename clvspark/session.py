@@ -7,8 +7,10 @@ that own one (tests, ``bench.py``, ``__spark_entry__.py``).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,7 +67,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+    if not re.match(r"local(\[|$)", sc.master):   # local-cluster has executors of its own
         raise RuntimeError(
             "spark.checkpoint.dir is not set; shared intermediate tables are "
             "written under it and need a shared folder")
@@ -76,7 +78,32 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the checkpoint folder (shared storage on a cluster)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}/{uuid.uuid4().hex}"
+    path = f"{base}/{name}/{uuid.uuid4().hex}"
+    for owned in _owners:
+        owned.append(path)
+    return path
+
+
+_owners: list[list[str]] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession):
+    """Removes the scratch tables made inside the block when it ends.
+
+    For callers that write their results: what is still to be read from a
+    scratch table has to be written inside the block.
+    """
+    owned: list[str] = []
+    _owners.append(owned)
+    try:
+        yield owned
+    finally:
+        _owners.remove(owned)
+        jvm = spark.sparkContext._jvm
+        for path in owned:
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def materialize(df):
