@@ -4,11 +4,13 @@
    shingle set, its band keys and a one-byte-per-coordinate sketch.
    Documents with equal sets are one class, represented by the smallest key.
 2. Representatives that share a band key form a bucket. Each is paired with
-   its bucket's smallest key, and the pairs are confirmed on the full sets,
-   recomputed from the texts of candidates only.
+   the smallest key in its buckets, and the pairs are confirmed on the full
+   sets, recomputed from the texts of candidates only.
 3. A bucket is settled when links already connect its members. In the others
-   all members of different components are compared by sketch, block
-   against block, and what may reach the threshold is confirmed as in 2.
+   further stars around members drawn by a hash come first; what then still
+   holds several components is compared whole: block against block by
+   sketch, and members near one of another component on their full sets.
+   A task gives at most one link for each two components that meet.
 
 So no pairs are formed within a group of copies that hang together, and no
 candidate is dropped: the result is the components of all confirmed links
@@ -30,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clvspark.llm.cells import by_cell, deal
 from clvspark.llm.components import components
 from clvspark.llm.frames import keyed_bytes
 from clvspark.llm.shingles import band_keys, intersection, shingle_sets, signatures
@@ -99,65 +102,103 @@ def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int,
         "a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
-def _cross(members: DataFrame, percent: int, coordinates: int, cell: int) -> DataFrame:
-    """Pairs of different components within a bucket whose sketches may reach ``percent``.
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
 
-    ``members`` has bucket, size, key, n, component, sketch. A bucket of more
-    than ``cell`` members is cut into blocks by a hash, and each pair of
-    blocks is one group, so a group holds about two blocks at most.
+def _may_link(members: DataFrame, percent: int, coordinates: int, cell: int) -> DataFrame:
+    """(bucket, key): members whose sketch comes near ``percent`` with one of another component.
+
+    A pair counts in the first bucket that it shares. ``members`` has bucket,
+    size, key, n, component, bands, sketch.
     """
-    j = percent / 100
-    least = j - 5 * math.sqrt(j * (1 - j) / coordinates)
-    blocks = F.ceil(F.col("size") / cell).cast("int")
-    own = F.pmod(F.xxhash64("key"), blocks).cast("int")
-    cells = members.select("*", blocks.alias("blocks"), own.alias("own")).select(
-        "bucket", "key", "n", "component", "sketch",
-        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "own").select(
-        "bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own",
-        "key", "n", "component", "sketch")
-
-    def compare(rows: list[tuple]) -> list[tuple[int, int]]:
-        group, own, key, n, component, sketch = zip(*rows, strict=True)
-        _, i, j = group[0]
-        own, key, n, component = map(np.array, (own, key, n, component))
+    share = percent / 100
+    least = share - 5 * math.sqrt(share * (1 - share) / coordinates)
+
+    def compare(now: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        bucket, i, j = now
+        own, key, n, component, bands, sketch = zip(*rows, strict=True)
+        own, key, n, component, bands = map(np.array, (own, key, n, component, bands))
         sketch = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(key), -1)
-        left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
-        found = []
-        for x in left:
-            y = right[(component[right] != component[x]) & ((right > x) if i == j else True)]
+        flagged = np.zeros(len(key), bool)
+        for x in np.flatnonzero(own == i):
+            y = right[component[right] != component[x]]
             y = y[100 * np.minimum(n[y], n[x]) >= percent * np.maximum(n[y], n[x])]
-            y = y[(sketch[y] == sketch[x]).mean(axis=1) >= least] if len(y) else y
-            found += [(int(min(key[x], key[k])), int(max(key[x], key[k]))) for k in y]
-        return found
+            if len(y):
+                y = y[(sketch[y] == sketch[x]).mean(axis=1) >= least]
+            if len(y):
+                first = (bands[y] == bands[x]).argmax(axis=1)
+                y = y[bands[x][first] == bucket]
+                flagged[y] = True
+                flagged[x] |= len(y) > 0
+        return [(bucket, int(k)) for k in key[flagged]]
 
-    def run(batches):
-        held, now = [], None
-        for batch in batches:
-            out = []
-            for bucket, i, j, own, key, n, component, sketch in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (bucket, i, j) != now:
-                    out += compare(held) if held else []
-                    held, now = [], (bucket, i, j)
-                held.append((now, own, key, n, component, sketch))
-            yield _pairs(out)
-        yield _pairs(compare(held) if held else [])
+    return deal(members, cell, "key", "n", "component", "bands", "sketch").mapInArrow(
+        lambda batches: by_cell(batches, compare, _pairs), "bucket long, key long").distinct()
 
-    return (cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
-            .mapInArrow(run, "a long, b long").distinct())
 
+def _joining(members: DataFrame, words: int, percent: int, cell: int) -> DataFrame:
+    """Links (a, b) that join components, from full sets compared within each cell.
 
-def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    ``members`` has bucket, size, key, component, text. Per cell at most one
+    link for each two components that meet, so never all pairs of a group.
+    """
+
+    def compare(now: tuple, rows: list[tuple]) -> list[tuple[int, int]]:
+        _, i, j = now
+        own, key, component, texts = zip(*rows, strict=True)
+        sets = shingle_sets(list(texts), words)
+        sizes = np.array([len(s) for s in sets])
+        root = {c: c for c in component}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        right = [k for k in range(len(key)) if own[k] == j]
+        flat = np.concatenate([sets[k] for k in right]) if right else np.zeros(0, np.uint64)
+        owner = np.repeat(np.arange(len(right)), sizes[right]) if right else np.zeros(0, np.int64)
+        order = np.argsort(flat, kind="stable")
+        flat, owner = flat[order], owner[order]
+        found = []
+        for x in (k for k in range(len(key)) if own[k] == i):
+            if all(find(component[k]) == find(component[x]) for k in right):
+                continue
+            low, high = np.searchsorted(flat, sets[x], "left"), np.searchsorted(flat, sets[x], "right")
+            width = high - low
+            at = np.repeat(low - (np.cumsum(width) - width), width) + np.arange(int(width.sum()))
+            both = np.bincount(owner[at], minlength=len(right))
+            union = sizes[x] + sizes[right] - both
+            for k in np.flatnonzero((both > 0) & (100 * both >= percent * union)):
+                p, q = find(component[x]), find(component[right[k]])
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    found.append((int(key[x]), int(key[right[k]])))
+        return found
+
+    return deal(members, cell, "key", "component", "text").mapInArrow(
+        lambda batches: by_cell(batches, compare, _pairs), "a long, b long").distinct()
+
+
+def _unsettled(shared: DataFrame, label: DataFrame) -> DataFrame:
+    """Members, with their component, of the buckets that still hold several components; written as a table."""
+    placed = shared.drop("component").join(label.withColumnRenamed("node", "key"), "key", "left").withColumn(
+        "component", F.coalesce("component", "key"))
+    several = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    return materialize(placed.join(several.select("bucket"), "bucket", "left_semi"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5,
-                    percent: int = 80, cell: int = 1000) -> DataFrame:
+                    percent: int = 80, stars_more: int = 1, cell: int = 1000) -> DataFrame:
     """(key, n_shingles, component_id, kept) of every row of ``docs``.
 
     Documents link if 100 * intersection >= ``percent`` * union of their sets
     of ``words``-word shingles. ``component_id`` is the smallest key reached;
-    ``kept`` marks the document with that key.
+    ``kept`` marks the document with that key. ``stars_more`` and ``cell`` shape
+    the work on unsettled buckets (step 3), not the result.
     """
     bands, rows = banding(percent / 100)
     found = materialize(features(docs, key, text, words, bands, rows))
@@ -171,19 +212,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
                                            F.count(F.lit(1)).alias("size")).filter("least.key <> most")
     shared = materialize(banded.join(buckets.select("bucket", "least", "size"), "bucket"))
     fits = F.expr(f"100 * least(n, least.n) >= {int(percent)} * greatest(n, least.n)")
-    stars = shared.filter((F.col("key") != F.col("least.key")) & fits).select(
-        F.col("least.key").alias("a"), F.col("key").alias("b")).distinct()
+    stars = shared.filter((F.col("key") != F.col("least.key")) & fits).groupBy(F.col("key").alias("b")).agg(
+        F.min("least.key").alias("a")).select("a", "b")
     links = materialize(confirm(materialize(stars), docs, key, text, words, percent))
     label = components(links)
 
-    placed = shared.join(label.withColumnRenamed("node", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key"))
-    unsettled = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    members = placed.join(unsettled.select("bucket"), "bucket", "left_semi").join(reps.select("key", "n", "sketch"), ["key", "n"])
-    rest = materialize(_cross(members.select("bucket", "size", "key", "n", "component", "sketch"),
-                              percent, bands * rows, cell))
-    if rest.head(1):
-        links = materialize(links.unionByName(confirm(rest, docs, key, text, words, percent)))
+    for turn in range(stars_more):
+        shared = _unsettled(shared, label)
+        centre = shared.groupBy("bucket").agg(F.min_by(
+            F.struct("key", "n", "component"), F.xxhash64("key", F.lit(turn))).alias("centre"))
+        fits = F.expr(f"100 * least(n, centre.n) >= {int(percent)} * greatest(n, centre.n)")
+        # one pair for each two components that meet; the others wait until it is known
+        more = materialize(shared.join(centre, "bucket").filter((F.col("component") != F.col("centre.component")) & fits)
+                           .groupBy("component", F.col("centre.component").alias("other")).agg(
+                               F.min(F.struct(F.col("centre.key").alias("a"), F.col("key").alias("b"))).alias("pair"))
+                           .select("pair.a", "pair.b").distinct())
+        if not more.head(1):
+            break
+        links = materialize(links.unionByName(confirm(more, docs, key, text, words, percent)))
+        label = components(links)
+
+    members = _unsettled(shared, label).select("bucket", "size", "key", "component")
+    near = materialize(_may_link(members.join(reps.select("key", "n", "bands", "sketch"), "key"), percent, bands * rows, cell))
+    if near.head(1):
+        sized = near.join(near.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")), "bucket").join(
+            members.select("bucket", "key", "component"), ["bucket", "key"])
+        texts = keyed_bytes(docs, key, text).join(near.select("key").distinct(), "key", "left_semi")
+        links = materialize(links.unionByName(_joining(
+            sized.join(texts, "key").select("bucket", "size", "key", "component", "text"), words, percent, cell)))
         label = components(links)
 
     of_class = reps.select("digest", "n", F.col("key").alias("rep"))
