@@ -1,12 +1,12 @@
 """A quality classifier as a sparse ensemble of rules.
 
-1. Every text becomes a row of statistics, by built-in functions.
+1. Every text becomes a row of statistics, in Arrow batches.
 2. Boosted trees over the labelled rows propose rules: each path from a root
    to a node is a conjunction of comparisons on statistics.
 3. A logistic model with a lasso penalty weighs the rules (0/1) and the
    scaled statistics; most weights become zero.
-4. What is left is compiled into one Spark column expression, so scoring is
-   a narrow projection over the corpus without any Python.
+4. What is left is compiled into one Spark column expression over the
+   statistics; scoring is a narrow pass over the corpus.
 
 Learning uses about ``max_rows`` labelled rows, chosen by a hash of the key;
 trees and weights are fitted by Spark ML. Inputs of a score are statistics
@@ -23,11 +23,14 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from clvspark.session import materialize
 
@@ -37,49 +40,46 @@ STATISTICS = ("log_words", "word_length", "distinct_words", "stop_share", "upper
               "pipe_share", "longest_word", "capital_words", "odd_letters", "sentence_words", "distinct_pairs")
 
 
-def _let(value: Column, use) -> Column:
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def statistics(text: str) -> Column:
-    """struct of the statistics of column ``text``; each intermediate array is made once."""
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    some = lambda x: F.greatest(x, F.lit(1))
-
-    def left(value: Column, pattern: str) -> Column:
-        return F.length(F.regexp_replace(value, pattern, ""))
-
-    def made(full: Column, words: Column, lines: Column) -> Column:
-        chars, n, m = some(F.length(full)), F.size(words), F.size(lines)
-        share = lambda x: x / some(n)
-        count = lambda keep: F.size(F.filter(words, keep))
-        distinct = F.size(F.array_distinct(words))
-        pairs = F.zip_with(F.slice(words, F.lit(1), some(n) - 1), F.slice(words, F.lit(2), some(n)),
-                           lambda a, b: F.concat_ws(" ", a, b))
-        return F.struct(
-            F.log1p(n.cast("double")).alias("log_words"),
-            (left(full, r"\s") / some(n)).alias("word_length"),
-            share(distinct).alias("distinct_words"),
-            share(count(lambda w: F.length(w) <= 3)).alias("stop_share"),
-            ((F.length(full) - left(full, r"\p{Lu}")) / chars).alias("upper_share"),
-            ((F.length(full) - left(full, "[0-9]")) / chars).alias("digit_share"),
-            ((F.length(full) - F.length(F.translate(full, "#*$%&|<>{}[]=_~^\\/@", ""))) / chars).alias("symbol_share"),
-            ((F.length(full) - F.length(F.translate(full, ".,;:!?", ""))) / chars).alias("punctuation_share"),
-            (n / some(m)).cast("double").alias("line_words"),
-            (F.size(F.array_distinct(lines)) / some(m)).alias("distinct_lines"),
-            (F.size(F.filter(lines, lambda x: F.length(x) < 20)) / some(m)).alias("short_lines"),
-            (F.size(F.filter(lines, lambda x: x.rlike(r"[.!?]\s*$"))) / some(m)).alias("ended_lines"),
-            share(distinct - F.size(F.array_distinct(F.transform(words, lambda w: F.lower(w))))).alias("case_variants"),
-            ((F.length(full) - F.length(F.translate(full, "|", ""))) / chars).alias("pipe_share"),
-            F.log1p(F.coalesce(F.array_max(F.transform(words, lambda w: F.length(w))), F.lit(0)).cast("double")).alias("longest_word"),
-            share(count(lambda w: w.rlike(r"^\p{Lu}"))).alias("capital_words"),
-            ((F.length(full) - left(full, r"[^\x00-\x7F]")) / chars).alias("odd_letters"),
-            share(count(lambda w: w.rlike(r"[.!?]$"))).alias("sentence_words"),
-            (F.size(F.array_distinct(pairs)) / some(n - 1)).alias("distinct_pairs"))
-
-    words = lambda x: F.filter(F.split(x, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    lines = lambda x: F.filter(F.split(x, "\n"), lambda line: F.trim(line) != "")
-    return _let(t, lambda full: _let(words(full), lambda w: _let(lines(full), lambda x: made(full, w, x))))
+_UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+_SYMBOLS = b"#*$%&|<>{}[]=_~^\\/@"
+
+
+def measured(text: bytes) -> list[float]:
+    """The statistics of a text, in the order of ``STATISTICS``."""
+    size = len(text)
+    without = lambda chars: (size - len(text.translate(None, chars))) / max(1, size)
+    words = text.split()
+    n = len(words)
+    lines = [x for x in text.split(b"\n") if x.strip()]
+    m = len(lines)
+    lengths = np.array([len(w) for w in words], np.int64)
+    share = lambda x: x / max(1, n)
+    kinds = set(words)
+    return [
+        math.log1p(n), float(lengths.sum()) / max(1, n), share(len(kinds)), share(int((lengths <= 3).sum())), without(_UPPER),
+        without(b"0123456789"), without(_SYMBOLS), without(b".,;:!?"), n / max(1, m), len(set(lines)) / max(1, m),
+        sum(len(x) < 20 for x in lines) / max(1, m), sum(x.rstrip()[-1] in b".!?" for x in lines) / max(1, m),
+        share(len(kinds) - len({w.lower() for w in kinds})), without(b"|"), math.log1p(int(lengths.max()) if n else 0),
+        share(sum(w[0] in _UPPER for w in words)), without(_HIGH), share(sum(w[-1] in b".!?" for w in words)),
+        len(set(zip(words, words[1:], strict=False))) / max(1, n - 1)]
+
+
+_HIGH = bytes(range(128, 256))
+
+
+def statistics(docs: DataFrame, text: str, *kept: Column) -> DataFrame:
+    """``kept`` columns c0, c1, ... and the statistics of every row; null texts count as empty."""
+    source = docs.select(*[c.alias(f"c{i}") for i, c in enumerate(kept)],
+                         F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
+    schema = StructType([*source.schema.fields[:-1], *[StructField(s, DoubleType()) for s in STATISTICS]])
+
+    def run(batches):
+        for batch in batches:
+            found = np.array([measured(t) for t in batch.column("text").to_pylist()]).reshape(-1, len(STATISTICS))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:-1], *[pa.array(np.ascontiguousarray(x)) for x in found.T]], names=schema.names)
+
+    return source.mapInArrow(run, schema)
 
 
 @dataclass(frozen=True)
@@ -136,12 +136,12 @@ def _simplified(path) -> tuple:
 
 
 def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", max_rows: int = 20_000,
-        trees: int = 12, depth: int = 3, penalty: float = 0.002, seed: int = 13) -> RuleEnsemble:
+        trees: int = 10, depth: int = 3, penalty: float = 0.002, seed: int = 13) -> RuleEnsemble:
     """Learn from ``labelled`` (key, text, label 0/1; null labels do not count)."""
     known = labelled.filter(F.col(label).isin(0, 1))
     share = min(1.0, max_rows / max(1, known.count()))
     chosen = known.filter(F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(1 << 30)) <= int(share * (1 << 30)))
-    rows = materialize(chosen.select(F.col(label).cast("double").alias("label"), F.inline(F.array(statistics(text)))))
+    rows = materialize(statistics(chosen, text, F.col(label).cast("double")).withColumnRenamed("c0", "label"))
     counts = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         one = next(iter(counts), 0.5)
@@ -149,7 +149,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     n = sum(counts.values())
     # both classes weigh alike while rules are sought; the weights below see the rows as they are
     balanced = rows.withColumn("weight", F.when(F.col("label") == 1, F.lit(n / (2 * counts[1.0]))).otherwise(
-        F.lit(n / (2 * counts[0.0])))).repartition(2).persist()
+        F.lit(n / (2 * counts[0.0])))).coalesce(2).persist()
     vector = VectorAssembler(inputCols=list(STATISTICS), outputCol="x")
     grown = GBTClassifier(featuresCol="x", labelCol="label", weightCol="weight", maxIter=trees, maxDepth=depth,
                           stepSize=0.3, subsamplingRate=0.8, seed=seed, maxBins=64).fit(vector.transform(balanced))
@@ -159,7 +159,7 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
     varied = [s for s in STATISTICS if spread[s] and math.isfinite(spread[s])]
     table = balanced.select("label", F.array(
         *[r.column(of).cast("double") for r in rules], *[F.col(s) * F.lit(0.4 / spread[s]) for s in varied]).alias("a"))
-    lasso = LogisticRegression(featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=penalty, maxIter=60,
+    lasso = LogisticRegression(featuresCol="x", labelCol="label", elasticNetParam=1.0, regParam=penalty, maxIter=40,
                                standardization=False).fit(table.select("label", array_to_vector("a").alias("x")))
     balanced.unpersist()
     weights = [float(w) for w in lasso.coefficients.toArray()]
@@ -168,6 +168,6 @@ def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", label: str
 
 
 def score(docs: DataFrame, model: RuleEnsemble, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, score) of every row: one narrow projection, the statistics made once per text."""
-    return docs.select(F.col(key), F.least(F.greatest(_let(
-        statistics(text), lambda s: model.score(lambda name: s[name])), F.lit(0.0)), F.lit(1.0)).alias("score"))
+    """(key, score) of every row; the compiled rules run over the statistics in the same pass."""
+    rows = statistics(docs, text, F.col(key))
+    return rows.select(F.col("c0").alias(key), F.least(F.greatest(model.score(F.col), F.lit(0.0)), F.lit(1.0)).alias("score"))

@@ -73,5 +73,5 @@ def test_classifier_edges(spark):
     one = ensemble.fit(docs.withColumn("quality", F.lit(1)))
     assert all(r.score > 0.99 for r in ensemble.score(docs, one).collect())
     assert ensemble.score(empty(spark), one).count() == 0
-    stats = docs.select(F.inline(F.array(ensemble.statistics("text")))).collect()
+    stats = ensemble.statistics(docs, "text").collect()
     assert all(x is not None and x == x for r in stats for x in r)
