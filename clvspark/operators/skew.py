@@ -34,16 +34,21 @@ def row_counts(big: DataFrame, key: str) -> DataFrame:
     return big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
 
 
-def hot_keys(counts: DataFrame, key: str, count_col: str = "_rows",
+def hot_keys(counts: DataFrame, key: str, count_col: str = "_rows", share: float = 0.0,
              rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """Keys holding more than a task's worth of rows, with their number of salts."""
+    """Keys holding more than a task's worth of rows, with their number of salts.
+
+    ``share`` > 0 asks for that share of all rows as well.
+    """
     hot = counts.filter(F.col(count_col) > F.lit(rows_per_task))
+    if share > 0:
+        hot = hot.filter(F.col(count_col) > counts.agg(F.sum(count_col)).scalar() * F.lit(share))
     return hot.select(key, F.ceil(F.col(count_col) / F.lit(rows_per_task)).cast("int")
                       .alias("_salts"))
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
-                hot: DataFrame | None = None,
+                hot: DataFrame | None = None, share: float = 0.0,
                 rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """``big.join(small, key, how)`` with hot keys of ``big`` salted.
 
@@ -55,7 +60,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",
     if how not in ("inner", "left_semi", "left_anti"):
         raise ValueError("how must be inner, left_semi or left_anti")
     if hot is None:
-        hot = hot_keys(row_counts(big, key), key, rows_per_task=rows_per_task)
+        hot = hot_keys(row_counts(big, key), key, share=share, rows_per_task=rows_per_task)
     row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in big.columns])
     big_salted = (big.join(hot, key, "left")
                      .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
