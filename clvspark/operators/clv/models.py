@@ -270,7 +270,7 @@ def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None
 
 
 def tracking(model: FittedModel, data: ClvData, actual_only: bool = False) -> DataFrame:
-    """Repeat transactions per day: actual and expected (V6).
+    """Repeat transactions per period of the data's unit: actual and expected (V6).
 
     ``period_until, variable ('Actual' | 'pnbd'), value``. Actual repeat
     transactions on a day are all (merged) transactions minus first
@@ -293,8 +293,18 @@ def tracking(model: FittedModel, data: ClvData, actual_only: bool = False) -> Da
                               (F.coalesce("n_all", F.lit(0)) - F.coalesce("n_first", F.lit(0)))
                               .cast("double").alias("value")))
     actual = actual.filter(F.col("period_until") > start)
+
+    def per_period(by_day: DataFrame) -> DataFrame:
+        """Days summed into periods of the chosen unit, counted from the first date."""
+        length = int(data.unit_days)
+        if length == 1:
+            return by_day
+        periods = F.ceil(F.datediff("period_until", start) / F.lit(float(length))).cast("int")
+        return by_day.groupBy(F.date_add(start, periods * F.lit(length)).alias("period_until"), "variable").agg(
+            F.sum("value").alias("value"))
+
     if actual_only:
-        return actual
+        return per_period(actual)
     r, a, s, b = (model.coef()[p] for p in PNBD_PARAMS)
     days = data.unit_days
 
@@ -313,7 +323,7 @@ def tracking(model: FittedModel, data: ClvData, actual_only: bool = False) -> Da
                      .agg(F.sum(F.col("n_first") * (expected_x(age) - expected_x(age - 1)))
                           .alias("value"))
                      .select("period_until", F.lit("pnbd").alias("variable"), "value"))
-    return actual.unionByName(expected)
+    return per_period(actual.unionByName(expected))
 
 
 def fit_both(data: ClvData, remove_first: bool = False) -> tuple[FittedModel, FittedModel]:

@@ -567,4 +567,10 @@ ORACLE |= {
     "prediction_round_trip": with_orders(TEST_PRED),
     "action_csv_round_trip": ORACLE["spend_more"],
     "text_scan_positional": ORACLE["text_scan"],
+    "tracking_actual_weekly": f"""
+SELECT lo + CAST(7 * ceil(datediff('day', lo, period_until) / 7.0) AS INTEGER) AS period_until,
+       variable, sum(value) AS value
+FROM (SELECT period_until, variable, value, min(period_until) OVER () - 1 AS lo
+      FROM ({ORACLE["tracking_actual"]}) days) w
+GROUP BY 1, 2""",
 }

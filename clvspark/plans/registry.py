@@ -349,6 +349,12 @@ def q_tracking_actual(spark, sf_dir):
     return cm.tracking(None, orders_clv(spark, sf_dir), actual_only=True)
 
 
+def q_tracking_actual_weekly(spark, sf_dir):
+    tx = orders_tx(spark, sf_dir)
+    data = cd.clv_data(tx, ORDERS_CLV_SPLIT, unit="week", customers=co.cohort_ids(tx, *ORDERS_COHORT))
+    return cm.tracking(None, data, actual_only=True)
+
+
 def q_pnbd_coefficients(spark, sf_dir):
     return cm.fit_pnbd(orders_clv(spark, sf_dir)).summary(spark)
 
@@ -498,6 +504,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clv_statistics": q_clv_statistics,
     "clv_summary": q_clv_summary,
     "tracking_actual": q_tracking_actual,
+    "tracking_actual_weekly": q_tracking_actual_weekly,
     "event_clv_statistics": q_event_clv_statistics,
     "pnbd_coefficients": q_pnbd_coefficients,
     "pnbd_predictions": q_pnbd_predictions,
