@@ -1,4 +1,4 @@
-"""The registered queries of this package and the DuckDB SQL of those that SQL expresses."""
+"""The registered queries of this package."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, suffix_dedup, text_rules
 from clvspark.llm.frames import crc_mod, table
+from clvspark.llm.oracle import ORACLE  # noqa: F401  (the entry point takes both)
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,5 +84,3 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
 }
-
-ORACLE: dict[str, str] = {}
