@@ -165,7 +165,7 @@ def _hashed(spans: DataFrame, width: int, first_stays: bool) -> DataFrame:
 
 
 def repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 200, keep: str = "first",
-            gram: int = 40, hot: int = 2000) -> DataFrame:
+            gram: int = 40, hot: int = 8000) -> DataFrame:
     """(key, digest, start, end): byte intervals to remove, not yet merged; ``digest`` tells texts of one key apart."""
     if keep not in ("first", "none"):
         raise ValueError("keep must be 'first' or 'none'")
