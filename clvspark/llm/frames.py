@@ -17,6 +17,11 @@ def keyed_bytes(df: DataFrame, key: str, text: str) -> DataFrame:
                      F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
 
 
+def positional(df: DataFrame) -> list[str]:
+    """Names c0, c1, ... for the columns of ``df``, so that no column can clash with a helper's."""
+    return [f"c{i}" for i in range(len(df.columns))]
+
+
 def crc_mod(key: str, n: int):
     """crc32 of the key's decimal text modulo ``n``."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % n

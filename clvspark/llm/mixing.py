@@ -7,11 +7,12 @@
 2. Document i with n_i words adds a_i = n_i * posterior_i expected words to
    the domains for each copy of it. Rates r_i >= ``least`` are sought with
    sum_i r_i a_i = target. Projected-gradient least squares, with residuals
-   measured in the metric of (A A')^-1 so that a unit step is right::
+   measured in the metric of (A A')^-1 over the rows off the bound (plus a
+   small share of all), so that a unit step is right::
 
        y = (A A')^-1 (A r - target);   r_i <- max(least, r_i - a_i . y)
 
-   Each round is one distributed sum of D numbers. A rate depends on its own
+   Each round is one distributed sum of D + D (D + 1) / 2 numbers. A rate depends on its own
    row and on the rounds' y only, so no rates are stored or joined.
 
 The driver holds D numbers per round, a D x D matrix and the word table of
@@ -32,6 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clvspark.llm.frames import positional
 from clvspark.session import materialize
 
 _SPACE = r"[\x20\x09-\x0D]+"
@@ -139,28 +141,39 @@ def fit_rates(masses: DataFrame, domains: list[str], weights: dict[str, float] |
     d = len(domains)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     item = lambda i: F.get("mass", F.lit(i))
-    row = masses.agg(*[F.sum(item(i)).alias(f"s{i}") for i in range(d)],
-                     *[F.sum(item(i) * item(j)).alias(f"g{i}_{j}") for i, j in pairs]).first()
-    now = np.array([row[f"s{i}"] or 0.0 for i in range(d)])
-    gram = np.zeros((d, d))
-    for i, j in pairs:
-        gram[i, j] = gram[j, i] = row[f"g{i}_{j}"] or 0.0
+
+    def sums(rate: Column, free: Column) -> tuple[np.ndarray, np.ndarray]:
+        """Expected words at a rate, and the Gram matrix of the rows that are free to move down."""
+        row = masses.agg(*[F.sum(item(i) * rate).alias(f"s{i}") for i in range(d)],
+                         *[F.sum(F.when(free, item(i) * item(j))).alias(f"g{i}_{j}") for i, j in pairs]).first()
+        matrix = np.zeros((d, d))
+        for i, j in pairs:
+            matrix[i, j] = matrix[j, i] = row[f"g{i}_{j}"] or 0.0
+        return np.array([row[f"s{i}"] or 0.0 for i in range(d)]), matrix
+
+    now, gram = sums(F.lit(1.0), F.lit(True))
+    free = gram
     wanted = np.array([weights.get(x, 0.0) for x in domains]) if weights else smoothed_target(now)
     wanted = wanted / wanted.sum() if wanted.sum() else wanted
     if budget is None:
         shrink = [now[i] / wanted[i] for i in range(d) if wanted[i] > 0]
         budget = max([now.sum() * least, *[x * least for x in shrink]]) if least >= 1 else now.sum()
     target = wanted * budget
-    inverse = np.linalg.pinv(gram, rcond=1e-12, hermitian=True)
     mixture = Mixture(domains, [], least, target.tolist(), now.tolist())
+    before = math.inf
     for _ in range(rounds):
         residual = np.array(mixture.reached) - target
-        if np.abs(residual).max() <= tolerance * max(1.0, np.abs(target).max()):
+        size = np.abs(residual).max()
+        # done, or the bound keeps the target out of reach and no round brings it nearer
+        if size <= tolerance * max(1.0, np.abs(target).max()) or size > 0.99 * before:
             break
-        mixture.rounds.append((inverse @ residual).tolist())
+        before = size
+        # rows on the bound take no part in the move; a small share of all keeps the metric regular
+        metric = np.linalg.pinv(free + 0.05 * gram, rcond=1e-12, hermitian=True)
+        mixture.rounds.append((metric @ residual).tolist())
         rate = mixture.rate(F.col("mass"))
-        got = masses.agg(*[F.sum(item(i) * rate).alias(f"s{i}") for i in range(d)]).first()
-        mixture.reached = [got[f"s{i}"] or 0.0 for i in range(d)]
+        got, free = sums(rate, rate > F.lit(least))
+        mixture.reached = got.tolist()
     return mixture
 
 
@@ -197,7 +210,9 @@ def resampled(docs: DataFrame, key: str = "doc_id", text: str = "text", domain:
     """
     model = fit_domains(docs, key, text, domain, **options)
     mixture = fit_rates(domain_masses(docs, model, text), model.domains, weights, least)
-    draw = F.pmod(F.xxhash64(F.col(key), F.col(text), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    copies = masses_of(model, text, lambda n, p, mass: F.array_repeat(
+    names = positional(docs)
+    own_key, own_text = names[docs.columns.index(key)], names[docs.columns.index(text)]
+    draw = F.pmod(F.xxhash64(F.col(own_key), F.col(own_text), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    copies = masses_of(model, own_text, lambda n, p, mass: F.array_repeat(
         F.lit(0), F.floor(mixture.rate(mass) + 1e-9 + draw).cast("int")))
-    return docs.select("*", F.explode(copies).alias("_copy")).select(*docs.columns)
+    return docs.toDF(*names).select("*", F.explode(copies).alias("copy")).select(*names).toDF(*docs.columns)

@@ -24,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clvspark.llm.frames import positional
 from clvspark.session import materialize
 
 #: The kinds in their order; ``id`` is what the bootstrap finds.
@@ -199,17 +200,21 @@ def count_of(spans_column: str, kind: str) -> Column:
 def mask(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans become one, named after the first."""
     found = spans(docs, key, text, **options).filter(F.size("spans") > 0).dropDuplicates([key, "digest"]).select(
-        F.col(key).alias("_key"), F.col("digest").alias("_digest"), F.col("spans").alias("_spans"))
-    joined = docs.join(found, F.col(key).eqNullSafe(F.col("_key")) & (F.xxhash64(text) == F.col("_digest")), "left")
+        F.col(key).alias("k"), F.col("digest").alias("d"), F.col("spans").alias("found"))
+    names = positional(docs)
+    own_key, own_text = names[docs.columns.index(key)], names[docs.columns.index(text)]
+    joined = docs.toDF(*names).join(
+        found, F.col(own_key).eqNullSafe(F.col("k")) & (F.xxhash64(own_text) == F.col("d")), "left")
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
+    kinds = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
 
     def step(acc: Column, s: Column) -> Column:
         fresh = s["start"] >= acc["at"]
-        piece = F.concat(F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.get(names, s["kind"]))
+        piece = F.concat(F.substring(F.col(own_text), acc["at"] + 1, s["start"] - acc["at"]), F.get(kinds, s["kind"]))
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"),
                         F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
-    done = F.aggregate("_spans", start, step, lambda acc: F.concat(
-        acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
-    return joined.withColumn(text, F.when(F.col("_spans").isNotNull(), done).otherwise(F.col(text))).select(*docs.columns)
+    done = F.aggregate("found", start, step, lambda acc: F.concat(
+        acc["out"], F.substring(F.col(own_text), acc["at"] + 1, F.length(own_text))))
+    return joined.withColumn(own_text, F.when(F.col("found").isNotNull(), done).otherwise(F.col(own_text))).select(
+        *names).toDF(*docs.columns)
