@@ -32,52 +32,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from clvspark.llm import text_statistics
+from clvspark.llm.text_statistics import STATISTICS
 from clvspark.session import materialize
 
-#: Statistics of a text, each a share, a mean or the logarithm of a count.
-STATISTICS = ("log_words", "word_length", "distinct_words", "stop_share", "upper_share", "digit_share", "symbol_share",
-              "punctuation_share", "line_words", "distinct_lines", "short_lines", "ended_lines", "case_variants",
-              "pipe_share", "longest_word", "capital_words", "odd_letters", "sentence_words", "distinct_pairs")
-
-
-_UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_SYMBOLS = b"#*$%&|<>{}[]=_~^\\/@"
-
-
-def measured(text: bytes) -> list[float]:
-    """The statistics of a text, in the order of ``STATISTICS``."""
-    size = len(text)
-    without = lambda chars: (size - len(text.translate(None, chars))) / max(1, size)
-    words = text.split()
-    n = len(words)
-    lines = [x for x in text.split(b"\n") if x.strip()]
-    m = len(lines)
-    lengths = np.array([len(w) for w in words], np.int64)
-    share = lambda x: x / max(1, n)
-    kinds = set(words)
-    return [
-        math.log1p(n), float(lengths.sum()) / max(1, n), share(len(kinds)), share(int((lengths <= 3).sum())), without(_UPPER),
-        without(b"0123456789"), without(_SYMBOLS), without(b".,;:!?"), n / max(1, m), len(set(lines)) / max(1, m),
-        sum(len(x) < 20 for x in lines) / max(1, m), sum(x.rstrip()[-1] in b".!?" for x in lines) / max(1, m),
-        share(len(kinds) - len({w.lower() for w in kinds})), without(b"|"), math.log1p(int(lengths.max()) if n else 0),
-        share(sum(w[0] in _UPPER for w in words)), without(_HIGH), share(sum(w[-1] in b".!?" for w in words)),
-        len(set(zip(words, words[1:], strict=False))) / max(1, n - 1)]
-
-
-_HIGH = bytes(range(128, 256))
-
 
 def statistics(docs: DataFrame, text: str, *kept: Column) -> DataFrame:
     """``kept`` columns c0, c1, ... and the statistics of every row; null texts count as empty."""
     source = docs.select(*[c.alias(f"c{i}") for i, c in enumerate(kept)],
                          F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
     schema = StructType([*source.schema.fields[:-1], *[StructField(s, DoubleType()) for s in STATISTICS]])
+    names, columns = STATISTICS, schema.names
 
     def run(batches):
         for batch in batches:
-            found = np.array([measured(t) for t in batch.column("text").to_pylist()]).reshape(-1, len(STATISTICS))
+            texts = batch.column("text")
+            found = np.empty((batch.num_rows, len(names)))
+            for at in range(batch.num_rows):  # one text at a time: a batch of words is never held
+                found[at] = text_statistics.measured(texts[at].as_py())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], *[pa.array(np.ascontiguousarray(x)) for x in found.T]], names=schema.names)
+                [*batch.columns[:-1], *[pa.array(np.ascontiguousarray(x)) for x in found.T]], names=columns)
 
     return source.mapInArrow(run, schema)
 
