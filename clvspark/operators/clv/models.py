@@ -260,7 +260,7 @@ def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None
     if spending is not None:
         # the same n and z as the spending model was fitted on
         if spending.extra.get("remove_first", False):
-            out = out.join(_gg_input(data, True), KEY, "left")
+            out = out.join(_gg_input(data, True, one_time=True), KEY, "left")
         else:
             out = out.withColumn("n", F.col("x") + 1).withColumn("z", F.col("spending"))
         mean = gg_mean_spend(spending, F.col("n"), F.col("z"))
@@ -337,8 +337,9 @@ def fit_both(data: ClvData, remove_first: bool = False) -> tuple[FittedModel, Fi
 
 # --- Gamma/Gamma ---------------------------------------------------------------
 
-def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:
-    """``n`` transactions and their mean spend ``z`` per customer."""
+def _gg_input(data: ClvData, remove_first: bool, one_time: bool = False) -> DataFrame:
+    """``n`` transactions and their mean spend ``z`` per customer; with ``remove_first`` those
+    of the repeat purchases, and one-time buyers (n = 0, no mean) only if ``one_time``."""
     if not remove_first:
         return data.stats.select(KEY, (F.col("x") + 1).cast("double").alias("n"),
                                  F.col("spending").alias("z"))
@@ -354,9 +355,9 @@ def _gg_input(data: ClvData, remove_first: bool) -> DataFrame:
                        .agg(F.count(F.lit(1)).alias("_n"),
                             F.sum(F.when(F.col("date") > F.col("_d0"), money(F.col("price"))))
                              .alias("_repeat")))
-    # one-time buyers stay, with n = 0 and no mean
     repeats = (F.col("_n") - 1).cast("double")
-    return per_customer.select(KEY, repeats.alias("n"),
+    kept = per_customer if one_time else per_customer.filter(F.col("_n") > 1)
+    return kept.select(KEY, repeats.alias("n"),
                                F.try_divide(F.col("_repeat").cast("double"), repeats).alias("z"))
 
 
@@ -392,7 +393,7 @@ def gg_mean_spend(model: FittedModel, n, z):
 
 def predict_spending(model: FittedModel, data: ClvData) -> DataFrame:
     """Actual and predicted mean spend per customer (V8)."""
-    gg = _gg_input(data, bool(model.extra.get("remove_first", False)))
+    gg = _gg_input(data, bool(model.extra.get("remove_first", False)), one_time=True)
     return gg.select(KEY, F.col("z").alias("actual_mean_spending"),
                      gg_mean_spend(model, F.col("n"), F.col("z")).alias("predicted_mean_spending"))
 
