@@ -57,5 +57,6 @@ def test_stages_on_hard_rows(spark):
     for name, stage in corpus_pipeline.STAGES:
         for rows in (docs, empty(spark)):
             out = stage(spark, rows, SF)
-            assert out.count() <= 3 * max(1, rows.count())
+            n = out.count()
+            assert n >= rows.count() if name == "mixing" else n <= rows.count()  # mixing repeats rare domains
             assert name == "sentencepiece" or out.columns == rows.columns
