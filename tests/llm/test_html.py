@@ -41,3 +41,31 @@ def test_broken_markup_and_edges(spark):
     assert dict(got)[1] == dict(got)[2] == dict(got)[4] == "" and len(dict(got)[7]) == 249_999
     assert html_text.extract(df.limit(0), html_text.fit()).count() == 0
     assert blocks("<ul><li>a<li>b</ul>")[1].text == "b"
+
+
+def _texts(page):
+    return [b.text for b in blocks(page)]
+
+
+def test_elements_without_end_lose_no_text():
+    body = "<body><article><h1>Title</h1><p>One</p></article>"
+    for tag in ("svg", "math", "iframe", "object", "template", "noscript", "select", "textarea", "script", "style"):
+        assert _texts(f"<{tag} a='b' />{body}") == ["Title", "One"], tag
+        if tag not in ("math", "object", "noscript"):  # these hold text
+            assert _texts(f"<{tag}/>{body}<{tag}>x</{tag}>") == ["Title", "One"], tag
+    for tag in ("svg", "math", "iframe", "object", "template", "noscript", "select", "textarea"):
+        assert _texts(f"<{tag}>{body}") == ["Title", "One"], tag
+    assert _texts(f"<svg>{body}<svg><text>x</text></svg>") == _texts(f"<template>{body}<template>x</template>") == ["Title", "One"]
+    assert _texts("<p>a<svg><title>x</title><svg><text>y</text></svg></svg>b</p>") == ["a b"]
+    assert _texts("<p>a<svg><foreignObject><p>x</p></foreignObject></svg>b</p><svg><p>c</p></svg>") == ["a b", "c"]
+    assert _texts("<script src=x/>code</script>a<script>'</scripted>'</script >b") == ["a b"]
+    assert _texts("<p>so <math><mi>x</mi></math> is</p>") == ["so x is"]
+
+
+def test_head_without_end():
+    for head in ("<head>", "<head></head>", "<head><title>T <b></title><meta charset=x>", "<head><title>T", "<head><script>s</script><style>t</style>\n"):
+        for body in ("<body>", "<body class=c>", ""):
+            for top in ("<article><header><h1>Title</h1></header>", "<article><h1>Title</h1>"):
+                assert _texts(f"<html>{head}{body}{top}<p>One</p></article>") == ["Title", "One"], (head, body, top)
+    assert _texts("<head><title>T</title>plain text<p>One") == ["plain text", "One"]
+    assert _texts("<head><noscript>x</noscript><template><p>y</p></template></head><p>One") == ["One"]
