@@ -88,8 +88,8 @@ def describe(classes: DataFrame, pivots: dict[int, np.ndarray], nearest: int) ->
             for data in batch.column("unit").to_pylist():
                 v = np.frombuffer(data, np.float64)
                 p = shared.value.get(len(v))
-                if p is None:  # no vector of this length was drawn: one list for all of them
-                    orders.append([0])
+                if p is None:  # no vector of this length was drawn: one list for all of them, no pivots to share
+                    orders.append([])
                     lists.append([-len(v)])
                     continue
                 near = p @ v

@@ -48,3 +48,16 @@ def test_links_against_brute_force(spark):
 
 def test_empty_table(spark):
     assert pivot_index.near_vectors(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_lengths_without_a_pivot(spark):
+    rng = np.random.default_rng(2)
+    rows = [(k, v.tolist()) for k, v in enumerate(rng.normal(size=(2000, 16)))]
+    for size in range(3, 12):  # two different near vectors and one far off of each length
+        v = rng.normal(size=size)
+        rows += [(10_000 + 10 * size + k, w) for k, w in enumerate((v.tolist(), (v * 1.0 + 1e-3).tolist(), (-v).tolist()))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in pivot_index.near_vectors(df).collect()}
+    for size in range(3, 12):
+        k = 10_000 + 10 * size
+        assert [got[k], got[k + 1], got[k + 2]] == [(1, k, True), (1, k, False), (0, k + 2, True)], size
