@@ -4,16 +4,28 @@
    gives every document a posterior over the domains. A word's evidence is
    averaged, as if a text had ``evidence`` words at most, so that long texts
    keep soft memberships.
-2. Document i with n_i words adds a_i = n_i * posterior_i expected words to
-   the domains for each copy of it. Rates r_i >= ``least`` are sought with
-   sum_i r_i a_i = target. Projected-gradient least squares, with residuals
-   measured in the metric of (A A')^-1 over the rows off the bound (plus a
-   small share of all), so that a unit step is right::
+2. Document i with n_i words and posterior p_i adds a_i = n_i p_i expected
+   words to the domains for each copy of it. Wanted are the rates
+   r_i >= ``least`` with sum_i r_i a_i = target that lie nearest to 1, each
+   document weighing with its words: least sum_i n_i (r_i - 1)^2 / 2. They
+   have the form::
 
-       y = (A A')^-1 (A r - target);   r_i <- max(least, r_i - a_i . y)
+       r_i = max(least, 1 + p_i . y)
 
-   Each round is one distributed sum of D + D (D + 1) / 2 numbers. A rate depends on its own
-   row and on the rounds' y only, so no rates are stored or joined.
+   with one y for all documents, so no rates are stored or joined and a long
+   text moves no further than a short one. y is the minimum of the dual, a
+   convex function of D numbers, by projected Newton rounds in the metric of
+   the Gram matrix of the rows off the bound, sum_i n_i p_i p_i', with a line
+   search: a round that makes it worse is dropped for a shorter one. A small
+   proximal term keeps the metric regular; it is centred anew until the
+   totals meet the target to the tolerance.
+
+Each round is one distributed sum of 1 + D + D (D + 1) / 2 numbers.
+
+A target can lie out of reach: at ``least`` 1 other domains' documents bring
+a little of a domain that may not grow. Rounds then end when centring anew no
+longer halves the miss. ``Mixture`` holds target and reached totals and
+``arrived``; ``mix`` returns both totals and ``resampled`` warns.
 
 The driver holds D numbers per round, a D x D matrix and the word table of
 D times ``buckets`` numbers; D is at most ``max_domains``.
@@ -27,6 +39,7 @@ ignored.
 from __future__ import annotations
 
 import math
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -107,21 +120,27 @@ def fit_domains(labelled: DataFrame, key: str = "doc_id", text: str = "text", do
 
 @dataclass
 class Mixture:
-    """The fitted rates as a rule: the rounds' y vectors, applied in order to rate 1."""
+    """The fitted rates as a rule: ``y``, with the expected words wanted and reached."""
 
     domains: list[str]
-    rounds: list[list[float]]
+    y: list[float]
     least: float
     target: list[float]
     reached: list[float]
+    arrived: bool
 
     def rate(self, mass: Column) -> Column:
         """The rate of a document with expected words ``mass`` (array<double>)."""
-        r = F.lit(1.0)
-        for y in self.rounds:
-            step = sum((F.get(mass, F.lit(d)) * F.lit(v) for d, v in enumerate(y)), F.lit(0.0))
-            r = F.greatest(F.lit(self.least), r - step)
-        return r
+        return F.greatest(F.lit(self.least), _unbounded(mass, self.y))
+
+
+def _total(mass: Column) -> Column:
+    """Words of a document, for dividing by: a text without words has no mass to divide."""
+    return F.greatest(F.aggregate(mass, F.lit(0.0), lambda s, v: s + v), F.lit(1e-9))
+
+
+def _unbounded(mass: Column, y: list[float]) -> Column:
+    return 1.0 + sum((F.get(mass, F.lit(d)) * F.lit(float(v)) for d, v in enumerate(y)), F.lit(0.0)) / _total(mass)
 
 
 def smoothed_target(totals: np.ndarray, power: float = 0.7) -> np.ndarray:
@@ -131,50 +150,72 @@ def smoothed_target(totals: np.ndarray, power: float = 0.7) -> np.ndarray:
 
 
 def fit_rates(masses: DataFrame, domains: list[str], weights: dict[str, float] | None = None, least: float = 0.0,
-              budget: float | None = None, rounds: int = 30, tolerance: float = 1e-6) -> Mixture:
+              budget: float | None = None, rounds: int = 200, tolerance: float = 1e-6, ridge: float = 1e-5) -> Mixture:
     """Rates for ``masses`` (column ``mass`` array<double>) so that expected words reach the target weights.
 
     ``weights`` default to ``smoothed_target``. ``budget`` is the expected
     number of words wanted; by default the present number, or, when
-    ``least`` >= 1, the smallest at which no domain has to shrink.
+    ``least`` >= 1, the smallest at which no domain has to shrink. The miss of
+    a domain is measured by its target or its present number, whichever is
+    larger; ``rounds`` only guards against an endless loop.
     """
     d = len(domains)
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     item = lambda i: F.get("mass", F.lit(i))
 
-    def sums(rate: Column, free: Column) -> tuple[np.ndarray, np.ndarray]:
-        """Expected words at a rate, and the Gram matrix of the rows that are free to move down."""
-        row = masses.agg(*[F.sum(item(i) * rate).alias(f"s{i}") for i in range(d)],
-                         *[F.sum(F.when(free, item(i) * item(j))).alias(f"g{i}_{j}") for i, j in pairs]).first()
+    def sums(y: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        """At y: the dual's sum over rows, expected words, and the Gram matrix of the rows off the bound."""
+        u = _unbounded(F.col("mass"), y)
+        parts = masses.select("mass", u.alias("u"), F.greatest(F.lit(least), u).alias("r"), _total(F.col("mass")).alias("n"))
+        row = parts.agg(F.sum(F.expr(f"n * (r * r / 2 + {float(least)!r}D * (u - r))")).alias("value"),
+                        *[F.sum(item(i) * F.col("r")).alias(f"s{i}") for i in range(d)],
+                        *[F.sum(F.when(F.col("u") >= least, item(i) * item(j) / F.col("n"))).alias(f"g{i}_{j}") for i, j in pairs]).first()
         matrix = np.zeros((d, d))
         for i, j in pairs:
             matrix[i, j] = matrix[j, i] = row[f"g{i}_{j}"] or 0.0
-        return np.array([row[f"s{i}"] or 0.0 for i in range(d)]), matrix
+        return row["value"] or 0.0, np.array([row[f"s{i}"] or 0.0 for i in range(d)]), matrix
 
-    now, gram = sums(F.lit(1.0), F.lit(True))
-    free = gram
+    now = masses.agg(*[F.sum(item(i)).alias(f"s{i}") for i in range(d)]).first()
+    now = np.array([now[f"s{i}"] or 0.0 for i in range(d)])
     wanted = np.array([weights.get(x, 0.0) for x in domains]) if weights else smoothed_target(now)
     wanted = wanted / wanted.sum() if wanted.sum() else wanted
     if budget is None:
         shrink = [now[i] / wanted[i] for i in range(d) if wanted[i] > 0]
         budget = max([now.sum() * least, *[x * least for x in shrink]]) if least >= 1 else now.sum()
     target = wanted * budget
-    mixture = Mixture(domains, [], least, target.tolist(), now.tolist())
-    before = math.inf
+    y = np.zeros(d)
+    value, reached, gram = sums(y)
+    size = np.maximum(np.maximum(target, now), 1e-12 * max(1.0, now.sum()))
+    near = ridge * np.maximum(now, 1e-12 * max(1.0, now.sum()))  # the proximal term's weights
+    centre, before = y, math.inf
     for _ in range(rounds):
-        residual = np.array(mixture.reached) - target
-        size = np.abs(residual).max()
-        # done, or the bound keeps the target out of reach and no round brings it nearer
-        if size <= tolerance * max(1.0, np.abs(target).max()) or size > 0.99 * before:
+        miss = np.abs((reached - target) / size).max()
+        if miss <= tolerance:
+            break
+        slope = reached - target + near * (y - centre)
+        if np.abs(slope / size).max() <= max(tolerance / 10, 1e-3 * miss):  # settled round this centre
+            if miss > 0.5 * before:
+                break
+            centre, before = y, miss
+            continue
+        step = -np.linalg.solve(gram + np.diag(near), slope)
+        level = value - target @ y + near @ (y - centre) ** 2 / 2
+        share = 1.0
+        while True:
+            new = y + share * step
+            new_value, new_reached, new_gram = sums(new)
+            new_level = new_value - target @ new + near @ (new - centre) ** 2 / 2
+            new_slope = new_reached - target + near * (new - centre)
+            if new_level <= level + 1e-4 * share * (slope @ step) or np.abs(new_slope / size).max() <= 0.5 * np.abs(slope / size).max():
+                y, value, reached, gram = new, new_value, new_reached, new_gram
+                break
+            share /= 2
+            if share < 1e-6:
+                break
+        if share < 1e-6:
             break
-        before = size
-        # rows on the bound take no part in the move; a small share of all keeps the metric regular
-        metric = np.linalg.pinv(free + 0.05 * gram, rcond=1e-12, hermitian=True)
-        mixture.rounds.append((metric @ residual).tolist())
-        rate = mixture.rate(F.col("mass"))
-        got, free = sums(rate, rate > F.lit(least))
-        mixture.reached = got.tolist()
-    return mixture
+    miss = np.abs((reached - target) / size).max()
+    return Mixture(domains, y.tolist(), least, target.tolist(), reached.tolist(), bool(miss <= tolerance))
 
 
 def masses_of(model: DomainModel, text: str, use) -> Column:
@@ -191,14 +232,16 @@ def domain_masses(docs: DataFrame, model: DomainModel, text: str, *kept: str) ->
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", domain: str = "lang",
         weights: dict[str, float] | None = None, least: float = 0.0, **options) -> DataFrame:
-    """(key, domain, membership, n_words, rate) of every row: its likeliest domain and its rate."""
+    """Every row's likeliest domain with its membership, words and rate, and that domain's totals wanted and reached."""
     model = fit_domains(docs, key, text, domain, **options)
     masses = domain_masses(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), model, "_text", "_key")
     mixture = fit_rates(masses, model.domains, weights, least)
     best = F.array_position("posterior", F.array_max("posterior")).cast("int") - 1
-    return masses.select(F.col("_key").alias(key), F.get(F.array(*map(F.lit, model.domains)), best).alias("domain"),
+    of = lambda values: F.get(F.array(*map(F.lit, values)), best)
+    return masses.select(F.col("_key").alias(key), of(model.domains).alias("domain"),
                          F.array_max("posterior").alias("membership"), F.col("words").alias("n_words"),
-                         mixture.rate(F.col("mass")).alias("rate"))
+                         mixture.rate(F.col("mass")).alias("rate"), of(mixture.target).alias("domain_target"),
+                         of(mixture.reached).alias("domain_reached"))
 
 
 def resampled(docs: DataFrame, key: str = "doc_id", text: str = "text", domain: str = "lang",
@@ -210,6 +253,10 @@ def resampled(docs: DataFrame, key: str = "doc_id", text: str = "text", domain:
     """
     model = fit_domains(docs, key, text, domain, **options)
     mixture = fit_rates(domain_masses(docs, model, text), model.domains, weights, least)
+    if not mixture.arrived:
+        totals = zip(mixture.domains, mixture.target, mixture.reached, strict=True)
+        warnings.warn("mixing: target out of reach; words wanted and reached: " + ", ".join(
+            f"{x} {t:.0f} {r:.0f}" for x, t, r in totals), stacklevel=2)
     names = positional(docs)
     own_key, own_text = names[docs.columns.index(key)], names[docs.columns.index(text)]
     draw = F.pmod(F.xxhash64(F.col(own_key), F.col(own_text), F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)

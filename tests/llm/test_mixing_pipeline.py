@@ -60,3 +60,27 @@ def test_stages_on_hard_rows(spark):
             n = out.count()
             assert n >= rows.count() if name == "mixing" else n <= rows.count()  # mixing repeats rare domains
             assert name == "sentencepiece" or out.columns == rows.columns
+
+
+def test_totals_arrive_with_very_long_texts(spark):
+    rng = np.random.default_rng(7)
+    n = np.append(rng.integers(20, 401, 20_000), [1_000_000] * 3).astype(float)
+    own = np.append(rng.choice(4, 20_000, p=[0.55, 0.25, 0.15, 0.05]), [0, 0, 1])
+    soft = rng.dirichlet(np.ones(4), len(n)) * 0.02
+    soft[np.arange(len(n)), own] += 0.98
+    masses = spark.createDataFrame([((x * p).tolist(),) for x, p in zip(n, soft, strict=True)], "mass array<double>").cache()
+    for weights in ((10, 30, 30, 30), (20, 50, 10, 20), (1, 1, 1, 97)):
+        m = mixing.fit_rates(masses, list("abcd"), dict(zip("abcd", weights, strict=True)))
+        got = np.array([[x * r.rate for x in r.mass] for r in masses.withColumn("rate", m.rate(F.col("mass"))).collect()]).sum(axis=0)
+        assert m.arrived and np.allclose(got, m.target, rtol=1e-5) and np.allclose(got, m.reached, rtol=1e-9)
+        assert np.allclose(np.array(m.target) / sum(m.target), np.array(weights) / 100)
+
+
+def test_miss_is_told(spark):
+    masses = spark.createDataFrame([([50.0, 50.0],), ([90.0, 10.0],), ([0.0, 0.0],)], "mass array<double>")
+    m = mixing.fit_rates(masses, ["a", "b"], {"a": 0.1, "b": 0.9})
+    rates = [r.rate for r in masses.select(m.rate(F.col("mass")).alias("rate")).collect()]
+    assert not m.arrived and min(rates) >= 0 and rates[2] == 1.0
+    rows = mixing.mix(table(spark, SF, "documents"), weights={"en": 0.2, "de": 0.5, "fr": 0.1, "es": 0.2}).select(
+        "domain", "domain_target", "domain_reached").distinct().collect()
+    assert len(rows) == 4 and all(abs(r.domain_reached / r.domain_target - 1) < 1e-5 for r in rows)
