@@ -84,3 +84,22 @@ def test_miss_is_told(spark):
     rows = mixing.mix(table(spark, SF, "documents"), weights={"en": 0.2, "de": 0.5, "fr": 0.1, "es": 0.2}).select(
         "domain", "domain_target", "domain_reached").distinct().collect()
     assert len(rows) == 4 and all(abs(r.domain_reached / r.domain_target - 1) < 1e-5 for r in rows)
+
+
+def _near(a, b):
+    x, y = ({tuple(t.lower().split()[i:i + 5]) for i in range(max(1, len(t.split()) - 4))} if t and t.split() else set() for t in (a, b))
+    return a == b if not x or not y else 100 * len(x & y) >= 80 * len(x | y)
+
+
+def test_one_row_of_each_group_of_near_duplicates(spark):
+    own = ["the river runs past the old mill and on to the sea where boats wait for the morning wind to rise " + w for w in ("", "again")]
+    other = "quite another text about bread and how long the dough has to rest before it goes into the oven at noon"
+    rows = [(1, own[0]), (1, own[0]), (1, other), (2, own[1]), (None, own[0]), (None, other), (None, "alone without an id"),
+            (3, "short"), (3, "short"), (4, "short"), (5, " \t"), (5, " \t"), (6, ""), (6, ""), (7, None), (8, "alone too")]
+    docs = documents(spark, [(i, t, "en") for i, t in rows])
+    got = sorted(((r.doc_id, r.text) for r in corpus_pipeline.distinct_documents(spark, docs, SF).collect()), key=str)
+    groups = []
+    for row in sorted(rows, key=lambda r: (r[0] is None, r[0] or 0)):
+        if not any(_near(row[1] or "", t or "") for _, t in groups):
+            groups.append(row)
+    assert got == sorted(groups, key=str) and (1, other) in got and len(got) == 7
