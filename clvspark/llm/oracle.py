@@ -72,4 +72,21 @@ SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND boilerplate_chars <= 0.8 * word_chars AS kept
 FROM b"""
 
-ORACLE = {"op2_minhash": OP2, "op3_pivot_index": OP3, "op7_quality_rules": OP7}
+_HASHED = ", ".join(f"CAST('0x' || substr(d, {8 * i + 1}, 8) AS BIGINT) AS h{i + 1}" for i in range(4))
+
+OP11 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+u AS (SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units, {_HASHED} FROM d),
+c AS (SELECT *, len(units) AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS a,
+             greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS b FROM u),
+p AS (SELECT *, array_to_string(units[1:a], '') AS prefix, array_to_string(units[a + 1:b], '') AS middle,
+             array_to_string(units[b + 1:], '') AS suffix,
+             CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain'
+                  WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle
+              ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p"""
+
+ORACLE = {"op2_minhash": OP2, "op3_pivot_index": OP3, "op7_quality_rules": OP7, "op11_fill_in_middle": OP11}

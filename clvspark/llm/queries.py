@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, suffix_dedup, text_rules
+from clvspark.llm import fill_middle, html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, suffix_dedup, text_rules
 from clvspark.llm.frames import crc_mod, table
 from clvspark.llm.oracle import ORACLE  # noqa: F401  (the entry point takes both)
 
@@ -72,6 +72,14 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every rearranged text and of the text rebuilt from it; null texts are empty, and empty ones plain."""
+    rows = fill_middle.restored(fill_middle.fill_in_middle(table(spark, sf_dir, "documents")))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                       F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
@@ -83,4 +91,5 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
