@@ -89,4 +89,21 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
               ELSE '<P>' || prefix || '<S>' || suffix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
 FROM p"""
 
-ORACLE = {"op2_minhash": OP2, "op3_pivot_index": OP3, "op7_quality_rules": OP7, "op11_fill_in_middle": OP11}
+_TERM = r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'"
+
+OP13 = f"""
+WITH raw AS (SELECT doc_id, unnest(regexp_extract_all({_LOWER % "coalesce(text, '')"}, {_TERM})) AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM raw GROUP BY ALL),
+size AS (SELECT doc_id, count(*) AS n FROM raw GROUP BY ALL),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM size),
+m AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM size, total),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+      FROM tf, total GROUP BY term, docs),
+asked AS (SELECT item_id, unnest(regexp_extract_all({_LOWER % "coalesce(text, '')"}, {_TERM})) AS term FROM benchmark),
+scored AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+           FROM asked JOIN tf USING (term) JOIN w USING (term) JOIN m USING (doc_id) GROUP BY ALL HAVING score > 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INT) AS rank FROM scored)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+ORACLE = {"op2_minhash": OP2, "op3_pivot_index": OP3, "op7_quality_rules": OP7, "op11_fill_in_middle": OP11,
+          "op13_ranked_search": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import fill_middle, html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, suffix_dedup, text_rules
+from clvspark.llm import fill_middle, html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, stratum_index, suffix_dedup, text_rules
 from clvspark.llm.frames import crc_mod, table
 from clvspark.llm.oracle import ORACLE  # noqa: F401  (the entry point takes both)
 
@@ -80,6 +80,12 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item; null texts have no terms, equal scores rank by doc_id."""
+    index = stratum_index.build(table(spark, sf_dir, "documents"))
+    return stratum_index.search(index, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_minhash": op2_minhash,
@@ -92,4 +98,5 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_ranked_search": op13_ranked_search,
 }
