@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clvspark.llm import fill_middle, html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, stratum_index, suffix_dedup, text_rules
+from clvspark.llm import fill_middle, html_text, language_id, minhash, mixing, personal_data, pieces, pivot_index, quality_rules_ensemble, secret_scan, stratum_index, suffix_dedup, text_rules
 from clvspark.llm.frames import crc_mod, table
 from clvspark.llm.oracle import ORACLE  # noqa: F401  (the entry point takes both)
 
@@ -80,6 +80,16 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and spans of secrets in every text; null texts have none."""
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan.scan(docs, secret_scan.fit(docs))
+    return found.select(
+        "doc_id", *[secret_scan.count_of("spans", k).alias(f"n_{k}") for k in secret_scan.KINDS[:3]],
+        F.sha2(secret_scan.written("spans", kinds=3).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.written("spans").alias("spans"))
+
+
 def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of every benchmark item; null texts have no terms, equal scores rank by doc_id."""
     index = stratum_index.build(table(spark, sf_dir, "documents"))
@@ -98,5 +108,6 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_mixing": op10_mixing,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_secret_scan": op12_secret_scan,
     "op13_ranked_search": op13_ranked_search,
 }
