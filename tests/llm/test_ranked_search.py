@@ -60,7 +60,7 @@ def test_strata_below_the_bound_are_not_visited(spark, monkeypatch):
     docs = [(i, "rare words here") for i in range(30)] + [(100 + i, "filler " * (50 + 40 * i) + "here") for i in range(30)]
     seen = []
     visit = si._visit
-    monkeypatch.setattr(si, "_visit", lambda index, terms, visits, k: (seen.append(visits.count()), visit(index, terms, visits, k))[1])
+    monkeypatch.setattr(si, "_visit", lambda postings, terms, visits, k: (seen.append(visits.count()), visit(postings, terms, visits, k))[1])
     items = [(1, "rare words here")]
     assert _got(spark, docs, items, first=1) == _best(docs, items)
     assert seen == [1, 0]
