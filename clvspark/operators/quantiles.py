@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 RANGES = 64
 
 
-def rank_quantiles(df: DataFrame, by: str, value: str, quantiles: dict[str, float]) -> DataFrame:
-    """(``by``, one column per quantile name): exact for every group; NULL values do not count."""
+def rank_quantile_rows(df: DataFrame, by: str, value: str, quantiles: dict[str, float]) -> DataFrame:
+    """(_g, _q, _v): one row per group and quantile name, exact for every group; NULL values do not count."""
     counts = (df.filter(F.col(value).isNotNull()).groupBy(F.col(by).alias("_g"), F.col(value).alias("_v"))
                 .agg(F.count(F.lit(1)).alias("_c")))
     cuts = counts.groupBy("_g").agg(
@@ -33,7 +33,12 @@ def rank_quantiles(df: DataFrame, by: str, value: str, quantiles: dict[str, floa
                      .filter((F.col("_w.rank") > F.col("_before")) & (F.col("_w.rank") <= F.col("_before") + F.col("_t"))))
     inside = Window.partitionBy("_g", "_r").orderBy("_v")
     searched = placed.join(wanted.select("_g", "_r").distinct(), ["_g", "_r"]).withColumn("_upto", F.sum("_c").over(inside))
-    found = (searched.join(wanted, ["_g", "_r"]).filter(F.col("_upto") + F.col("_before") >= F.col("_w.rank"))
-                     .groupBy("_g", F.col("_w.q").alias("_q")).agg(F.min("_v").alias("_v")))
+    return (searched.join(wanted, ["_g", "_r"]).filter(F.col("_upto") + F.col("_before") >= F.col("_w.rank"))
+                    .groupBy("_g", F.col("_w.q").alias("_q")).agg(F.min("_v").alias("_v")))
+
+
+def rank_quantiles(df: DataFrame, by: str, value: str, quantiles: dict[str, float]) -> DataFrame:
+    """(``by``, one column per quantile name) of ``rank_quantile_rows``."""
+    found = rank_quantile_rows(df, by, value, quantiles)
     return found.groupBy(F.col("_g").alias(by)).agg(
         *[F.max(F.when(F.col("_q") == name, F.col("_v"))).alias(name) for name in quantiles])

@@ -139,6 +139,94 @@ FROM ({LONG}) l JOIN (SELECT feature, avg(value) AS m, stddev_samp(value) AS sd
                       FROM ({LONG}) l2 GROUP BY feature) st USING (feature)"""
 
 
+def _stump_sql() -> str:
+    """One regression tree of depth 2 with Newton leaves: cuts at exact rank quantiles, best split per node."""
+    bins, rate, l2 = reg.STUMP["bins"], 0.3, 1.0
+    names = ("recency", "frequency", "price_sum", "price_mean")
+    order = " ".join(f"WHEN '{f}' THEN {i}" for i, f in enumerate(names))
+    columns = ", ".join(f"CAST({f} AS DOUBLE) AS {f}" for f in names)
+    parts = [f"""t AS (SELECT customer_id, CAST(0.5 AS DOUBLE) - spend_90_total AS g, {columns} FROM ({table_sql('tr')}) m),
+long AS (SELECT customer_id, g, feature, CASE feature {order} END AS fno, value
+         FROM (UNPIVOT t ON {', '.join(names)} INTO NAME feature VALUE value) u),
+ordered AS (SELECT feature, value, row_number() OVER (PARTITION BY feature ORDER BY value) AS rn,
+                   count(*) OVER (PARTITION BY feature) AS n FROM long),
+cuts AS (SELECT DISTINCT o.feature, min(value) AS cut FROM ordered o, range(1, {bins}) k(k)
+         WHERE rn >= greatest(1, ceil(CAST(k AS DOUBLE) / {bins} * n)) GROUP BY o.feature, k)"""]
+
+    def node(i: int, rows: str) -> None:
+        parts.append(f"""n{i} AS (SELECT * FROM long WHERE {rows}),
+s{i} AS (SELECT sum(g) AS g, CAST(count(*) AS DOUBLE) AS h FROM n{i} WHERE fno = 0),
+c{i} AS (SELECT n.feature, fno, cut, sum(CASE WHEN value < cut THEN n.g ELSE 0 END) AS gl,
+                CAST(sum(CASE WHEN value < cut THEN 1 ELSE 0 END) AS DOUBLE) AS hl
+         FROM n{i} n JOIN cuts c ON n.feature = c.feature GROUP BY ALL),
+b{i} AS (SELECT c.feature, fno, cut, gl, hl, s.g AS g, s.h AS h,
+                gl * gl / (hl + {l2}) + (s.g - gl) * (s.g - gl) / (s.h - hl + {l2}) - s.g * s.g / (s.h + {l2}) AS gain
+         FROM c{i} c, s{i} s WHERE hl >= 1 AND s.h - hl >= 1),
+w{i} AS (SELECT * FROM b{i} WHERE gain > 1e-6 ORDER BY gain DESC, fno, cut LIMIT 1)""")
+
+    def under(i: int, op: str) -> str:
+        return (f"customer_id IN (SELECT customer_id FROM n{i} WHERE feature = (SELECT feature FROM w{i})"
+                f" AND value {op} (SELECT cut FROM w{i}))")
+
+    node(0, "true")
+    node(1, under(0, "<"))
+    node(2, under(0, ">="))
+    out = []
+    for i in (0, 1, 2):
+        out.append(f"SELECT {i} AS node, feature, cut AS threshold, gain, h AS cover, CAST(NULL AS DOUBLE) AS weight FROM w{i}")
+        if i:
+            out.append(f"SELECT {i}, NULL, NULL, NULL, h, -{rate} * g / (h + {l2}) FROM s{i} WHERE NOT EXISTS (FROM w{i})")
+            for child, g, h in ((2 * i + 1, "gl", "hl"), (2 * i + 2, "(g - gl)", "(h - hl)")):
+                out.append(f"SELECT {child}, NULL, NULL, NULL, {h}, -{rate} * {g} / ({h} + {l2}) FROM w{i}")
+    return with_orders(",\n" + ",\n".join(parts) + ",\nnodes AS (" + "\nUNION ALL ".join(out) + ")\n")
+
+
+_STUMP_NODES = _stump_sql()
+NEWTON_STUMP = (f"{_STUMP_NODES}SELECT CAST(node AS INT) AS node, feature, threshold, round(gain / {reg.GAIN_UNIT}, 3) AS gain, cover,"
+                " round(weight, 5) AS weight FROM nodes")
+GAIN_IMPORTANCE = (f"{_STUMP_NODES}SELECT feature, round(sum(gain) / {reg.GAIN_UNIT}, 3) AS gain, sum(cover) AS cover,"
+                   " count(*) AS splits FROM nodes WHERE feature IS NOT NULL GROUP BY feature")
+
+
+def _scored_sql(source: str) -> str:
+    """Scores by the stand-in trees: every customer walks down each tree's node rows."""
+    parts, sums = [], []
+    for name, model in (("total", reg.FIXED_TREES.total), ("prob", reg.FIXED_TREES.prob)):
+        rows = ", ".join(
+            f"({t}, {i}, {f'{n.feature!r}' if n.feature else 'NULL'}, {n.threshold if n.feature else 'NULL'},"
+            f" {'true' if n.missing_left else 'false'}, {n.weight if n.feature is None else 'NULL'})"
+            for t, tree in enumerate(model.trees) for i, n in tree.items())
+        parts.append(f"""{name}_nodes(tree, node, feature, threshold, missing_left, weight) AS (VALUES {rows}),
+{name}_walk AS (
+  SELECT m.customer_id, tree, 0 AS node FROM m, (SELECT DISTINCT tree FROM {name}_nodes)
+  UNION ALL
+  SELECT w.customer_id, w.tree, CASE WHEN coalesce(v.value < n.threshold, n.missing_left) THEN 2 * w.node + 1 ELSE 2 * w.node + 2 END
+  FROM {name}_walk w JOIN {name}_nodes n ON w.tree = n.tree AND w.node = n.node
+       JOIN v ON v.customer_id = w.customer_id AND v.feature = n.feature),
+{name}_sum AS (SELECT customer_id, sum(CAST(weight AS DOUBLE)) AS s
+               FROM {name}_walk w JOIN {name}_nodes n ON w.tree = n.tree AND w.node = n.node WHERE n.feature IS NULL GROUP BY 1)""")
+    return f"""WITH RECURSIVE {ORDERS_FLOW},
+m AS ({source}),
+v AS (SELECT customer_id, feature, value FROM (UNPIVOT (
+        SELECT customer_id, CAST(recency AS DOUBLE) AS recency, CAST(frequency AS DOUBLE) AS frequency, price_sum, price_mean FROM m)
+      ON recency, frequency, price_sum, price_mean INTO NAME feature VALUE value) u),
+{", ".join(parts)}
+SELECT round({reg.FIXED_TREES.total.base} + t.s, 6) AS pred_total,
+       round(1 / (1 + exp(-({reg.FIXED_TREES.prob.base} + p.s))), 9) AS pred_prob,
+       spend_90_total, spend_90_flag, m.customer_id, recency, frequency, price_sum, price_mean
+FROM m JOIN total_sum t USING (customer_id) JOIN prob_sum p USING (customer_id)"""
+
+
+PREDICTIONS_FIXED = _scored_sql(table_sql("te"))
+MODEL_ROUND_TRIP = _scored_sql(f"{table_sql('tr')}\nUNION ALL\n{table_sql('te')}")
+
+_F10 = " UNION ALL ".join(
+    f"SELECT '{label}' AS label, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM m"
+    for label in ("spend_90_total", "spend_90_flag") for f in ("recency", "frequency", "price_sum", "price_mean"))
+FEATURE_LIST = with_orders(f""", m AS ({table_sql('tr')})
+SELECT label, feature, count(value) AS rows, min(value) AS least, max(value) AS most FROM ({_F10}) x GROUP BY 1, 2""")
+
+
 def rank_quantile(value: str, q: float, name: str) -> str:
     """Smallest value whose rank reaches ceil(q * n): the exact form of Spark's
     ``percentile_approx`` on groups smaller than its accuracy."""
@@ -394,6 +482,11 @@ _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
 ORACLE: dict[str, str] = {
+    "newton_stump_fixed": NEWTON_STUMP,
+    "gain_importance": GAIN_IMPORTANCE,
+    "predictions_fixed": PREDICTIONS_FIXED,
+    "model_round_trip": MODEL_ROUND_TRIP,
+    "feature_list": FEATURE_LIST,
     "transactions": """
 SELECT o.o_custkey AS customer_id, CAST(o.o_orderdate AS DATE) AS date,
        CAST(COALESCE(l.q, 0) AS DOUBLE) AS quantity, CAST(o.o_totalprice AS DOUBLE) AS price

@@ -19,6 +19,7 @@ from clvspark.operators import dashboard as db
 from clvspark.operators import evaluate as ev
 from clvspark.operators import features as fe
 from clvspark.operators import models as mo
+from clvspark.operators import newton_trees as nt
 from clvspark.operators.clv import data as cd
 from clvspark.operators.clv import models as cm
 from clvspark.operators.timeseries import smooth_trend, summarize_by_time
@@ -330,6 +331,89 @@ def q_importance(spark, sf_dir):
         mo.importance(models.total, spark).withColumn("model", F.lit("spend_total")))
 
 
+# Newton trees. A whole fit is iterative, but one shallow tree can be restated in SQL, and so can
+# scoring by given trees; those queries end in `_fixed` or work on the one tree.
+STUMP = dict(trees=1, depth=2, bins=16)
+GAIN_UNIT = 1e6     # gains are sums of squares of money: printed in millions
+
+
+def q_newton_predictions(spark, sf_dir):
+    p = orders_prepared(spark, sf_dir)
+    return nt.score_newton(nt.fit_newton_models(p.train_table), p.test_table)
+
+
+def stump(spark, sf_dir):
+    train = orders_prepared(spark, sf_dir).train_table
+    return nt.fit_newton_trees(train, "spend_90_total", list(nt.FEATURES), **STUMP)
+
+
+def q_newton_stump_fixed(spark, sf_dir):
+    return nt.node_table(stump(spark, sf_dir), spark).select(
+        "node", "feature", "threshold", F.round(F.col("gain") / GAIN_UNIT, 3).alias("gain"), "cover",
+        F.round("weight", 5).alias("weight"))
+
+
+def q_gain_importance(spark, sf_dir):
+    # E4 of the fitted tree, through the importance sink
+    path = scratch_path(spark, "importance")
+    storage.write_importance(nt.gain_importance(nt.node_table(stump(spark, sf_dir), spark)), path)
+    return spark.read.parquet(path).select("feature", F.round(F.col("gain") / GAIN_UNIT, 3).alias("gain"), "cover", "splits")
+
+
+def _given(feature, threshold, left, right, missing_left=True):
+    """A split for ``_tree``; ``left`` and ``right`` are leaf weights or splits."""
+    return feature, threshold, missing_left, left, right
+
+
+def _tree(split, at=0):
+    if isinstance(split, float):
+        return {at: nt.Node(weight=split)}
+    feature, threshold, missing_left, left, right = split
+    return {at: nt.Node(feature, threshold, missing_left, 1.0, 1.0)} | _tree(left, 2 * at + 1) | _tree(right, 2 * at + 2)
+
+
+# Stand-in trees for checking the scoring: their thresholds divide the test tables.
+FIXED_TREES = nt.NewtonModels(
+    nt.TreeEnsemble("squared", 0.5, [
+        _tree(_given("price_mean", 250000.0, _given("frequency", 11.0, 31000.5, 48000.25),
+                     _given("recency", -200.0, 12500.0, 60125.75, missing_left=False))),
+        _tree(_given("price_sum", 3000000.0, -1250.5, _given("price_mean", 275000.0, 2200.25, 9100.0)))]),
+    nt.TreeEnsemble("logistic", 0.0, [
+        _tree(_given("recency", -90.0, _given("recency", -400.0, -0.9, -0.25), _given("frequency", 12.0, 0.1, 0.55))),
+        _tree(_given("frequency", 9.0, -0.2, _given("price_sum", 3500000.0, 0.05, 0.3))),
+        _tree(0.0125)]))
+
+
+def q_predictions_fixed(spark, sf_dir):
+    return _rounded_scores(nt.score_newton(FIXED_TREES, orders_prepared(spark, sf_dir).test_table))
+
+
+def _rounded_scores(scored):
+    return scored.select(F.round("pred_total", 6).alias("pred_total"), F.round("pred_prob", 9).alias("pred_prob"), *scored.columns[2:])
+
+
+def q_model_round_trip(spark, sf_dir):
+    # Both models as node tables, written, read, rebuilt, and used on all customers
+    loaded = []
+    for model in (FIXED_TREES.total, FIXED_TREES.prob):
+        path = scratch_path(spark, "model")
+        nt.save_ensemble(model, path, spark)
+        loaded.append(nt.load_ensemble(spark, path))
+    return _rounded_scores(nt.score_newton(nt.NewtonModels(*loaded), orders_prepared(spark, sf_dir).all_table))
+
+
+def q_feature_list(spark, sf_dir):
+    # per model the columns left as features, unpivoted over the training rows
+    train = orders_prepared(spark, sf_dir).train_table
+    found = []
+    for label, other in (("spend_90_total", "spend_90_flag"), ("spend_90_flag", "spend_90_total")):
+        names = mo.feature_columns(train, label, (other, "customer_id"))
+        long = train.select(*[F.col(c).cast("double").alias(c) for c in names]).unpivot([], names, "feature", "value")
+        found.append(long.groupBy("feature").agg(F.count("value").alias("rows"), F.min("value").alias("least"),
+                                                 F.max("value").alias("most")).withColumn("label", F.lit(label)))
+    return found[0].unionByName(found[1])
+
+
 # --- probabilistic CLV ------------------------------------------------------
 
 def orders_clv(spark, sf_dir):
@@ -501,6 +585,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "predictions": q_predictions,
     "predictions_all": q_predictions_all,
     "importance": q_importance,
+    "newton_predictions": q_newton_predictions,
+    "newton_stump_fixed": q_newton_stump_fixed,
+    "gain_importance": q_gain_importance,
+    "predictions_fixed": q_predictions_fixed,
+    "model_round_trip": q_model_round_trip,
+    "feature_list": q_feature_list,
     "clv_statistics": q_clv_statistics,
     "clv_summary": q_clv_summary,
     "tracking_actual": q_tracking_actual,
