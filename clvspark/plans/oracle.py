@@ -325,6 +325,76 @@ SELECT date, total_price,
 FROM mo""")
 
 
+# local quadratic fits at the vertices of a k-d partition, cubics in between
+SMOOTH_VERTICES = with_orders(f""",
+m AS (SELECT CAST(date_trunc('month', date) AS DATE) AS date, {money_sum('price')} AS total_price
+      FROM coh GROUP BY 1),
+s AS (SELECT date, total_price AS y, CAST(datediff('day', DATE '1970-01-01', date) AS DOUBLE) AS x,
+             row_number() OVER (ORDER BY date) AS rn, count(*) OVER () AS n FROM m),
+most AS (SELECT max(n) AS n, greatest(1, CAST(floor(0.75 * 0.2 * max(n)) AS BIGINT)) AS size FROM s),
+cells AS (
+  SELECT CAST(1 AS BIGINT) AS lo, n AS hi, 0 AS level FROM most
+  UNION ALL
+  SELECT * FROM (
+    SELECT CASE side WHEN 0 THEN lo ELSE (lo + hi) // 2 + 1 END, CASE side WHEN 0 THEN (lo + hi) // 2 ELSE hi END, level + 1
+    FROM cells, most, range(2) r(side) WHERE hi - lo + 1 > size AND hi > lo AND level < 40)),
+vx AS (SELECT DISTINCT pos FROM (
+  SELECT (a.x + b.x) / 2 AS pos FROM cells, most, s a, s b
+  WHERE hi - lo + 1 > size AND hi > lo AND a.rn = (lo + hi) // 2 AND b.rn = (lo + hi) // 2 + 1
+  UNION ALL SELECT min(x) - 0.005 * (max(x) - min(x)) FROM s
+  UNION ALL SELECT max(x) + 0.005 * (max(x) - min(x)) FROM s) u),
+far AS (SELECT pos, x - pos AS d, y, n, row_number() OVER (PARTITION BY pos ORDER BY abs(x - pos)) AS rk FROM vx, s),
+h AS (SELECT pos, max(CASE WHEN rk = least(n, greatest(CAST(floor(0.75 * n) AS BIGINT), 3)) THEN abs(d) END) AS h FROM far GROUP BY pos),
+w AS (SELECT pos, h, y, d / h AS u, CASE WHEN abs(d / h) < 1 THEN pow(1 - pow(abs(d / h), 3), 3) ELSE 0 END AS w FROM far JOIN h USING (pos)),
+mo AS (SELECT pos, h, sum(w) AS s0, sum(w * u) AS s1, sum(w * pow(u, 2)) AS s2, sum(w * pow(u, 3)) AS s3, sum(w * pow(u, 4)) AS s4,
+              sum(w * y) AS t0, sum(w * u * y) AS t1, sum(w * pow(u, 2) * y) AS t2 FROM w GROUP BY 1, 2),
+fit AS (SELECT pos, {_det3('t0', 's1', 's2', 't1', 's2', 's3', 't2', 's3', 's4')} / {_det3('s0', 's1', 's2', 's1', 's2', 's3', 's2', 's3', 's4')} AS a,
+               {_det3('s0', 't0', 's2', 's1', 't1', 's3', 's2', 't2', 's4')} / {_det3('s0', 's1', 's2', 's1', 's2', 's3', 's2', 's3', 's4')} / h AS da
+        FROM mo),
+piece AS (SELECT pos AS lo, lead(pos) OVER (ORDER BY pos) AS hi, a, da, lead(a) OVER (ORDER BY pos) AS b, lead(da) OVER (ORDER BY pos) AS db FROM fit),
+p AS (SELECT date, y, (x - lo) / (hi - lo) AS t, hi - lo AS k, a, da, b, db FROM s JOIN piece ON x >= lo AND x < hi)
+SELECT date, y AS total_price,
+       round((1 + 2 * t) * (1 - t) * (1 - t) * a + t * (1 - t) * (1 - t) * da * k + t * t * (3 - 2 * t) * b + t * t * (t - 1) * db * k, 1) AS value_smooth
+FROM p""").replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _spline_sql() -> str:
+    """The spline at the fixed penalty: basis, normal equations, elimination step by step, back substitution."""
+    segments, size = reg.SMOOTH_SEGMENTS, reg.SMOOTH_SEGMENTS + 3
+    rough = [[sum(c[i] * c[j] for c in ([1 if k == r else -2 if k == r + 1 else 1 if k == r + 2 else 0 for k in range(size)]
+                                        for r in range(size - 2))) for j in range(size)] for i in range(size)]
+
+    def kernel(j: int) -> str:
+        u = f"abs(t - {j - 1})"
+        return (f"CASE WHEN {u} < 1 THEN CAST(2 AS DOUBLE) / 3 - {u} * {u} + {u} * {u} * {u} / 2"
+                f" WHEN {u} < 2 THEN (2 - {u}) * (2 - {u}) * (2 - {u}) / 6 ELSE 0 END AS b{j}")
+
+    cells = [(i, j) for i in range(size) for j in range(size)]
+    steps = [f"""m AS ({ALL_PRED}),
+ends AS (SELECT CAST(min(frequency) AS DOUBLE) AS low, CAST(max(frequency) AS DOUBLE) AS high FROM m),
+tt AS (SELECT frequency, pred_prob AS y, (frequency - low) / ((high - low) / {segments}) AS t FROM m, ends),
+b AS (SELECT frequency, y, {', '.join(kernel(j) for j in range(size))} FROM tt),
+e0 AS (SELECT {', '.join(f"sum(b{i} * b{j}) + {reg.SMOOTH_PENALTY} * {rough[i][j]}{' + 1e-8' if i == j else ''} AS a{i}_{j}" for i, j in cells)},
+              {', '.join(f'sum(b{i} * y) AS r{i}' for i in range(size))} FROM b)"""]
+    for k in range(size - 1):
+        kept = ", ".join(f"a{i}_{j}" if i <= k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} AS a{i}_{j}" for i, j in cells if j > min(i - 1, k))
+        right = ", ".join(f"r{i}" if i <= k else f"r{i} - a{i}_{k} * r{k} / a{k}_{k} AS r{i}" for i in range(size))
+        steps.append(f"e{k + 1} AS (SELECT {kept}, {right} FROM e{k})")
+    last = f"e{size - 1}"
+    for k in reversed(range(size)):
+        solved = " - ".join([f"r{k}", *(f"a{k}_{j} * w{j}" for j in range(k + 1, size))])
+        steps.append(f"w_{k} AS (SELECT *, ({solved}) / a{k}_{k} AS w{k} FROM {last})")
+        last = f"w_{k}"
+    curve = " + ".join(f"b{j} * w{j}" for j in range(size))
+    return with_orders(", " + ",\n".join(steps) + f"""
+SELECT frequency, count(*) AS customers, round(min({curve}), 6) AS prob_smooth FROM b, {last} GROUP BY frequency""")
+
+
+PROBABILITY_SMOOTH = _spline_sql()
+
+
+
+
 def _currency(c: str) -> str:
     return (f"CASE WHEN {c} < 0 THEN '-$' || format('{{:,.2f}}', abs({c})) "
             f"ELSE '$' || format('{{:,.2f}}', {c}) END")
@@ -481,7 +551,41 @@ FROM pairs GROUP BY period_until"""
 _LO = expand_partial_date(reg.ORDERS_COHORT[0], "start").isoformat()
 _HI = expand_partial_date(reg.ORDERS_COHORT[1], "end").isoformat()
 
+_POINTS = reg.DENSITY_POINTS
+FEATURE_DENSITY = with_orders(f""", l AS ({SCALED}),
+v AS (SELECT feature, value_scaled AS v, row_number() OVER (PARTITION BY feature ORDER BY value_scaled) AS rn,
+             count(*) OVER (PARTITION BY feature) AS cnt FROM l WHERE value_scaled IS NOT NULL),
+sh0 AS (SELECT feature, count(*) AS n, min(v) AS low, max(v) AS high, coalesce(stddev_samp(v), 0) AS sd,
+               {rank_quantile('v', 0.25, 'q1')}, {rank_quantile('v', 0.75, 'q3')} FROM v GROUP BY feature),
+sh AS (SELECT feature, n, low, (high - low) / {_POINTS - 1} AS step,
+              0.9 * CASE WHEN q3 > q1 THEN least(sd, (q3 - q1) / 1.34) WHEN sd > 0 THEN sd ELSE 1 END
+              * pow(CAST(n AS DOUBLE), -0.2) AS width FROM sh0),
+tt AS (SELECT feature, CASE WHEN step > 0 THEN (v - low) / step ELSE 0 END AS t FROM v JOIN sh USING (feature)),
+c AS (SELECT feature, t, least(CAST(floor(t) AS INT), {_POINTS - 2}) AS cell FROM tt),
+mass AS (SELECT feature, cell + k AS i, sum(CASE k WHEN 0 THEN 1 - (t - cell) ELSE t - cell END) AS mass
+         FROM c, range(2) r(k) GROUP BY 1, 2),
+grid AS (SELECT sh.*, j FROM sh, range({_POINTS}) g(j) WHERE step > 0 OR j = 0)
+SELECT feature, round(low + j * step, 6) AS at,
+       round(sum(mass * exp(-((i - j) * step / width) * ((i - j) * step / width) / 2)) / (n * width * sqrt(2 * pi())), 6) AS density
+FROM grid JOIN mass USING (feature) GROUP BY feature, j, low, step, n, width""")
+
+FEATURES_TEXT = with_orders(f"""
+SELECT b.*, concat_ws(chr(10),
+  'Customer ID: ' || CAST(customer_id AS VARCHAR),
+  '90-Day Spend Prob: ' || format('{{:,.1f}}', pred_prob * CAST(100 AS DOUBLE)) || '%',
+  '90-Day Spend Pred: ' || {_currency('pred_total')},
+  'Actual 90-Day Spend: ' || {_currency('spend_90_total')},
+  'Actual vs Pred: ' || {_currency('spend_actual_vs_pred')},
+  '---',
+  feature || ': ' || CASE WHEN round_even(value, 2) = floor(round_even(value, 2)) THEN CAST(CAST(round_even(value, 2) AS BIGINT) AS VARCHAR)
+                          ELSE CAST(round_even(value, 2) AS VARCHAR) END) AS text
+FROM ({SCALED}) b""")
+
 ORACLE: dict[str, str] = {
+    "probability_smooth": PROBABILITY_SMOOTH,
+    "feature_density": FEATURE_DENSITY,
+    "smooth_trend_vertices": SMOOTH_VERTICES,
+    "features_text": FEATURES_TEXT,
     "newton_stump_fixed": NEWTON_STUMP,
     "gain_importance": GAIN_IMPORTANCE,
     "predictions_fixed": PREDICTIONS_FIXED,

@@ -20,6 +20,7 @@ from clvspark.operators import evaluate as ev
 from clvspark.operators import features as fe
 from clvspark.operators import models as mo
 from clvspark.operators import newton_trees as nt
+from clvspark.operators import smooth as sm
 from clvspark.operators.clv import data as cd
 from clvspark.operators.clv import models as cm
 from clvspark.operators.timeseries import smooth_trend, summarize_by_time
@@ -310,6 +311,37 @@ def q_feature_quantiles(spark, sf_dir):
     return db.feature_quantiles(db.scaled_features(dashboard_sample(spark, sf_dir)))
 
 
+# the smoothed curve, the violin and the trend by vertices
+SMOOTH_SEGMENTS = 5
+SMOOTH_PENALTY = 2.0
+DENSITY_POINTS = 128
+
+
+def q_probability_smooth(spark, sf_dir):
+    out = sm.probability_smooth(standin_all(spark, sf_dir), SMOOTH_SEGMENTS, SMOOTH_PENALTY)
+    return out.select("frequency", "customers", F.round("prob_smooth", 6).alias("prob_smooth"))
+
+
+def q_probability_smooth_gcv(spark, sf_dir):
+    # the penalty is chosen from the data
+    return sm.probability_smooth(dashboard_sample(spark, sf_dir))
+
+
+def q_feature_density(spark, sf_dir):
+    out = sm.density(db.scaled_features(dashboard_sample(spark, sf_dir)), "feature", "value_scaled", DENSITY_POINTS)
+    return out.select("feature", F.round("at", 6).alias("at"), F.round("density", 6).alias("density"))
+
+
+def q_smooth_trend_vertices(spark, sf_dir):
+    monthly = summarize_by_time(co.cohort(orders_tx(spark, sf_dir), *ORDERS_COHORT), "date", "month")
+    return sm.smooth_by_vertices(monthly, "date", "total_price", span=0.75, digits=1)
+
+
+def q_features_text(spark, sf_dir):
+    # The long table's tooltips with values rounded half to even
+    return db.scaled_features(dashboard_sample(spark, sf_dir), with_text=True)
+
+
 # --- models (rows-only checks) ----------------------------------------------
 
 def q_predictions(spark, sf_dir):
@@ -582,6 +614,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "probability_by_frequency": q_probability_by_frequency,
     "feature_distribution": q_feature_distribution,
     "feature_quantiles": q_feature_quantiles,
+    "probability_smooth": q_probability_smooth,
+    "probability_smooth_gcv": q_probability_smooth_gcv,
+    "feature_density": q_feature_density,
+    "smooth_trend_vertices": q_smooth_trend_vertices,
+    "features_text": q_features_text,
     "predictions": q_predictions,
     "predictions_all": q_predictions_all,
     "importance": q_importance,
