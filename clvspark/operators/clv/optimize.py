@@ -134,3 +134,78 @@ def hessian_points(x: np.ndarray, h: float) -> tuple[np.ndarray, Callable[[np.nd
         return hm
 
     return np.array(pts), assemble
+
+
+def unpacked(sums: np.ndarray, size: int) -> tuple[float, np.ndarray, np.ndarray]:
+    """Value, gradient and Hessian from (value, gradient, upper triangle)."""
+    hessian = np.zeros((size, size))
+    hessian[np.triu_indices(size)] = sums[1 + size:]
+    return float(sums[0]), sums[1:1 + size], hessian + np.triu(hessian, 1).T
+
+
+def maximize_newton(derivatives, x0: np.ndarray, radius: float = 1.0, bound: float = 12.0, tol: float = 1e-9,
+                    max_iter: int = 100) -> OptimResult:
+    """Maximum of f by Newton steps within a trust region; ``derivatives(x)`` is (f, gradient, Hessian).
+
+    A step maximises the quadratic model within ``radius``; the radius grows
+    after good predictions and shrinks after bad ones, and a step that does
+    not raise f is not taken. x stays in the box ``|x| <= bound``; on its
+    faces a gradient that points outwards does not count. Converged: the
+    largest free gradient entry is at most ``tol * (1 + |f|)``, away from the box.
+    """
+    x = np.clip(np.asarray(x0, float), -bound, bound)
+    value, gradient, hessian = derivatives(x)
+    evaluations, message = 1, "iteration limit"
+
+    def free_of(x, gradient):
+        return ~(((x >= bound) & (gradient > 0)) | ((x <= -bound) & (gradient < 0)))
+
+    iterations = 0
+    for iterations in range(1, max_iter + 1):
+        free = free_of(x, gradient)
+        if not free.any() or np.abs(gradient[free]).max() <= tol * (1 + abs(value)):
+            message = "gradient is small"
+            break
+        step = np.zeros_like(x)
+        step[free] = _within(hessian[np.ix_(free, free)], gradient[free], radius)
+        new = np.clip(x + step, -bound, bound)
+        step = new - x
+        predicted = gradient @ step + step @ hessian @ step / 2
+        found = derivatives(new)
+        evaluations += 1
+        gained = found[0] - value
+        if np.isfinite(found[0]) and gained > 0:
+            x, (value, gradient, hessian) = new, found
+        good = gained / predicted if predicted > 0 and np.isfinite(gained) else -1.0
+        if good < 0.25:
+            radius = 0.25 * float(np.linalg.norm(step)) if np.linalg.norm(step) > 0 else radius / 4
+        elif good > 0.75:
+            radius = min(4.0, max(radius, 2 * float(np.linalg.norm(step))))
+        if radius < 1e-10:
+            message = "step is small"
+            break
+    free = free_of(x, gradient)
+    at_bound = bool((np.abs(x) >= bound - 1e-9).any())
+    small = bool(not free.any() or np.abs(gradient[free]).max() <= max(tol, 1e-8) * (1 + abs(value)))
+    return OptimResult(x=x, value=value, converged=small and not at_bound, iterations=iterations, evaluations=evaluations,
+                       message=message, at_bound=at_bound)
+
+
+def _within(hessian: np.ndarray, gradient: np.ndarray, radius: float) -> np.ndarray:
+    """The step of length ``radius`` at most that maximises the quadratic model: (-H + shift) step = gradient."""
+    values, vectors = np.linalg.eigh(-hessian)
+    turned = vectors.T @ gradient
+
+    def step(shift: float) -> np.ndarray:
+        return vectors @ (turned / (values + shift))
+
+    if values[0] > 0 and np.linalg.norm(step(0.0)) <= radius:
+        return step(0.0)
+    low, high = max(0.0, -values[0]), max(0.0, -values[0]) + np.linalg.norm(gradient) / radius + 1e-12
+    for _ in range(100):
+        middle = (low + high) / 2
+        if np.linalg.norm(step(middle + 1e-300)) > radius:
+            low = middle
+        else:
+            high = middle
+    return step(high)

@@ -507,6 +507,70 @@ SELECT round(sum(lgamma({_f(_GP)} * n + {_f(_GQ)}) - lgamma({_f(_GP)} * n) - lga
        count(*) AS customers
 FROM g"""
 
+
+def _pnbd_derivatives() -> str:
+    """Per customer the parts of the score: weights of being alive and of each quadrature node, u = d ln(part)."""
+    r, a, s_, b, m = (_f(v) for v in (_R, _A, _S, _B, _M))
+    u = ["-ln(A)", f"-({r} + x) / A", f"died / {s_} - ln(B)", f"-({s_} + died) / B"]
+    du = {(0, 1): "-1 / A", (1, 1): f"({r} + x) / (A * A)", (2, 2): f"-died / ({s_} * {s_})", (2, 3): "-1 / B",
+          (3, 3): f"({s_} + died) / (B * B)"}
+    head = [f"list_sum(list_transform(range(x), lambda k: 1 / ({r} + k))) + ln({a})", f"{r} / {a}", f"ln({b})", f"{s_} / {b}"]
+    head2 = {(0, 0): f"-list_sum(list_transform(range(x), lambda k: 1 / (({r} + k) * ({r} + k))))", (0, 1): f"1 / {a}",
+             (1, 1): f"-{r} / ({a} * {a})", (2, 3): f"1 / {b}", (3, 3): f"-{s_} / ({b} * {b})"}
+    pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+    means = ", ".join(f"sum(p * ({u[i]})) / sum(p) AS m{i}" for i in range(4))
+    seconds = ", ".join(f"sum(p * (({u[i]}) * ({u[j]}) + {du.get((i, j), '0')})) / sum(p) AS c{i}{j}" for i, j in pairs)
+    gradient = ", ".join(f"coalesce({head[i]}, ln({a})) + m{i} AS g{i}" if i == 0 else f"{head[i]} + m{i} AS g{i}" for i in range(4))
+    hessian = ", ".join(f"c{i}{j} - m{i} * m{j} + coalesce({head2.get((i, j), '0')}, 0) AS h{i}{j}" for i, j in pairs)
+    return f"""WITH {_CLV_STATS},
+part AS (
+  SELECT customer_id, x, exp(v) + {_f(_A - _M)} AS A, exp(v) + {_f(_B - _M)} AS B, CAST(1 AS DOUBLE) AS died,
+         {s_} * half * w * exp(v - ({r} + x) * ln(exp(v) + {_f(_A - _M)}) - ({s_} + 1) * ln(exp(v) + {_f(_B - _M)})) AS p FROM q1
+  UNION ALL
+  SELECT customer_id, x, {a} + T_cal, {b} + T_cal, 0, exp(-({r} + x) * ln({a} + T_cal) - {s_} * ln({b} + T_cal)) FROM stats),
+e AS (SELECT customer_id, x, {means}, {seconds} FROM part GROUP BY 1, 2),
+g AS (SELECT {gradient}, {hessian} FROM e)
+"""
+
+
+_PNBD_D = _pnbd_derivatives()
+PNBD_GRADIENT_FIXED = f"""{_PNBD_D}
+SELECT (SELECT loglik FROM ({PNBD_LOGLIK_FIXED}) l) AS loglik, round(sum(g0), 4) AS d_r, round(sum(g1), 4) AS d_alpha,
+       round(sum(g2), 4) AS d_s, round(sum(g3), 4) AS d_beta FROM g"""
+PNBD_INFORMATION_FIXED = f"{_PNBD_D}\n" + "\nUNION ALL ".join(
+    f"SELECT '{a}' AS row_name, '{b}' AS column_name, round(-sum(h{i}{j}), 4) AS value FROM g"
+    for i, a in enumerate(("r", "alpha", "s", "beta")) for j, b in enumerate(("r", "alpha", "s", "beta")) if j >= i)
+
+
+def _digamma(x: str) -> str:
+    """psi(x): shifted up by ten, then the asymptotic series."""
+    y, z = f"({x} + 10)", f"(1 / (({x} + 10) * ({x} + 10)))"
+    low = " + ".join(f"1 / ({x} + {k})" for k in range(10))
+    return (f"(ln({y}) - 1 / (2 * {y}) - {z} * (CAST(1 AS DOUBLE) / 12 - {z} * (CAST(1 AS DOUBLE) / 120 - {z} *"
+            f" (CAST(1 AS DOUBLE) / 252 - {z} / 240))) - ({low}))")
+
+
+_N_ALL = f"({_f(_GG)} + n * z)"
+_PNQ = f"({_f(_GP)} * n + {_f(_GQ)})"
+GG_GRADIENT_FIXED = f"""{_GG_IN}
+SELECT (SELECT loglik FROM ({GG_LOGLIK_FIXED}) l) AS loglik,
+       round(sum(n * ({_digamma(_PNQ)} - {_digamma(f'({_f(_GP)} * n)')} + ln(z) + ln(n) - ln({_N_ALL}))), 4) AS d_p,
+       round(sum({_digamma(_PNQ)} - {_digamma(_f(_GQ))} + ln({_f(_GG)}) - ln({_N_ALL})), 4) AS d_q,
+       round(sum({_f(_GQ)} / {_f(_GG)} - {_PNQ} / {_N_ALL}), 4) AS d_gamma
+FROM g"""
+
+SPENDING_DENSITY_FIXED = f"""{_GG_IN},
+w AS (SELECT count(*) AS total, max(z) / CAST(50 AS DOUBLE) AS width FROM g),
+b AS (SELECT least(CAST(floor(z / width) AS INT), 49) AS bin, count(*) AS customers FROM g, w GROUP BY 1),
+per_n AS (SELECT n, count(*) AS c FROM g GROUP BY 1),
+grid AS (SELECT CAST(bin AS INT) AS bin, n, c, (bin + CAST(0.5 AS DOUBLE)) * width AS z, width, total FROM per_n, w, range(50) r(bin)),
+m AS (SELECT bin, width, total, sum(c * exp(lgamma({_PNQ}) - lgamma({_f(_GP)} * n) - lgamma({_f(_GQ)}) + {_f(_GQ)} * ln({_f(_GG)})
+        + ({_f(_GP)} * n - 1) * ln(z) + {_f(_GP)} * n * ln(n) - {_PNQ} * ln({_N_ALL}))) AS d FROM grid GROUP BY ALL)
+SELECT m.bin, coalesce(customers, 0) AS customers, round(m.bin * width, 4) AS bin_start, round((m.bin + 1) * width, 4) AS bin_end,
+       round(coalesce(customers, 0) / (total * width) * 1e6, 9) AS actual_density, round(d / total * 1e6, 9) AS model_density
+FROM m LEFT JOIN b USING (bin)"""
+
+
 SPENDING_FIXED = f"""WITH {_CLV},
 stats AS (SELECT customer_id, count(*) - 1 AS x,
                  {money_sum('price')} / CAST(count(*) AS DOUBLE) AS spending
@@ -754,6 +818,10 @@ GROUP BY feature"""),
     "pnbd_scores_fixed": PNBD_SCORES_FIXED,
     "pnbd_loglik_fixed": PNBD_LOGLIK_FIXED,
     "gg_loglik_fixed": GG_LOGLIK_FIXED,
+    "pnbd_gradient_fixed": PNBD_GRADIENT_FIXED,
+    "pnbd_information_fixed": PNBD_INFORMATION_FIXED,
+    "gg_gradient_fixed": GG_GRADIENT_FIXED,
+    "spending_density_fixed": SPENDING_DENSITY_FIXED,
     "spending_fixed": SPENDING_FIXED,
     "spending_fixed_repeat": SPENDING_FIXED_REPEAT,
     "tracking_expected_fixed": TRACKING_EXPECTED_FIXED,

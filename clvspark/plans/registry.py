@@ -518,6 +518,9 @@ SCORE_DIGITS = {"p_alive": 9, "cet": 9, "dert": 7, "predicted_mean_spending": 6,
                 "predicted_clv": 3}
 
 
+DENSITY_UNIT = 1e6    # densities are printed per million of money
+
+
 def _fixed_pnbd():
     return cm.fixed_model(cm.PNBD_PARAMS, FIXED_PNBD)
 
@@ -543,6 +546,27 @@ def q_gg_loglik_fixed(spark, sf_dir):
     return out.select(F.round("loglik", 4).alias("loglik"), "customers")
 
 
+def q_pnbd_gradient_fixed(spark, sf_dir):
+    out = cm.gradient_table(_fixed_pnbd(), orders_clv(spark, sf_dir).stats, "pnbd")
+    return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
+
+
+def q_pnbd_information_fixed(spark, sf_dir):
+    out = cm.information_table(_fixed_pnbd(), orders_clv(spark, sf_dir).stats, "pnbd")
+    return out.withColumn("value", F.round("value", 4))
+
+
+def q_gg_gradient_fixed(spark, sf_dir):
+    out = cm.gradient_table(_fixed_gg(), cm.gg_input(orders_clv(spark, sf_dir)), "gg")
+    return out.select(*[F.round(c, 4).alias(c) for c in out.columns])
+
+
+def q_spending_density_fixed(spark, sf_dir):
+    out = cm.spending_density(_fixed_gg(), orders_clv(spark, sf_dir))
+    return out.select("bin", "customers", *[F.round(c, 4).alias(c) for c in ("bin_start", "bin_end")],
+                      *[F.round(F.col(c) * DENSITY_UNIT, 9).alias(c) for c in ("actual_density", "model_density")])
+
+
 def q_spending_fixed(spark, sf_dir):
     out = cm.predict_spending(_fixed_gg(), orders_clv(spark, sf_dir))
     return out.select("customer_id", "actual_mean_spending",
@@ -642,6 +666,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spending_density": q_spending_density,
     "pnbd_scores_fixed": q_pnbd_scores_fixed,
     "pnbd_loglik_fixed": q_pnbd_loglik_fixed,
+    "pnbd_gradient_fixed": q_pnbd_gradient_fixed,
+    "pnbd_information_fixed": q_pnbd_information_fixed,
+    "gg_gradient_fixed": q_gg_gradient_fixed,
+    "spending_density_fixed": q_spending_density_fixed,
     "gg_loglik_fixed": q_gg_loglik_fixed,
     "spending_fixed": q_spending_fixed,
     "spending_fixed_repeat": q_spending_fixed_repeat,
