@@ -3,16 +3,20 @@
 Base spans come from four fixed patterns. The bootstrap then works on a
 graph of lexical patterns and instances:
 
-* an instance is a base span's value (a seed), or an identifier-like token
-  (letters, digits and joiners, with a digit) outside all base spans;
-* a pattern is the word before an instance (separators such as ``: = # "``
-  may stand between); its total is how often the word occurs in all texts.
-
-Scores go round the graph a few times: a pattern's score is the sum of its
-instances' scores over its total plus a prior, an instance's score is
-1 - product of (1 - score) of its patterns; seeds stay at 1. Tokens after a
-pattern that is confident and has enough different seeds become spans of
-kind ``id``, and so does every other occurrence of a confident instance.
+* an instance is a base span's value, or an identifier-like token (letters,
+  digits and joiners, with a digit) outside all base spans;
+* a pattern is the word before an instance with the marks between them
+  (``: = #`` and an opening quote or bracket), white space left out; its total
+  is how often word and marks stand together in all texts.
+
+Seeds are the base spans' values, and tokens whose shape alone marks an
+identifier (long, with many digits among letters). Scores go round the graph
+a few times: a pattern's score is the sum of its instances' scores over its
+total plus a prior, an instance's score is 1 - product of (1 - score) of its
+patterns; seeds stay at 1. Tokens after a pattern that is confident and has
+enough different seeds become spans of kind ``id``, and so does every other
+occurrence of a token that confident patterns support. A seed's shape alone
+makes no span.
 
 Offsets are code points, the end exclusive. Defined results: a null text is
 empty and has no spans; repeated rows get equal results; a null key is an
@@ -38,7 +42,10 @@ _IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[\x20-]?[0-9])++"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _TOKEN = r"(?<![A-Za-z0-9_@.+/-])[A-Za-z0-9_+/-]++(?:[.@][A-Za-z0-9_+/-]++)*+"
-_BEFORE = r"([\p{L}_]{1,40})[\s:=#]{0,4}[\"'(<\[]?$"
+#: Tokens that are seeds by shape: sixteen characters or more, six digits and three letters among them.
+_SEED_SHAPE = r"^(?=(?:[^0-9]*[0-9]){6})(?=(?:[^A-Za-z]*[A-Za-z]){3})[A-Za-z0-9_-]{16,}$"
+_MARKS = r"\s*+[:=#]*+\s*+[\"'(<\[]?"
+_CONTEXT = r"[\p{L}_]++" + _MARKS
 _BEFORE_CHARS = 48
 
 
@@ -113,19 +120,32 @@ def _base(text: str) -> Column:
     return F.when(F.col(text).rlike("[0-9@]"), F.array_sort(F.concat(*found))).otherwise(none)
 
 
-def _word_before(text: str, start: Column) -> Column:
-    """The lower-cased word in front of code point ``start``, or empty."""
+def _pattern_before(text: str, start: Column) -> Column:
+    """The word in front of code point ``start`` with the marks in between, lower case, white space left out; or empty.
+
+    It is sought in a short window; the whole text before ``start`` is read only where the window is all white space
+    and marks, or its word begins with it.
+    """
     size = F.least(start, F.lit(_BEFORE_CHARS))
-    return F.lower(F.regexp_extract(F.substring(F.col(text), start - size + 1, size), _BEFORE, 1))
+    window = F.substring(F.col(text), start - size + 1, size)
+
+    def found(part: Column) -> Column:
+        return F.regexp_extract(part, _CONTEXT + "$", 0)
+
+    def checked(short: Column, part: Column) -> Column:
+        cut = (size < start) & ((F.length(short) == size) | part.rlike(r"^[\s:=#\"'(<\[]*$"))
+        return F.when(cut, found(F.substring(F.col(text), F.lit(1), start))).otherwise(short)
+
+    return F.lower(F.regexp_replace(let(window, lambda part: let(found(part), lambda short: checked(short, part))), r"\s+", ""))
 
 
 def _tokens(text: str, base: Column, min_chars: int) -> Column:
-    """Identifier-like tokens outside the base spans, with the word before each."""
+    """Identifier-like tokens outside the base spans, with the pattern before each and whether their shape is a seed's."""
     raw = F.filter(matches(text, _TOKEN), lambda x: (x["end"] - x["start"] >= min_chars) & x["m"].rlike("[0-9]"))
     free = F.filter(raw, lambda x: ~F.exists(base, lambda s: (s["start"] < x["end"]) & (x["start"] < s["end"])))
     return F.transform(free, lambda x: F.struct(
         x["start"].alias("start"), x["end"].alias("end"), x["m"].alias("value"),
-        _word_before(text, x["start"]).alias("word")))
+        _pattern_before(text, x["start"]).alias("word"), x["m"].rlike(_SEED_SHAPE).alias("shaped")))
 
 
 def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = 3, confidence: float = 0.5,
@@ -136,14 +156,14 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
     rows that share a key apart.
     """
     source = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    none = F.array().cast("array<struct<start:int,end:int,value:string,word:string>>")
+    none = F.array().cast("array<struct<start:int,end:int,value:string,word:string,shaped:boolean>>")
 
     def parts(base: Column) -> Column:
         tokens = F.when(F.col("text").rlike("[0-9]"), _tokens("text", base, min_chars)).otherwise(none)
         return F.struct(
             F.transform(base, lambda s: F.struct(s["start"], s["kind"], s["end"])).alias("base"),
             F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["m"].alias("value"),
-                                                 _word_before("text", s["start"]).alias("word"))).alias("seeds"),
+                                                 _pattern_before("text", s["start"]).alias("word"))).alias("seeds"),
             tokens.alias("tokens"))
 
     found = materialize(source.select("key", F.xxhash64("text").alias("digest"),
@@ -151,14 +171,15 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
 
     occurrences = found.select(F.explode(F.concat(
         F.transform("seeds", lambda s: F.struct(s["word"], s["value"], F.lit(1.0).alias("seed"))),
-        F.transform("tokens", lambda s: F.struct(s["word"], s["value"], F.lit(0.0).alias("seed"))))).alias("o")).select("o.*")
+        F.transform("tokens", lambda s: F.struct(s["word"], s["value"], s["shaped"].cast("double").alias("seed"))))).alias("o")).select("o.*")
     graph = materialize(occurrences.filter("word <> ''").groupBy("word", "value").agg(
         F.max("seed").alias("seed"), F.count(F.lit(1)).alias("n")))
-    # only words that precede seeds can become confident; their totals count all texts
+    # only patterns that precede seeds can become confident; their totals count all texts
     promising = materialize(graph.filter("seed = 1").groupBy("word").agg(
         F.count(F.lit(1)).alias("seeds")).filter(F.col("seeds") >= min_seeds))
-    counts = source.select(F.explode(F.split(F.lower("text"), r"[^\p{L}_]+")).alias("word")).groupBy("word").agg(
-        F.count(F.lit(1)).alias("total"))
+    contexts = F.explode(F.regexp_extract_all("text", F.lit(_CONTEXT), F.lit(0)))
+    uses = source.select(contexts.alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    counts = uses.groupBy(F.lower(F.regexp_replace("word", r"\s+", "")).alias("word")).agg(F.sum("n").alias("total"))
     patterns = materialize(promising.join(counts, "word").select("word", "seeds", "total"))
 
     edges = materialize(graph.join(patterns, "word"))
@@ -167,11 +188,11 @@ def spans(docs: DataFrame, key: str = "doc_id", text: str = "text", rounds: int
         strength = scored.groupBy("word").agg(
             (F.sum(F.col("score") * F.col("n")) / (F.max("total") + prior)).alias("strength"))
         weighed = scored.select("word", "value", "seed", "n", "total").join(strength, "word")
-        instance = weighed.groupBy("value").agg(F.greatest(
-            F.max("seed"), 1 - F.exp(F.sum(F.log1p(-F.least("strength", F.lit(0.999999)))))).alias("score"))
+        support = 1 - F.exp(F.sum(F.log1p(-F.least("strength", F.lit(0.999999)))))
+        instance = weighed.groupBy("value").agg(support.alias("support"), F.greatest(F.max("seed"), support).alias("score"))
         scored = materialize(weighed.join(instance, "value"))
     sure_words = scored.filter(F.col("strength") >= confidence).select("word").distinct()
-    sure_values = scored.filter((F.col("seed") == 0) & (F.col("score") >= confidence)).select("value").distinct()
+    sure_values = scored.filter(F.col("support") >= confidence).select("value").distinct()
 
     tokens = found.select("key", "digest", F.explode("tokens").alias("t")).select("key", "digest", "t.*")
     more = tokens.join(sure_words, "word", "left_semi").select("key", "digest", "start", "end").unionByName(

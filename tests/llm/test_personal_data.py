@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from hashlib import sha256
 
 from clvspark.llm import personal_data as pd
@@ -63,3 +64,61 @@ def test_edges(spark):
     assert pd.spans(docs).count() == docs.count() and pd.spans(empty(spark)).count() == 0
     masked = pd.mask(docs)
     assert masked.columns == docs.columns and masked.count() == docs.count()
+
+
+# the whole graph in plain Python: same patterns, instances, rounds and limits
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_@.+/-])[A-Za-z0-9_+/-]++(?:[.@][A-Za-z0-9_+/-]++)*+")
+_CONTEXT = r"[^\W\d]++\s*+[:=#]*+\s*+[\"'(<\[]?"
+
+
+def _graph_spans(texts, rounds=3, confidence=0.5, min_seeds=3, prior=2.0):
+    clean = lambda m: re.sub(r"\s+", "", m).lower()
+    totals, edges, seeds, places = Counter(), Counter(), set(), []
+    for i, text in enumerate(texts):
+        totals.update(clean(m) for m in re.findall(_CONTEXT, text))
+        base = [(m.start(), m.end()) for k, p in BASE.items() for m in re.finditer(p, text) if _fits(k, m[0])]
+        tokens = [(m.start(), m.end()) for m in _TOKEN.finditer(text) if m.end() - m.start() >= 6 and re.search("[0-9]", m[0])
+                  and not any(a < m.end() and m.start() < e for a, e in base)]
+        for (a, e), own in [*((s, True) for s in base), *((t, False) for t in tokens)]:
+            before = re.search(_CONTEXT + r"\Z", text[:a])
+            word, value = clean(before[0]) if before else "", text[a:e]
+            if own or re.fullmatch(r"(?=(?:[^0-9]*[0-9]){6})(?=(?:[^A-Za-z]*[A-Za-z]){3})[A-Za-z0-9_-]{16,}", value):
+                seeds.add((word, value))
+            if word:
+                edges[word, value] += 1
+            if not own:
+                places.append((i, a, e, word, value))
+    seeded = Counter(w for w, v in edges if (w, v) in seeds)
+    edges = {(w, v): n for (w, v), n in edges.items() if seeded[w] >= min_seeds}
+    score = {k: float(k in seeds) for k in edges}
+    strength, support = Counter(), {}
+    for _ in range(rounds):
+        strength = Counter()
+        for (w, v), n in edges.items():
+            strength[w] += score[w, v] * n / (totals[w] + prior)
+        support, fixed = {}, {}
+        for w, v in edges:
+            support[v] = 1 - (1 - support.get(v, 0.0)) * (1 - min(strength[w], 0.999999))
+            fixed[v] = max(fixed.get(v, 0.0), float((w, v) in seeds))
+        score = {(w, v): max(fixed[v], support[v]) for w, v in edges}
+    return {(i, a, e) for i, a, e, w, v in places if strength[w] >= confidence or support.get(v, 0.0) >= confidence}
+
+
+def test_discovered_spans_against_plain_python(spark):
+    d = "/root/testdata/sf0.001"
+    rows = table(spark, d, "documents").select("doc_id", "text").collect()
+    texts = [r.text or "" for r in rows]
+    texts += [f"the badge no :   \t\n {' ' * 60}= \"K{i}7-22{i}-QX{i}99\" of the day" for i in range(4)]
+    texts += [f"write to badge   no: x{i}@mail.org again" for i in range(9)] + ["see K17-221-QX199 again", "no = \"K9-9999-Z1\""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {(r.doc_id, s.start, s.end) for r in pd.spans(df).collect() for s in r.spans if s.kind == 4}
+    assert got == _graph_spans(texts)
+
+
+def test_every_token_secret_is_found_and_masked(spark):
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    secret = re.compile(r'token = "([0-9a-f]{40})"')
+    wanted = {(r.doc_id, m.start(1), m.end(1)) for r in docs.collect() for m in secret.finditer(r.text or "")}
+    got = {(r.doc_id, s.start, s.end) for r in pd.spans(docs).collect() for s in r.spans if s.kind == 4}
+    assert len(wanted) >= 10 and got == wanted
+    assert not any(secret.search(r.text or "") for r in pd.mask(docs).collect())
