@@ -155,7 +155,7 @@ def maximize_newton(derivatives, x0: np.ndarray, radius: float = 1.0, bound: flo
     """
     x = np.clip(np.asarray(x0, float), -bound, bound)
     value, gradient, hessian = derivatives(x)
-    evaluations, message = 1, "iteration limit"
+    evaluations, message, idle = 1, "iteration limit", 0
 
     def free_of(x, gradient):
         return ~(((x >= bound) & (gradient > 0)) | ((x <= -bound) & (gradient < 0)))
@@ -181,8 +181,9 @@ def maximize_newton(derivatives, x0: np.ndarray, radius: float = 1.0, bound: flo
             radius = 0.25 * float(np.linalg.norm(step)) if np.linalg.norm(step) > 0 else radius / 4
         elif good > 0.75:
             radius = min(4.0, max(radius, 2 * float(np.linalg.norm(step))))
-        if radius < 1e-10:
-            message = "step is small"
+        idle = idle + 1 if abs(gained) <= 1e-10 * (1 + abs(value)) else 0
+        if radius < 1e-10 or idle >= 4:   # a flat ridge: converged only if the gradient says so
+            message = "no further gain"
             break
     free = free_of(x, gradient)
     at_bound = bool((np.abs(x) >= bound - 1e-9).any())
