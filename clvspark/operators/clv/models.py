@@ -6,8 +6,8 @@ cached) customer statistics; ``mapInPandas`` evaluates them with numpy over Arro
 returns one partial sum per vector and partition; Spark adds them up. Only
 the K sums reach the driver, where the optimiser keeps its few numbers.
 
-Scoring is a per-row ``mapInPandas`` (Pareto/NBD needs the quadrature) or
-plain column arithmetic (Gamma/Gamma).
+Scoring is column arithmetic: hypergeometric terms and quadrature as Spark
+expressions for the Pareto/NBD model (``expressions``), closed forms for Gamma/Gamma.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from clvspark.operators.clv import kernels, scores
+from clvspark.operators.clv import expressions, kernels, scores
 from clvspark.operators.clv.data import KEY, ClvData
 from clvspark.operators.clv.optimize import (OptimResult, hessian_points, maximize, maximize_newton,
                                              unpacked)
@@ -310,31 +310,14 @@ def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None
     ``annual_discount`` is a continuous yearly rate, converted to the time
     unit. ``horizon`` defaults to the holdout length.
     """
-    params = np.array([[model.coef()[p] for p in PNBD_PARAMS]])
+    params = [model.coef()[p] for p in PNBD_PARAMS]
     delta = annual_discount * data.unit_days / 365.0
     h_col = data.holdout_length if horizon is None else F.lit(float(horizon))
-    key_type = data.stats.schema[KEY].dataType.simpleString()
-
-    def run(batches):
-        for pdf in batches:
-            x = pdf["x"].to_numpy(float)
-            t = pdf["t_x"].to_numpy(float)
-            T = pdf["T_cal"].to_numpy(float)
-            h = float(pdf["_h"].iloc[0]) if len(pdf) else 0.0
-            yield pd.DataFrame({
-                KEY: pdf[KEY],
-                "x": pdf["x"],
-                "spending": pdf["spending"],
-                "p_alive": kernels.pnbd_p_alive(params, x, t, T)[0],
-                "cet": kernels.pnbd_conditional_expectation(params, x, t, T, h)[0],
-                "dert": kernels.pnbd_dert(params, x, t, T, delta)[0],
-            })
-
-    # the statistics ride through the Python step: no join back on customer_id
-    scored = (data.stats.withColumn("_h", h_col)
-              .select(KEY, "x", "t_x", "T_cal", "spending", "_h")
-              .mapInPandas(run, f"{KEY} {key_type}, x long, spending double, p_alive double,"
-                                " cet double, dert double"))
+    x, t, T, alive = (F.col(c) for c in ("x", "t_x", "T_cal", "p_alive"))
+    scored = (data.stats.select(KEY, "x", "t_x", "T_cal", "spending", h_col.alias("_h"))
+              .withColumn("p_alive", expressions.p_alive(params, x, t, T))
+              .withColumn("cet", expressions.expected_transactions(params, alive, x, T, F.col("_h")))
+              .withColumn("dert", expressions.discounted_residual(params, alive, x, T, delta)))
     out = (scored.join(data.holdout, KEY, "left")
                .select(KEY,
                        F.lit(data.estimation_end).alias("period_first"),
