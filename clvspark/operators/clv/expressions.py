@@ -8,13 +8,14 @@ transformation). Divided by the likelihood of being alive at T, nothing but
 ratios of powers is left, and P(alive) = 1 / (1 + s / (r+s+x) * (g_t H(t) - g_T H(T))).
 
 H is Gauss's continued fraction, evaluated from its end. Its convergents
-shrink by ((1-w)/(1+w))^2 for two steps, w = sqrt(1 - z), so the number of
-steps follows from z, row by row. Where w is tiny (alpha and beta apart by a
-factor of thousands and t near 0) that number grows, and the integral is
-taken by Gauss-Legendre quadrature on a log scale instead.
+come closer by (1-w)/(1+w) each, w = sqrt(1 - z), and z is largest at y = 0,
+so their number follows from alpha and beta alone. Where these differ by a
+factor over ten thousand it would grow without bound: it then follows from z
+row by row, and rows with t near 0 take the integral by Gauss-Legendre
+quadrature on a log scale instead.
 
 DERT needs Tricomi's U(1, 2-s, delta (beta+T)), by the same quadrature of its
-integral form.
+integral form. It depends on T alone, so it is a table over the calendar.
 
 Defined results: a null in x, t or T gives null; t = T gives P(alive) = 1.
 """
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 
 from clvspark.operators.clv.kernels import QUAD_NODES
 
-LEAST_GAP = 1e-4     # 1 - z below which quadrature takes over: at most 1,010 steps above it
+LEAST_GAP = 1e-4     # 1 - z below which quadrature takes over: at most 1,860 convergents above it
 _Z, _W = np.polynomial.legendre.leggauss(QUAD_NODES)
 
 
@@ -49,20 +50,36 @@ def _quadrature(lo, hi, log_f) -> Column:
                               lambda total, n: total + n["w"] * F.exp(log_f(half * n["z"] + middle)))
 
 
-def hypergeometric_one(q: Column, p: Column, z: Column) -> Column:
-    """2F1(1, q; p + q; z) for q, p > 0 and 0 <= z < 1, by Gauss's continued fraction."""
-    c = p + q
-    root = F.sqrt(1.0 - z)
-    # 37 = -ln of the smallest double beside 1; two convergents a step
-    steps = F.ceil(F.lit(37.0 / 4.0) / root).cast("int") + 10
+def half_steps(gap: float) -> int:
+    """Convergents that bring 2F1(1, q; p + q; z) to double precision for every 1 - z >= ``gap``."""
+    w = math.sqrt(gap)
+    return 2 if w == 1.0 else math.ceil(37.0 / math.log((1.0 + w) / (1.0 - w))) + 2
 
-    def step(tail: Column, n: Column) -> Column:
-        even = n * (p - 1.0 + n) / ((c + 2.0 * n - 2.0) * (c + 2.0 * n - 1.0))
-        odd = (q + n) * (c - 1.0 + n) / ((c + 2.0 * n - 1.0) * (c + 2.0 * n))
-        return 1.0 - even * z / (1.0 - odd * z / tail)
 
-    tail = F.aggregate(F.sequence(steps, F.lit(1), F.lit(-1)), (1.0 + root) / 2.0, step)
-    return 1.0 / (1.0 - q / c * z / tail)
+def hypergeometric_one(q: Column, p: Column, z: Column, count: int | None = None) -> Column:
+    """2F1(1, q; p + q; z) for q, p > 0 and 0 <= z < 1, by Gauss's continued fraction.
+
+    With ``count`` convergents, or as many as z needs. An aggregate over the
+    step numbers: written out as one expression they outgrow what the JVM
+    compiles, and run slower.
+    """
+    def tail(c: Column, q: Column, z: Column) -> Column:
+        if count is None:
+            steps = F.ceil(37.0 / 4.0 / F.sqrt(1.0 - z)).cast("int") + 4
+            numbers = F.transform(F.sequence(steps, F.lit(1), F.lit(-1)), lambda n: n.cast("double"))
+        else:
+            steps = F.lit((count + 1) // 2)
+            numbers = F.lit([float(n) for n in range((count + 1) // 2, 0, -1)])
+
+        def step(inner: Column, n: Column) -> Column:
+            odd = c + (n + (n - 1.0)) - (q + n) * (c + (n - 1.0)) * z / inner
+            return c + (n + (n - 2.0)) - n * (c - q + (n - 1.0)) * z / odd
+
+        return F.aggregate(numbers, (c + 2.0 * steps) * (1.0 + F.sqrt(1.0 - z)) / 2.0, step)
+
+    # the values that each step uses are computed once
+    return _let(F.struct((p + q).alias("c"), q.cast("double").alias("q"), z.alias("z")), lambda v: _let(
+        v["c"], lambda c: _let(v["q"], lambda q: _let(v["z"], lambda z: 1.0 / (1.0 - q * z / tail(c, q, z))))))
 
 
 def p_alive(params, x: Column, t: Column, T: Column) -> Column:
@@ -77,17 +94,21 @@ def p_alive(params, x: Column, t: Column, T: Column) -> Column:
         """ln of the likelihood of being alive at y over that at T."""
         return (r + x) * F.log((a + T) / (a + y)) + s * F.log((b + T) / (b + y))
 
+    near = small / big >= LEAST_GAP
+    count = half_steps(small / big) if near else None
+
     def part(y: Column) -> Column:
         factor = F.lit(1.0) if later_first else (a + y) / (b + y)
-        return F.exp(log_ratio(y)) * factor * hypergeometric_one(q, p, (big - small) / (big + y))
+        return F.exp(log_ratio(y)) * factor * hypergeometric_one(q, p, (big - small) / (big + y), count)
 
-    by_fraction = s / (r + s + x) * (part(t) - part(T))
-    # s (b+y)^-1 over the likelihood at T, with y = e^v - small
-    by_quadrature = _quadrature(F.log(t + small), F.log(T + small), lambda v: _let(
-        F.exp(v) - small, lambda y: v + log_ratio(y) + F.lit(math.log(s)) - F.log(b + y)))
-    odds = F.when((small + t) / (big + t) >= LEAST_GAP, by_fraction).otherwise(by_quadrature)
-    return F.when(t >= T, F.lit(1.0)).when(T.isNotNull() & t.isNotNull() & x.isNotNull(),
-                                           1.0 / (1.0 + F.greatest(odds, F.lit(0.0))))
+    odds = s / (r + s + x) * (part(t) - part(T))
+    if not near:
+        # s (b+y)^-1 over the likelihood at T, with y = e^v - small
+        by_quadrature = _quadrature(F.log(t + small), F.log(T + small), lambda v: _let(
+            F.exp(v) - small, lambda y: v + log_ratio(y) + F.lit(math.log(s)) - F.log(b + y)))
+        odds = F.when((small + t) / (big + t) >= LEAST_GAP, odds).otherwise(by_quadrature)
+    alive = 1.0 / (1.0 + F.greatest(odds, F.lit(0.0)))
+    return F.when(x.isNotNull() & (t >= T), F.lit(1.0)).when(x.isNotNull() & (t < T), alive)
 
 
 def expected_transactions(params, alive: Column, x: Column, T: Column, horizon: Column) -> Column:
@@ -101,11 +122,15 @@ def expected_transactions(params, alive: Column, x: Column, T: Column, horizon:
     return F.when(horizon <= 0, F.lit(0.0)).otherwise(alive * (r + x) / (a + T) * growth)
 
 
-def discounted_residual(params, alive: Column, x: Column, T: Column, delta: float) -> Column:
-    """Discounted expected residual transactions at the continuous rate ``delta`` per time unit."""
-    r, a, s, b = map(float, params)
+def discounted_lifetime(params, T: Column, delta: float) -> Column:
+    """Expected discounted lifetime after T of a customer alive then, at the continuous rate ``delta`` per time unit."""
+    s, b = float(params[2]), float(params[3])
     bt = b + T.cast("double")
     # y = bt (e^u - 1); the discount is below e^-40 past the upper end
-    integral = _quadrature(F.lit(0.0), F.log1p(40.0 / (delta * bt)),
-                           lambda u: -delta * bt * F.expm1(u) - s * u + F.log(bt) + u)
-    return alive * (r + x) / (a + T) * integral
+    return _quadrature(F.lit(0.0), F.log1p(40.0 / (delta * bt)),
+                       lambda u: -delta * bt * F.expm1(u) - s * u + F.log(bt) + u)
+
+
+def discounted_residual(params, alive: Column, x: Column, T: Column, lifetime: Column) -> Column:
+    """Discounted expected residual transactions, given P(alive) and ``discounted_lifetime``."""
+    return alive * (float(params[0]) + x) / (float(params[1]) + T) * lifetime

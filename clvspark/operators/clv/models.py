@@ -314,10 +314,13 @@ def predict_pnbd(model: FittedModel, data: ClvData, spending: FittedModel | None
     delta = annual_discount * data.unit_days / 365.0
     h_col = data.holdout_length if horizon is None else F.lit(float(horizon))
     x, t, T, alive = (F.col(c) for c in ("x", "t_x", "T_cal", "p_alive"))
+    # one row per length of observation: at most as many as the calendar has days
+    lifetimes = data.stats.select("T_cal").distinct().withColumn("_life", expressions.discounted_lifetime(params, T, delta))
     scored = (data.stats.select(KEY, "x", "t_x", "T_cal", "spending", h_col.alias("_h"))
+              .join(F.broadcast(lifetimes), "T_cal", "left")
               .withColumn("p_alive", expressions.p_alive(params, x, t, T))
               .withColumn("cet", expressions.expected_transactions(params, alive, x, T, F.col("_h")))
-              .withColumn("dert", expressions.discounted_residual(params, alive, x, T, delta)))
+              .withColumn("dert", expressions.discounted_residual(params, alive, x, T, F.col("_life"))))
     out = (scored.join(data.holdout, KEY, "left")
                .select(KEY,
                        F.lit(data.estimation_end).alias("period_first"),

@@ -58,7 +58,7 @@ def test_residual_and_horizon(spark):
     df = spark.createDataFrame([(0, 0.0, 300.0), (7, 280.0, 300.0)], "x long, t double, until double")
     x, t, T, alive = F.col("x"), F.col("t"), F.col("until"), F.col("p")
     out = df.withColumn("p", expressions.p_alive(params, x, t, T)).select(
-        "x", "t", "until", expressions.discounted_residual(params, alive, x, T, 0.0003).alias("dert"),
+        "x", "t", "until", expressions.discounted_residual(params, alive, x, T, expressions.discounted_lifetime(params, T, 0.0003)).alias("dert"),
         expressions.expected_transactions(params, alive, x, T, F.lit(90.0)).alias("cet"),
         expressions.expected_transactions(params, alive, x, T, F.lit(0.0)).alias("none")).collect()
     for v in out:
