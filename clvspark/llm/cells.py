@@ -20,15 +20,19 @@ def deal(members: DataFrame, cell: int, *columns: str) -> DataFrame:
     return cells.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key")
 
 
-def by_cell(batches, compare, build):
-    """``compare((bucket, i, j), rows)`` for each group's rows (own, ...); ``build`` makes a batch of what it lists."""
+def by_cell(batches, compare, build, block: int = 500):
+    """``compare((bucket, i, j), rows)`` for each group's rows (own, ...); ``build`` makes a batch of what it lists.
+
+    ``block`` rows at a time become Python objects.
+    """
     held, now = [], None
     for batch in batches:
         out = []
-        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if row[:3] != now:
-                out += compare(now, held) if held else []
-                held, now = [], row[:3]
-            held.append(row[3:])
+        for at in range(0, batch.num_rows, block):
+            for row in zip(*(c.to_pylist() for c in batch.slice(at, block).columns), strict=True):
+                if row[:3] != now:
+                    out += compare(now, held) if held else []
+                    held, now = [], row[:3]
+                held.append(row[3:])
         yield build(out)
     yield build(compare(now, held) if held else [])

@@ -76,24 +76,27 @@ def features(docs: DataFrame, key: str, text: str, words: int, bands: int, rows:
 
 
 def confirm(pairs: DataFrame, docs: DataFrame, key: str, text: str, words: int, percent: int,
-            recent: int = 64) -> DataFrame:
-    """The pairs (a, b) whose full sets reach ``percent``; texts travel, sets are made where they are compared."""
+            recent: int = 64, block: int = 500) -> DataFrame:
+    """The pairs (a, b) whose full sets reach ``percent``; texts travel, sets are made where they are compared,
+    ``block`` pairs at a time."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
     texts = materialize(keyed_bytes(docs, key, text).join(wanted, "key", "left_semi"))
 
     def run(batches):
         known: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            a, b = batch.column("text_a").to_pylist(), batch.column("text_b").to_pylist()
-            linked = np.zeros(len(a), bool)
-            for i, (x, y) in enumerate(zip(a, b, strict=True)):
-                if x not in known:
-                    if len(known) >= recent:
-                        known.clear()
-                    known[x] = shingle_sets([x], words)[0]
-                p, q = known[x], shingle_sets([y], words)[0]
-                both = intersection(p, q)
-                linked[i] = both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
+            linked = np.zeros(batch.num_rows, bool)
+            for at in range(0, batch.num_rows, block):
+                part = batch.slice(at, block)
+                a, b = part.column("text_a").to_pylist(), part.column("text_b").to_pylist()
+                for i, (x, y) in enumerate(zip(a, b, strict=True), at):
+                    if x not in known:
+                        if len(known) >= recent:
+                            known.clear()
+                        known[x] = shingle_sets([x], words)[0]
+                    p, q = known[x], shingle_sets([y], words)[0]
+                    both = intersection(p, q)
+                    linked[i] = both > 0 and 100 * both >= percent * (len(p) + len(q) - both)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("a").filter(pa.array(linked)), batch.column("b").filter(pa.array(linked))], names=["a", "b"])
 

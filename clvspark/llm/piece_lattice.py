@@ -278,7 +278,7 @@ def _distinct(chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class Sampler:
     """Encodes texts in blocks of at most ``block`` characters (or one text)."""
 
-    def __init__(self, vocab: Vocabulary, seed: int = 0, block: int = 2_000_000):
+    def __init__(self, vocab: Vocabulary, seed: int = 0, block: int = 500_000):
         self.vocab, self.seed, self.block = vocab, np.uint64(seed), block
 
     def encode(self, keys: np.ndarray, texts: list[str | None]):

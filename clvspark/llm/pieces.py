@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from clvspark.llm.piece_lattice import Decoder, Sampler, Vocabulary
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+_ROWS = 1000
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, null: np.ndarray) -> pa.Array:
@@ -30,8 +31,8 @@ def _lists(values: np.ndarray, counts: np.ndarray, null: np.ndarray) -> pa.Array
 
 
 def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model_path: str = MODEL,
-           theta: float = 0.8, seed: int = 0, block: int = 2_000_000, decoded: bool = False) -> DataFrame:
-    """(key, pieces array<int>) of every row; a task works on about ``block`` characters at a time.
+           theta: float = 0.8, seed: int = 0, block: int = 500_000, decoded: bool = False) -> DataFrame:
+    """(key, pieces array<int>) of every row; a task works on about ``block`` characters at a time, of ``_ROWS`` rows at most.
 
     With ``decoded`` there is a third column ``text``: what decoding the
     pieces gives, made in the same task so that the pieces travel once.
@@ -41,12 +42,12 @@ def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", model_path:
 
     def run(batches):
         sampler, decoder = Sampler(vocab.value, seed, block), Decoder(vocab.value)
-        for batch in batches:
-            keys = batch.column("key").fill_null(0).to_numpy(zero_copy_only=False)
-            null = batch.column("text").is_null().to_numpy(zero_copy_only=False)
+        for part in (batch.slice(first, _ROWS) for batch in batches for first in range(0, batch.num_rows, _ROWS)):
+            keys = part.column("key").fill_null(0).to_numpy(zero_copy_only=False)
+            null = part.column("text").is_null().to_numpy(zero_copy_only=False)
             at = 0
-            for rows, ids, counts in sampler.encode(keys, batch.column("text").to_pylist()):
-                out = [batch.column("key").slice(at, rows), _lists(ids, counts, null[at:at + rows])]
+            for rows, ids, counts in sampler.encode(keys, part.column("text").to_pylist()):
+                out = [part.column("key").slice(at, rows), _lists(ids, counts, null[at:at + rows])]
                 if decoded:
                     out.append(_texts(decoder, ids, counts, null[at:at + rows]))
                 yield pa.RecordBatch.from_arrays(out, names=columns)

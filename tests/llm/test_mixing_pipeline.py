@@ -52,6 +52,11 @@ def test_pipeline(spark):
     assert kept < source and len(kept) > 0.85 * len(source) and all(len(r.pieces) == r.n_pieces for r in out)
 
 
+def test_a_task_of_the_language_stage_needs_one_python_worker(spark):
+    out = corpus_pipeline.identified(spark, documents(spark), SF)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+
+
 def test_stages_on_hard_rows(spark):
     docs = documents(spark)
     for name, stage in corpus_pipeline.STAGES:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
 from collections import Counter
 from hashlib import sha256
+from inspect import signature
 
 import numpy as np
 import pytest
@@ -69,6 +71,22 @@ def test_long_segments_decode(vocab):
     assert data.tobytes().decode() == "q" * 500 + "\n é"
 
 
+def test_memory_of_a_task_is_bounded(vocab):
+    rng = np.random.default_rng(5)
+    words = [w.replace("▁", "") for w in vocab.pieces if w.isalpha() or w.startswith("▁")]
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(1200)]
+    _encode(vocab, texts[:1])  # builds the tables
+    block = signature(pieces.encode).parameters["block"].default
+    tracemalloc.start()
+    try:
+        before = tracemalloc.get_traced_memory()[0]
+        parts = sum(len(counts) for _, _, counts in Sampler(vocab, 0, block).encode(np.arange(len(texts)), texts))
+        peak = tracemalloc.get_traced_memory()[1] - before
+    finally:
+        tracemalloc.stop()
+    assert parts == len(texts) and sum(map(len, texts)) > 2_000_000 and peak < 60e6
+
+
 def test_query_digest(spark):
     from clvspark.llm import queries
     from clvspark.llm.frames import table
