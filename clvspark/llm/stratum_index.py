@@ -47,6 +47,7 @@ _ONE, _TF, _M, _SLOPE, _WEIGHT = 1_000_000_000, 1000, 12, 25, 1000
 _BLOCK_TERMS = 1_000_000
 _BLOCK_DOCS = 16_384
 _CHUNK = 256
+_OUT_ROWS = 16_384  # postings that leave a worker at once
 
 # everything but the characters of a term becomes a blank, and A-Z lower case
 _KEEP = bytes(b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256)).lower()
@@ -117,6 +118,13 @@ def _blocks(rows: DataFrame) -> DataFrame:
              pa.ListArray.from_arrays(pa.array([0, *[len(ids)] * n], pa.int32()), ids)],
             names=["m", "block", "term", "tf", "members", "docs"])
 
+    def sent(m: int, block: int, held: list):
+        # a block has up to about a million postings; as one batch the executor would hold them all beside the worker
+        whole = build(m, block, held)
+        held.clear()
+        for lo in range(0, whole.num_rows, _OUT_ROWS):
+            yield whole.slice(lo, _OUT_ROWS)
+
     def run(batches):
         held, now = [], None
         for batch in batches:
@@ -126,14 +134,13 @@ def _blocks(rows: DataFrame) -> DataFrame:
                 if hi == lo:
                     continue
                 if now is not None and now != (m[lo], block[lo]):
-                    yield build(*now, held)
-                    held = []
+                    yield from sent(*now, held)
                 now = (m[lo], block[lo])
                 part = batch.slice(lo, hi - lo)
                 # copied, so that the whole batch is not kept for one row of it
                 held.append(tuple(pa.concat_arrays([part.column(c), part.column(c).slice(0, 0)]) for c in ("key", "words", "tfs")))
         if held:
-            yield build(*now, held)
+            yield from sent(*now, held)
 
     return rows.mapInArrow(run, _POSTINGS)
 

@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
+
 from clvspark.llm import stratum_index as si
 
 from .cases import documents, empty
@@ -74,3 +76,26 @@ def test_edges(spark):
     assert sorted(map(tuple, si.search(si.build(docs), q).collect()), key=str) == _best(rows, items)
     assert si.search(si.build(empty(spark)), q).count() == 0
     assert si.search(si.build(docs), q.limit(0)).count() == 0
+
+
+def test_postings_leave_in_bounded_batches(monkeypatch):
+    class Taken:
+        def mapInArrow(self, run, schema):  # noqa: N802
+            return run
+
+    monkeypatch.setattr(si, "_OUT_ROWS", 4, raising=False)
+    docs = {(75, 0): [(3, {"a": 1, "b": 2, "c": 1}), (8, {"a": 1, "b": 1, "d": 5}), (None, {"b": 2})], (80, 1): [(4, {"a": 9})]}
+    rows = [(*at, i, " ".join(c), list(c.values())) for at, held in docs.items() for i, c in held]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.int32())]
+    batch = pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows, strict=True), kinds, strict=True)],
+                                       names=["m", "block", "key", "words", "tfs"])
+    sent = list(si._blocks(Taken())(iter([batch.slice(0, 2), batch.slice(2)])))
+    assert [b.num_rows for b in sent] == [4, 2, 2]
+    got = [tuple(r.values()) for b in sent for r in b.to_pylist()]
+    want = []
+    for at, held in docs.items():
+        want.append((*at, "", 0, [], [i for i, _ in held]))
+        postings = {(t, tf) for _, c in held for t, tf in c.items()}
+        want += [(*at, t, tf, [place for place, (_, c) in enumerate(held) if c.get(t) == tf], []) for t, tf in postings]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert [r[2] for r in got if r[2] == ""] == ["", ""] and got[0][2] == ""
